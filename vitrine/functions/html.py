@@ -12,11 +12,20 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vitrine.functions.text import blank_to_null, decode_entities, strip
+from vitrine.functions.text import decode_entities, strip
 
 COMMENT = r"(?s:<!--.*?-->)"
 SCRIPT = r"(?s:<(?i:script)\b[^>]*>.*?</(?i:script)\s*>)"
 TAG_OR_COMMENT = rf"{COMMENT}|<[^>]*>"
+# Names and code points of references to white space.
+_SPACE_REFERENCES = "|".join(
+    ["nbsp", "ensp", "emsp", "thinsp"]
+    + [
+        rf"#0*{code}|#[xX]0*(?i:{code:x})"
+        for code in (*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)
+    ]
+)
+_SPACES = rf"(?:[\s\x1c-\x1f]++|&(?:{_SPACE_REFERENCES});)*+"
 QUOTED = r"\"[^\"]*\"|'[^']*'|[^\s\"'>]+"
 
 
@@ -36,9 +45,18 @@ def opening(tag: str, *classes: str, without: str | None = None) -> str:
     return rf"{name}(?=[\s/>]){''.join(map(has_class, classes))}{unwanted}[^>]*>"
 
 
-def body(tag: str) -> str:
-    """Pattern of an element's content up to its first closing tag, as a group."""
-    return rf"(?s:(.*?))</(?i:{tag})\s*>"
+def content(tag: str) -> str:
+    """Pattern of an element's content up to its first closing tag.
+
+    The group also takes the ``</`` behind the content, so that '' means "no match" and an
+    empty element is told apart; ``inner`` removes it again.
+    """
+    return rf"((?s:.*?)</)(?i:{tag})\s*>"
+
+
+def inner(found: Column) -> Column:
+    """Content from a ``content`` group, null when there was no match."""
+    return F.when(found != "", F.substring(found, F.lit(1), F.length(found) - 2))
 
 
 def within(tag: str) -> str:
@@ -64,9 +82,9 @@ def raw_attribute(tag: Column, name: str) -> Column:
 
 
 def unquote(raw: Column) -> Column:
-    """Attribute value from its written form; null when absent."""
+    """Attribute value from its written form, not decoded yet; null when absent."""
     quoted = raw.startswith('"') | raw.startswith("'")
-    return decode_entities(
+    return (
         F.when(raw == "", None)
         .when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2))
         .otherwise(raw)
@@ -74,22 +92,18 @@ def unquote(raw: Column) -> Column:
 
 
 def attribute(tag: Column, name: str) -> Column:
+    """Attribute value, not decoded yet; null when absent."""
     return unquote(raw_attribute(tag, name))
 
 
-def visible_text(fragment: Column) -> Column:
-    """Text of a fragment: each text piece decoded and stripped, then joined without spaces."""
-    pieces = F.transform(F.split(fragment, TAG_OR_COMMENT), lambda p: strip(decode_entities(p)))
-    return F.when(fragment.contains("<"), F.array_join(pieces, "")).otherwise(
-        strip(decode_entities(fragment))
-    )
+def without_tags(fragment: Column) -> Column:
+    """Text pieces of a fragment joined without spaces, not decoded yet.
 
+    White space next to a tag goes with the tag, also where it is written as a reference.
+    """
+    return F.regexp_replace(fragment, rf"(?U){_SPACES}(?:(?:{TAG_OR_COMMENT}){_SPACES})+", "")
 
-def found_text(match: Column, open_pattern: str) -> Column:
-    """Visible text of a whole matched element, null when the match is ''.
 
-    ``match`` runs from the enclosing context to the element's closing tag; everything up to
-    the end of the last ``open_pattern`` belongs to the context and is dropped.
-    """
-    inner = F.regexp_replace(match, rf"(?s)^.*?{open_pattern}|</\w+\s*>\z", "")
-    return F.when(blank_to_null(match).isNotNull(), visible_text(inner))
+def visible_text(fragment: Column) -> Column:
+    """Text of a fragment: each text piece decoded and stripped, then joined without spaces."""
+    return strip(decode_entities(without_tags(fragment)))

@@ -84,59 +84,61 @@ def keep_old(new: Column, old: Column) -> Column:
     return F.coalesce(new, old)
 
 
-@lru_cache(maxsize=1)
-def _named_references() -> str:
-    names = dict(name2codepoint, apos=ord("'"))
-    return "\x1e".join(f"{name}\x1f{chr(code)}" for name, code in sorted(names.items()))
+def _sql_text(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-@lru_cache(maxsize=1)
-def _c1_references() -> str:
+def _sql_map(pairs: dict[str, str]) -> str:
+    """SQL for a constant map; the planner folds it once."""
+    entries = "\x1e".join(f"{key}\x1f{value}" for key, value in sorted(pairs.items()))
+    return f"str_to_map({_sql_text(entries)}, '\x1e', '\x1f')"
+
+
+def _windows_characters() -> dict[str, str]:
     """Numbers 128-159 mean Windows-1252 characters in web pages."""
-    pairs = []
-    for code in range(0x80, 0xA0):
-        try:
-            pairs.append(f"{code}\x1f{bytes([code]).decode('cp1252')}")
-        except UnicodeDecodeError:
-            continue
-    return "\x1e".join(pairs)
-
-
-def _lookup(table: str, key: Column) -> Column:
-    # str_to_map over a literal is folded once at planning time.
-    return F.try_element_at(F.str_to_map(F.lit(table), F.lit("\x1e"), F.lit("\x1f")), key)
-
-
-def _character(code: Column) -> Column:
-    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-    plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    return F.when(
-        valid, F.coalesce(_lookup(_c1_references(), code.cast("string")), plain)
-    ).otherwise("�")
-
-
-def _decode_piece(piece: Column) -> Column:
-    rest = F.regexp_replace(piece, "^&[^;]*;", "")
-    decimal = F.regexp_extract(piece, "^&#([0-9]+);", 1).try_cast("bigint")
-    hexadecimal = F.conv(F.regexp_extract(piece, "^&#[xX]([0-9a-fA-F]+);", 1), 16, 10)
-    named = _lookup(_named_references(), F.regexp_extract(piece, "^&([A-Za-z][A-Za-z0-9]*);", 1))
-    return (
-        F.when(piece.rlike("^&#[0-9]+;"), F.concat(_character(F.coalesce(decimal, F.lit(0))), rest))
-        .when(
-            piece.rlike("^&#[xX][0-9a-fA-F]+;"),
-            F.concat(_character(F.coalesce(hexadecimal.try_cast("bigint"), F.lit(0))), rest),
-        )
-        .when(piece.startswith("&") & named.isNotNull(), F.concat(named, rest))
-        .otherwise(piece)
-    )
+    codes = {str(code): bytes([code]).decode("cp1252", "ignore") for code in range(0x80, 0xA0)}
+    return {code: character for code, character in codes.items() if character}
 
 
-def decode_entities(text: Column) -> Column:
-    """Decode ``&name;``, ``&#n;`` and ``&#xh;`` in one pass.
+@lru_cache(maxsize=1)
+def _decoder() -> str:
+    """SQL lambda that decodes one text.
 
-    Text is cut in front of each ``&``, so a decoded character can never start a second
-    decoding (``&amp;lt;`` stays ``&lt;``).  Names are those of HTML 4 plus ``&apos;``; the
-    tolerant route decodes the full list and references without a semicolon.
+    A text is cut in front of each ``&``; a piece that starts with a known reference gets its
+    character, any other piece stays.  So a decoded character never starts a second decoding.
+    """
+    names = {name: chr(code) for name, code in dict(name2codepoint, apos=39).items()}
+    code = r"""coalesce(try_cast(
+        if(p rlike '^&#[0-9]', regexp_extract(p, '^&#([0-9]+);', 1),
+           conv(regexp_extract(p, '^&#[xX]([0-9a-fA-F]+);', 1), 16, 10)) as bigint), 0)"""
+    character = f"""
+        if({code} between 1 and 55295 or {code} between 57344 and 1114111,
+           coalesce(try_element_at({_sql_map(_windows_characters())}, cast({code} as string)),
+                    decode(unhex(lpad(hex({code}), 8, '0')), 'UTF-32')),
+           '�')"""
+    named = f"""
+        coalesce(try_element_at({_sql_map(names)}, regexp_extract(p, '^&([A-Za-z][A-Za-z0-9]*);', 1)),
+                 regexp_extract(p, '^&[^;]*;', 0))"""
+    piece = f"""
+        case when p rlike '^&#([0-9]+|[xX][0-9a-fA-F]+);'
+                  then concat({character}, regexp_replace(p, '^&[^;]*;', ''))
+             when p rlike '^&[A-Za-z][A-Za-z0-9]*;'
+                  then concat({named}, regexp_replace(p, '^&[^;]*;', ''))
+             else p end"""
+    return f"""
+        t -> if(contains(t, '&'),
+                array_join(transform(split(t, '(?=&)'), p -> {piece}), ''), t)"""
+
+
+def decode_each(*texts: Column) -> Column:
+    """Array of the texts with ``&name;``, ``&#n;`` and ``&#xh;`` decoded; nulls stay null.
+
+    Decoding several texts together keeps the plan small.  Names are those of HTML 4 plus
+    ``&apos;``; the tolerant route knows the full list and references without a semicolon.
     """
-    pieces = F.transform(F.split(text, "(?=&)"), _decode_piece)
-    return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
+    return F.call_function("transform", F.array(*texts), F.expr(_decoder()))
+
+
+def decode_entities(text: Column) -> Column:
+    """One text with its character references decoded."""
+    return decode_each(text)[0]

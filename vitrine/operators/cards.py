@@ -25,22 +25,20 @@ _RARITY = (
     + H.opening("*", PRINT_DETAILS)
     + H.within("div")
     + H.opening("span", without=PRINT_TITLE)
-    + r"(?s:.*?)</(?i:span)\s*>"
+    + H.content("span")
 )
-_RARITY_SPAN = H.opening("span", without=PRINT_TITLE)
-_DETAILS = H.opening("*", PRINT_DETAILS)
 _HREF = rf"{H.SCRIPT}|{H.COMMENT}|<(?i:a)\b[^>]*?\s(?i:href)\s*=\s*({H.QUOTED})"
 
 
 def _price_span(currency: str) -> str:
-    return H.opening("span", PRICE_CLASS, currency) + r"(?s:.*?)</(?i:span)\s*>"
+    return H.opening("span", PRICE_CLASS, currency) + H.content("span")
 
 
 def hrefs(html: Column) -> Column:
     """Array of the page's link targets in page order, decoded and stripped."""
     written = F.regexp_extract_all(html, F.lit(_HREF), F.lit(1))
     return F.transform(
-        F.filter(written, lambda h: h != ""), lambda h: T.strip(H.unquote(h))
+        F.filter(written, lambda h: h != ""), lambda h: T.strip(T.decode_entities(H.unquote(h)))
     )
 
 
@@ -103,24 +101,21 @@ def card_fields(pages: DataFrame, keep: Sequence[str], html: str = "html") -> Da
     matched = visible.select(
         *keep,
         "_comments",
-        F.regexp_extract(seen, _RARITY, 0).alias("_rarity"),
-        F.regexp_extract(seen, _price_span(USD_CLASS), 0).alias("_usd"),
-        F.regexp_extract(seen, _price_span(EUR_CLASS), 0).alias("_eur"),
+        F.regexp_extract(seen, _RARITY, 1).alias("_detail"),
+        F.regexp_extract(seen, _price_span(USD_CLASS), 1).alias("_usd"),
+        F.regexp_extract(seen, _price_span(EUR_CLASS), 1).alias("_eur"),
     )
-    # The title span lies in front of the wanted one, so cut at the details box first.
-    in_details = F.regexp_replace(F.col("_rarity"), rf"(?s)^.*?{_DETAILS}", "")
-    texts = matched.select(
-        *keep,
-        "_comments",
-        H.found_text(in_details, _RARITY_SPAN).alias("_detail_text"),
-        H.found_text(F.col("_usd"), H.opening("span", PRICE_CLASS, USD_CLASS)).alias("_usd"),
-        H.found_text(F.col("_eur"), H.opening("span", PRICE_CLASS, EUR_CLASS)).alias("_eur"),
+    fragments = matched.select(
+        *keep, "_comments", *(H.inner(F.col(c)).alias(c) for c in ("_detail", "_usd", "_eur"))
     )
+    fragment_texts = (H.without_tags(F.col(c)) for c in ("_detail", "_usd", "_eur"))
+    texts = fragments.select(*keep, "_comments", T.decode_each(*fragment_texts).alias("_texts"))
+    text = F.col("_texts")
     return texts.select(
         *keep,
         labelled_comment(F.col("_comments"), CARD_LABEL).alias("card_id"),
         labelled_comment(F.col("_comments"), DATA_LABEL).alias("data_id"),
-        rarity_of(F.col("_detail_text")).alias("rarity"),
-        decimal_price(F.col("_usd")).alias("usd_price"),
-        decimal_price(F.col("_eur")).alias("eur_price"),
+        rarity_of(T.strip(text[0])).alias("rarity"),
+        decimal_price(text[1]).alias("usd_price"),
+        decimal_price(text[2]).alias("eur_price"),
     )

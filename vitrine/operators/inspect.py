@@ -27,13 +27,12 @@ def meta_tags(pages: DataFrame, keep: Sequence[str], html: str = "html") -> Data
     )
     tags = F.filter(found, lambda t: t != "")
     rows = pages.select(*keep, F.posexplode(tags).alias("meta_pos", "_tag"))
-    read = rows.select(
+    names = ("name", "property", "content")
+    values = T.decode_each(*(H.attribute(F.col("_tag"), name) for name in names))
+    read = rows.select(*keep, "meta_pos", values.alias("_values")).select(
         *keep,
         "meta_pos",
-        *(
-            H.attribute(F.col("_tag"), name).alias(f"meta_{name}")
-            for name in ("name", "property", "content")
-        ),
+        *(F.col("_values")[i].alias(f"meta_{name}") for i, name in enumerate(names)),
     )
     return read.where(is_named())
 

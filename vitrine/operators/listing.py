@@ -24,6 +24,7 @@ LINK_CLASS = "item_data_link"
 NAME_BOX, NAME_CLASS, MODEL_CLASS = "item_name", "goods_name", "model_number_value"
 PRICE_BOX, PRICE_CLASS = "selling_price", "figure"
 
+OPENING_TAG = r"^<[^>]*>"
 BLOCK = H.opening("div", BLOCK_CLASS)
 LINK = H.opening("a", LINK_CLASS)
 
@@ -41,14 +42,7 @@ RECORD_FIELDS = (
 
 
 def _in_box(box: str, span: str) -> str:
-    return (
-        H.opening("p", box) + H.within("p") + H.opening("span", span) + r"(?s:.*?)</(?i:span)\s*>"
-    )
-
-
-def _product_id(block: Column) -> Column:
-    opening_tag = F.regexp_extract(block, r"^<[^>]*>", 0)
-    return T.blank_to_null(H.attribute(opening_tag, ID_ATTRIBUTE))
+    return H.opening("p", box) + H.within("p") + H.opening("span", span) + H.content("span")
 
 
 def split_blocks(html: Column) -> Column:
@@ -68,19 +62,21 @@ def explode_blocks(
     out = pages.select(*keep, split_blocks(F.col(html)).alias("_blocks"))
     page_columns = list(keep)
     if base_url is not None:
-        first = F.col("_first")
-        href = H.attribute(F.regexp_extract(first, LINK, 0), "href")
-        out = out.select("*", F.try_element_at("_blocks", F.lit(1)).alias("_first")).select(
+        first, texts = F.try_element_at("_blocks", F.lit(1)), F.col("_texts")
+        found = T.decode_each(
+            H.attribute(F.regexp_extract(first, OPENING_TAG, 0), ID_ATTRIBUTE),
+            H.attribute(F.regexp_extract(first, LINK, 0), "href"),
+        )
+        identity = F.struct(
+            T.blank_to_null(texts[0]).alias("product_id"),
+            resolve_url(base_url, texts[1]).alias("product_url"),
+        )
+        n_items = F.size("_blocks")
+        out = out.withColumn("_texts", found).select(
             *keep,
             "_blocks",
-            F.size("_blocks").alias("n_items"),
-            F.when(
-                first.isNotNull(),
-                F.struct(
-                    _product_id(first).alias("product_id"),
-                    resolve_url(base_url, href).alias("product_url"),
-                ),
-            ).alias("fingerprint"),
+            n_items.alias("n_items"),
+            F.when(n_items > 0, identity).alias("fingerprint"),
         )
         page_columns += ["n_items", "fingerprint"]
     return out.select(*page_columns, F.posexplode_outer("_blocks").alias("item_pos", "_block"))
@@ -92,27 +88,34 @@ def read_fields(blocks: DataFrame, base_url: str) -> DataFrame:
     block = F.col("_block")
     matched = blocks.select(
         *others,
-        F.regexp_extract(block, r"^<[^>]*>", 0).alias("_open"),
+        F.regexp_extract(block, OPENING_TAG, 0).alias("_open"),
         F.regexp_extract(block, LINK, 0).alias("_link"),
-        F.regexp_extract(block, _in_box(NAME_BOX, NAME_CLASS), 0).alias("_name"),
-        F.regexp_extract(block, _in_box(NAME_BOX, MODEL_CLASS), 0).alias("_model"),
-        F.regexp_extract(block, _in_box(PRICE_BOX, PRICE_CLASS), 0).alias("_price"),
+        F.regexp_extract(block, _in_box(NAME_BOX, NAME_CLASS), 1).alias("_name"),
+        F.regexp_extract(block, _in_box(NAME_BOX, MODEL_CLASS), 1).alias("_model"),
+        F.regexp_extract(block, _in_box(PRICE_BOX, PRICE_CLASS), 1).alias("_price"),
     )
-    attributes = matched.select(
+    fragments = matched.select(
         *others,
         H.raw_attribute(F.col("_open"), ID_ATTRIBUTE).alias("_id"),
         H.raw_attribute(F.col("_link"), "href").alias("_href"),
-        "_name",
-        "_model",
-        "_price",
+        *(H.inner(F.col(c)).alias(c) for c in ("_name", "_model", "_price")),
+    )
+    decoded = fragments.select(
+        *others,
+        T.decode_each(
+            H.unquote(F.col("_id")),
+            H.unquote(F.col("_href")),
+            *(H.without_tags(F.col(c)) for c in ("_name", "_model", "_price")),
+        ).alias("_texts"),
     )
-    texts = attributes.select(
+    text = F.col("_texts")
+    texts = decoded.select(
         *others,
-        T.blank_to_null(H.unquote(F.col("_id"))).alias("product_id"),
-        H.unquote(F.col("_href")).alias("href"),
-        H.found_text(F.col("_name"), H.opening("span", NAME_CLASS)).alias("name_full"),
-        H.found_text(F.col("_model"), H.opening("span", MODEL_CLASS)).alias("model_text"),
-        H.found_text(F.col("_price"), H.opening("span", PRICE_CLASS)).alias("price"),
+        T.blank_to_null(text[0]).alias("product_id"),
+        text[1].alias("href"),
+        T.strip(text[2]).alias("name_full"),
+        T.strip(text[3]).alias("model_text"),
+        T.strip(text[4]).alias("price"),
     )
     return finish_record(texts, base_url)
 
