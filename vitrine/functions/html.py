@@ -12,23 +12,26 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vitrine.functions.text import decode_entities, strip
+from vitrine.functions.text import SPACE_CODES, decode_entities, strip
 
-COMMENT = r"(?s:<!--.*?-->)"
-SCRIPT = r"(?s:<(?i:script)\b[^>]*>.*?</(?i:script)\s*>)"
-TAG_OR_COMMENT = rf"{COMMENT}|<[^>]*>"
-# Names and code points of references to white space.
+COMMENT = r"<!--(?s:.*?)-->"
+SCRIPT = r"<(?i:script)\b[^>]*>(?s:.*?)</(?i:script)\s*>"
+# Names of references to white space.
 _SPACE_REFERENCES = "|".join(
-    ["nbsp", "ensp", "emsp", "thinsp"]
-    + [
-        rf"#0*{code}|#[xX]0*(?i:{code:x})"
-        for code in (*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)
-    ]
+    ["nbsp", "ensp", "emsp", "thinsp"] + [rf"#0*{c}|#[xX]0*(?i:{c:x})" for c in SPACE_CODES]
 )
 _SPACES = rf"(?:[\s\x1c-\x1f]++|&(?:{_SPACE_REFERENCES});)*+"
 QUOTED = r"\"[^\"]*\"|'[^']*'|[^\s\"'>]+"
 
 
+def any_of(*patterns: str) -> str:
+    """Alternatives that all start with ``<``, tried only where one stands."""
+    return f"<(?:{'|'.join(pattern[1:] for pattern in patterns)})"
+
+
+TAG_OR_COMMENT = any_of(COMMENT, r"<[^>]*>")
+
+
 def has_class(name: str) -> str:
     """Look-ahead, valid just after a tag name: the class list holds this name."""
     word = re.escape(name)
@@ -64,16 +67,35 @@ def within(tag: str) -> str:
     return rf"(?s:(?!</(?i:{tag})\b).)*?"
 
 
-def first_element(html: Column, tag: str) -> Column:
-    """First element of a kind outside comments and scripts, null when there is none."""
-    pattern = rf"{SCRIPT}|{COMMENT}|({opening(tag)}(?s:.*?)</(?i:{tag})\s*>)"
-    found = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
-    return F.try_element_at(F.filter(found, lambda element: element != ""), F.lit(1))
+def pieces(html: Column, *patterns: str) -> Column:
+    """Array of comments, scripts and matches of the patterns, in page order, in one pass.
+
+    Comments and scripts are taken as wholes, so nothing inside them can match.
+    """
+    return F.regexp_extract_all(html, F.lit(any_of(COMMENT, SCRIPT, *patterns)), F.lit(0))
+
+
+def of_kind(found: Column, pattern: str) -> Column:
+    """The pieces that start with a pattern."""
+    return F.filter(found, lambda piece: piece.rlike(f"^{pattern}"))
+
+
+def comment_texts(found: Column) -> Column:
+    """Stripped texts of the comments among the pieces."""
+    comments = F.filter(found, lambda piece: piece.startswith("<!--"))
+    return F.transform(
+        comments, lambda piece: strip(F.substring(piece, F.lit(5), F.length(piece) - 7))
+    )
+
+
+def element_content(element: Column) -> Column:
+    """What stands between an element's opening tag and its closing tag."""
+    return F.regexp_replace(element, r"^<[^>]*>|</[^>]*>\z", "")
 
 
 def without_hidden(html: Column) -> Column:
     """HTML without comments and scripts, whose content must not be read as elements."""
-    return F.regexp_replace(html, rf"{COMMENT}|{SCRIPT}", "")
+    return F.regexp_replace(html, any_of(COMMENT, SCRIPT), "")
 
 
 def raw_attribute(tag: Column, name: str) -> Column:
@@ -101,7 +123,8 @@ def without_tags(fragment: Column) -> Column:
 
     White space next to a tag goes with the tag, also where it is written as a reference.
     """
-    return F.regexp_replace(fragment, rf"(?U){_SPACES}(?:(?:{TAG_OR_COMMENT}){_SPACES})+", "")
+    tags = rf"(?U){_SPACES}(?:{TAG_OR_COMMENT}{_SPACES})+"
+    return F.when(fragment.contains("<"), F.regexp_replace(fragment, tags, "")).otherwise(fragment)
 
 
 def visible_text(fragment: Column) -> Column:

@@ -12,9 +12,21 @@ from html.entities import name2codepoint
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_SPACE = r"[\s\x1c-\x1f]"
-# The look-behind lets a run of inner spaces be tried once, not once per character.
-_EDGES = rf"(?U)^{_SPACE}+|(?<!{_SPACE}){_SPACE}+\z"
+# The characters that count as white space at the ends of a text.
+SPACE_CODES = (
+    *range(0x09, 0x0E),
+    *range(0x1C, 0x21),
+    0x85,
+    0xA0,
+    0x1680,
+    *range(0x2000, 0x200B),
+    0x2028,
+    0x2029,
+    0x202F,
+    0x205F,
+    0x3000,
+)
+_SPACES = "".join(map(chr, SPACE_CODES))
 
 # The bracket styles of listing names and the shape of a card number.
 CONDITION = "(?d)〔.*?〕"
@@ -26,7 +38,7 @@ UNSAFE_IN_NAME = "[^a-zA-Z0-9._-]+"
 
 def strip(text: Column) -> Column:
     """Remove Unicode white space (U+3000 included) from both ends."""
-    return F.regexp_replace(text, _EDGES, "")
+    return F.btrim(text, F.lit(_SPACES))
 
 
 def blank_to_null(text: Column) -> Column:

@@ -19,27 +19,35 @@ PRICE_CLASS, USD_CLASS, EUR_CLASS = "card-price", "usd", "eur"
 RARITY_MARK = "·"
 LINK_ROOT, LINK_FIELDS = "cards", ("lang", "set_code", "card_code")
 
+_BOX = H.opening("*", PRINT_BOX)
+# The first untitled span of the details box, and its content once that match is cut out.
 _RARITY = (
-    H.opening("*", PRINT_BOX)
+    _BOX
     + r"(?s:.*?)"
     + H.opening("*", PRINT_DETAILS)
     + H.within("div")
     + H.opening("span", without=PRINT_TITLE)
-    + H.content("span")
+    + r"(?s:.*?)</(?i:span)\s*>"
 )
-_HREF = rf"{H.SCRIPT}|{H.COMMENT}|<(?i:a)\b[^>]*?\s(?i:href)\s*=\s*({H.QUOTED})"
+_RARITY_END = _RARITY.removesuffix(r"(?s:.*?)</(?i:span)\s*>") + r"((?s:.*?))</(?i:span)\s*>\z"
+_LINK_TAG = r"<(?i:a)\s[^>]*>"
+_LINK_START = r"<(?i:a)\s"
+
+
+def _price_tag(currency: str) -> str:
+    return H.opening("span", PRICE_CLASS, currency)
 
 
 def _price_span(currency: str) -> str:
-    return H.opening("span", PRICE_CLASS, currency) + H.content("span")
+    return _price_tag(currency) + r"(?s:.*?)</(?i:span)\s*>"
 
 
 def hrefs(html: Column) -> Column:
     """Array of the page's link targets in page order, decoded and stripped."""
-    written = F.regexp_extract_all(html, F.lit(_HREF), F.lit(1))
-    return F.transform(
-        F.filter(written, lambda h: h != ""), lambda h: T.strip(T.decode_entities(H.unquote(h)))
-    )
+    tags = H.of_kind(H.pieces(html, _LINK_TAG), _LINK_START)
+    written = F.transform(tags, lambda tag: H.raw_attribute(tag, "href"))
+    targets = F.transform(F.filter(written, lambda raw: raw != ""), H.unquote)
+    return F.transform(targets, lambda target: T.strip(T.decode_entities(target)))
 
 
 def extract_links(
@@ -72,8 +80,7 @@ def links_from_hrefs(
 
 def comments(html: Column) -> Column:
     """Array of comment texts, stripped; text inside scripts is no comment."""
-    found = F.regexp_extract_all(html, F.lit(rf"{H.SCRIPT}|(?s:<!--(.*?)-->)"), F.lit(1))
-    return F.transform(found, T.strip)
+    return H.comment_texts(H.pieces(html))
 
 
 def labelled_comment(comment_texts: Column, label: str) -> Column:
@@ -92,24 +99,27 @@ def rarity_of(detail_text: Column) -> Column:
 def card_fields(pages: DataFrame, keep: Sequence[str], html: str = "html") -> DataFrame:
     """Add ``card_id, data_id, rarity, usd_price, eur_price``; HTML is dropped.
 
-    Each page is read in one pass per pattern within a single projection stage.
+    Two passes read a page: one for comments and prices, one for the print box.
     """
-    page, seen = F.col(html), F.col("_visible")
-    visible = pages.select(
-        *keep, comments(page).alias("_comments"), H.without_hidden(page).alias("_visible")
-    )
-    matched = visible.select(
+    page = F.col(html)
+    found = pages.select(
         *keep,
-        "_comments",
-        F.regexp_extract(seen, _RARITY, 1).alias("_detail"),
-        F.regexp_extract(seen, _price_span(USD_CLASS), 1).alias("_usd"),
-        F.regexp_extract(seen, _price_span(EUR_CLASS), 1).alias("_eur"),
+        H.pieces(page, _price_span(USD_CLASS), _price_span(EUR_CLASS)).alias("_found"),
+        H.pieces(page, _RARITY).alias("_boxes"),
     )
-    fragments = matched.select(
-        *keep, "_comments", *(H.inner(F.col(c)).alias(c) for c in ("_detail", "_usd", "_eur"))
+
+    def first_of(column: str, start: str) -> Column:
+        return F.try_element_at(H.of_kind(F.col(column), start), F.lit(1))
+
+    matched = found.select(
+        *keep,
+        H.comment_texts(F.col("_found")).alias("_comments"),
+        F.regexp_extract(first_of("_boxes", _BOX), _RARITY_END, 1).alias("_detail"),
+        H.element_content(first_of("_found", _price_tag(USD_CLASS))).alias("_usd"),
+        H.element_content(first_of("_found", _price_tag(EUR_CLASS))).alias("_eur"),
     )
     fragment_texts = (H.without_tags(F.col(c)) for c in ("_detail", "_usd", "_eur"))
-    texts = fragments.select(*keep, "_comments", T.decode_each(*fragment_texts).alias("_texts"))
+    texts = matched.select(*keep, "_comments", T.decode_each(*fragment_texts).alias("_texts"))
     text = F.col("_texts")
     return texts.select(
         *keep,

@@ -11,21 +11,21 @@ from vitrine.functions import html as H
 from vitrine.functions import text as T
 
 SCRIPT_PREVIEW = 500
+_TITLE = H.opening("title") + r"(?s:.*?)</(?i:title)\s*>"
+_META = r"<(?i:meta)\b[^>]*>"
 
 
 def page_titles(pages: DataFrame, keep: Sequence[str], html: str = "html") -> DataFrame:
     """X11: the page title, null when the page has none."""
-    found = pages.select(*keep, H.first_element(F.col(html), "title").alias("_title"))
-    inner = F.regexp_replace(F.col("_title"), r"(?s)^<[^>]*>|</[^>]*>\z", "")
-    return found.select(*keep, T.decode_entities(inner).alias("title"))
+    titles = H.of_kind(H.pieces(F.col(html), _TITLE), H.opening("title"))
+    found = pages.select(*keep, F.try_element_at(titles, F.lit(1)).alias("_title"))
+    content = H.element_content(F.col("_title"))
+    return found.select(*keep, T.decode_entities(content).alias("title"))
 
 
 def meta_tags(pages: DataFrame, keep: Sequence[str], html: str = "html") -> DataFrame:
     """One row per meta tag with a non-empty name or property, in page order."""
-    found = F.regexp_extract_all(
-        F.col(html), F.lit(rf"{H.SCRIPT}|{H.COMMENT}|(<(?i:meta)\b[^>]*>)"), F.lit(1)
-    )
-    tags = F.filter(found, lambda t: t != "")
+    tags = H.of_kind(H.pieces(F.col(html), _META), _META)
     rows = pages.select(*keep, F.posexplode(tags).alias("meta_pos", "_tag"))
     names = ("name", "property", "content")
     values = T.decode_each(*(H.attribute(F.col("_tag"), name) for name in names))
@@ -47,10 +47,9 @@ def inline_scripts(
     pages: DataFrame, keep: Sequence[str], html: str = "html", preview: int = SCRIPT_PREVIEW
 ) -> DataFrame:
     """Non-empty scripts, numbered over all scripts of the page; a preview and full length."""
-    found = F.regexp_extract_all(F.col(html), F.lit(rf"{H.COMMENT}|{H.SCRIPT}"), F.lit(0))
-    scripts = F.filter(found, lambda s: ~s.startswith("<!--"))
+    scripts = H.of_kind(H.pieces(F.col(html)), r"<(?i:script)\b")
     rows = pages.select(*keep, F.posexplode(scripts).alias("script_pos", "_script"))
-    code = T.strip(F.regexp_replace(F.col("_script"), r"(?s)^<[^>]*>|</[^>]*>\z", ""))
+    code = T.strip(H.element_content(F.col("_script")))
     return preview_scripts(rows.select(*keep, "script_pos", code.alias("_code")), keep, preview)
 
 
