@@ -37,13 +37,13 @@ def card_path(url: Column) -> Column:
 
 
 def _without_dots(path: Column) -> Column:
-    """Drop ``.`` and resolve ``..``, as a fold over the path's parts."""
+    """Drop ``.`` and resolve ``..``, as a fold over an absolute path's parts."""
     parts = F.split(path, "/")
     kept = F.aggregate(
         parts,
         F.array().cast("array<string>"),
         lambda acc, part: F.when(part == ".", acc)
-        .when(part == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0))))
+        .when(part == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(1))))
         .otherwise(F.array_append(acc, part)),
     )
     joined = F.array_join(
