@@ -57,7 +57,7 @@ def test_page_files_are_read_whole(spark, tmp_path):
     assert "ミュウ" in files.first().html
 
 
-def test_pipeline_inputs(spark):
+def test_series_lists(spark):
     urls = spark.createDataFrame(
         [("Shop", "B", "u"), ("SHOP", "A", " "), ("other", "C", "u"), ("shop", "A2", "\t"), ("shop", None, "u")],
         schemas.SERIES_URLS,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from functools import lru_cache
 from html.entities import name2codepoint
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -83,7 +84,12 @@ def safe_name(text: Column) -> Column:
 
 
 def same_folded(left: Column, right: Column) -> Column:
-    return F.lower(left) == F.lower(right)
+    """Equal up to the case of ASCII letters; other letters must match as they are."""
+
+    def folded(text: Column) -> Column:
+        return F.translate(text, ascii_uppercase, ascii_lowercase)
+
+    return folded(left) == folded(right)
 
 
 def not_blank(text: Column) -> Column:

@@ -40,6 +40,29 @@ def kept_items(
     return paging.cut_off(current, series, max_pages=max_pages)
 
 
+def page_ledger(items: DataFrame, run: Sequence[str] = ()) -> DataFrame:
+    """One short row per page: newest landing, item count and fingerprint.
+
+    The rows of a page come from one task, so almost all of the reduction is map-side.
+    """
+    keys = (*run, "series_code", "page_index")
+    landing = F.struct("fetched_at", "_landing", "n_items", "fingerprint")
+    newest = F.struct(F.col("fetched_at"), -F.col("_landing"))
+    return items.groupBy(*keys).agg(F.max_by(landing, newest).alias("_l")).select(*keys, "_l.*")
+
+
+def staged_items(items: DataFrame, inside: DataFrame, run: Sequence[str] = ()) -> DataFrame:
+    """As ``kept_items`` for written item rows: only ledger rows took part in paging.
+
+    Items meet their ledger row on page and landing, so no series and no page with many
+    copies gathers in one task; a short ledger is broadcast by size.
+    """
+    keys = [*run, "series_code", "page_index", "_landing"]
+    return items.where(F.col("item_pos").isNotNull()).join(
+        inside.select(*keys), keys, "left_semi"
+    )
+
+
 def check_items(items: DataFrame, strict: bool = False) -> DataFrame:
     """Stored columns of every item with the reason to reject it, null for none."""
     grouped = items.withColumn("product_group", product_group(F.col("url"))).drop("url")
@@ -87,31 +110,40 @@ def written_counts(records: DataFrame, run: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def write_listings(
-    spark: SparkSession, pages: DataFrame, root: str, base_url: str, run_id: int
+def store_records(
+    spark: SparkSession, records: DataFrame, root: str, run_id: int
 ) -> DataFrame:
-    """Read one run's pages once and update all outputs below ``root``.
-
-    Checked records are written first; products, snapshots, rejects and counts are read from
-    them.  A lost executor costs at most a re-read of that table, and a repeated run with the
-    same id leaves the same result.  Returns the run's counts.
-    """
-    listing_records(pages, base_url).write.mode("overwrite").parquet(
-        f"{root}/records/run_id={run_id}"
-    )
-    records = spark.read.parquet(f"{root}/records/run_id={run_id}")
+    """Write checked records, then update products and prices from them; returns counts."""
+    tables.append_run(records, f"{root}/records", run_id)
+    checked = spark.read.parquet(f"{root}/records/run_id={run_id}")
     tables.publish_upsert(
         spark,
         f"{root}/products",
         schemas.SHOP_PRODUCTS,
-        product_rows(records),
+        product_rows(checked),
         U.PRODUCTS,
         ARRIVAL,
         run_id,
     )
-    prices = U.snapshots(quality.accepted(records))
+    prices = U.snapshots(quality.accepted(checked))
     tables.append_run(prices, f"{root}/prices", run_id, ("observed_date",))
-    return written_counts(records)
+    return written_counts(checked)
+
+
+def write_listings(
+    spark: SparkSession, pages: DataFrame, root: str, base_url: str, run_id: int
+) -> DataFrame:
+    """Read one crawl's pages once and update all outputs below ``root``.
+
+    Item rows are written first, without any shuffle; paging works on their ledger, and
+    records, products and prices are read from written tables.  A lost executor costs at most
+    a re-read of those, and a repeated run with the same id leaves the same result.  Returns
+    the run's counts.
+    """
+    tables.append_run(page_items(pages, base_url), f"{root}/items", run_id)
+    items = spark.read.parquet(f"{root}/items/run_id={run_id}")
+    inside = paging.cut_off(page_ledger(items))
+    return store_records(spark, check_items(staged_items(items, inside)), root, run_id)
 
 
 def saved_listing(files: DataFrame, base_url: str) -> DataFrame:

@@ -11,61 +11,38 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from vitrine import schemas
-from vitrine.operators import paging, quality
-from vitrine.operators import upsert as U
+from vitrine.operators import paging
 from vitrine.plans import cards, listings
 from vitrine.sources import tables
 from vitrine.sources.pages import fetched
 
-PAGE_KEYS = ("series_code", "page_index")
-
-
 def landed_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     """Stream of landed page rows from Parquet files dropped into a folder."""
     reader = spark.readStream.schema(schemas.LANDED_PAGES)
     return reader.option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def _known_ends(items: DataFrame, touched: DataFrame) -> DataFrame:
-    """Pages still inside their series, for the touched series, from all landings so far."""
-    pages = (
-        items.join(touched, "series_code", "left_semi")
-        .groupBy(*PAGE_KEYS)
-        .agg(F.max_by(F.struct("n_items", "fingerprint"), "fetched_at").alias("_page"))
-        .select(*PAGE_KEYS, "_page.*")
-    )
-    return paging.cut_off(pages).select(*PAGE_KEYS)
-
-
-def fold_listings(spark: SparkSession, batch: DataFrame, batch_id: int, root: str, base_url: str) -> None:
+def fold_listings(
+    spark: SparkSession, batch: DataFrame, batch_id: int, root: str, base_url: str
+) -> None:
     """Fold one micro-batch of listing pages.
 
     A crawl reads a series page by page, so a page lands no earlier than the pages before it.
-    Whether it lies past the end of its series is decided from every page landed so far, read
-    back as four small columns of the touched series.
+    Whether it lies past the end of its series is decided from the ledger of all pages landed
+    so far: one short row per page, cut down to the series this batch touches.
     """
-    folder = f"{root}/items"
-    items = listings.page_items(fetched(batch), base_url)
-    tables.append_run(items, folder, batch_id)
-    current = spark.read.parquet(f"{folder}/run_id={batch_id}")
-    landed = spark.read.parquet(folder).where(F.col("run_id") <= batch_id)
-    inside = _known_ends(landed, current.select("series_code").distinct())
-    newest = [F.desc("fetched_at"), F.col("_landing")]
-    latest = paging.latest_copies(current.where("item_pos is not null"), PAGE_KEYS, newest)
-    records = listings.check_items(latest.join(inside, list(PAGE_KEYS), "left_semi"))
-    tables.append_run(records, f"{root}/records", batch_id)
-    checked = spark.read.parquet(f"{root}/records/run_id={batch_id}")
-    tables.publish_upsert(
-        spark,
-        f"{root}/products",
-        schemas.SHOP_PRODUCTS,
-        listings.product_rows(checked),
-        U.PRODUCTS,
-        listings.ARRIVAL,
-        batch_id,
-    )
-    prices = U.snapshots(quality.accepted(checked))
-    tables.append_run(prices, f"{root}/prices", batch_id, ("observed_date",))
+    items_now = listings.page_items(fetched(batch), base_url)
+    tables.append_run(items_now, f"{root}/items", batch_id)
+    items = spark.read.parquet(f"{root}/items/run_id={batch_id}")
+    tables.append_run(listings.page_ledger(items), f"{root}/ledger", batch_id)
+    ledger = spark.read.parquet(f"{root}/ledger").where(F.col("run_id") <= batch_id)
+    touched = spark.read.parquet(f"{root}/ledger/run_id={batch_id}").select("series_code")
+    known = ledger.join(touched.distinct(), "series_code", "left_semi")
+    newest = [F.desc("fetched_at"), F.desc("run_id")]
+    current = paging.latest_copies(known, ("series_code", "page_index"), newest)
+    inside = paging.cut_off(current).where(F.col("run_id") == batch_id)
+    kept = listings.staged_items(items, inside)
+    listings.store_records(spark, listings.check_items(kept), root, batch_id)
 
 
 def _writer(stream: DataFrame, root: str, fold) -> DataStreamWriter:

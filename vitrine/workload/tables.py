@@ -259,6 +259,7 @@ def _observed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         "event_type",
         utc_instant(F.col("ts")).alias("observed_at"),
+        "value",
         F.when(kind != "error", F.col("value")).alias("price"),
         F.when(kind == "click", "Rare").when(kind == "view", "Common").alias("rarity"),
         F.when(kind == "signup", F.col("event_id")).alias("data_id"),
@@ -365,9 +366,12 @@ def card_price_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every observation, then a second batch a day later; nothing is merged."""
     day_later = F.timestamp_add("DAY", F.lit(1), F.col("observed_at"))
-    seen = _observed(spark, sf_dir).withColumn("product_id", F.col("user_id").cast("string"))
-    events = table(spark, sf_dir, "events").select("event_id", F.col("value").alias("price_yen"))
-    seen = seen.drop("price").join(events, "event_id")
+    seen = _observed(spark, sf_dir).select(
+        F.col("user_id").cast("string").alias("product_id"),
+        "observed_at",
+        F.col("value").alias("price_yen"),
+        "event_type",
+    )
     second = seen.where("event_type = 'purchase'").withColumns(
         {"observed_at": day_later, "price_yen": F.col("price_yen") + 1}
     )
