@@ -36,7 +36,7 @@ def has_class(name: str) -> str:
     """Look-ahead, valid just after a tag name: the class list holds this name."""
     word = re.escape(name)
     return (
-        rf"(?=[^>]*\s(?i:class)\s*=\s*(?:\"(?:[^\">]*\s)?{word}(?:\s[^\"]*)?\""
+        rf"(?=[^>]*?\s(?i:class)\s*=\s*(?:\"(?:[^\">]*\s)?{word}(?:\s[^\"]*)?\""
         rf"|'(?:[^'>]*\s)?{word}(?:\s[^']*)?'|{word}(?=[\s>])))"
     )
 

@@ -8,10 +8,8 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vitrine.functions.text import first_match
-
-YEN_DIGITS = r"(?U)[\d,]+"
-DECIMAL = r"(?U)\d+\.?\d*"
+YEN_DIGITS = "[0-9,]+"
+DECIMAL = r"[0-9]+\.?[0-9]*"
 
 
 @lru_cache(maxsize=1)
@@ -24,7 +22,7 @@ def _digits() -> tuple[str, str]:
 
 def _ascii_digits(text: Column) -> Column:
     wide, plain = _digits()
-    return F.when(text.rlike("[^0-9.,]"), F.translate(text, wide, plain)).otherwise(text)
+    return F.translate(text, wide, plain)
 
 
 def yen_price(text: Column) -> Column:
@@ -32,10 +30,10 @@ def yen_price(text: Column) -> Column:
 
     A decimal part is cut off, and a run of commas alone is null.
     """
-    run = F.regexp_replace(_ascii_digits(first_match(text, YEN_DIGITS)), ",", "")
-    return run.try_cast("double")
+    run = F.regexp_extract(_ascii_digits(text), YEN_DIGITS, 0)
+    return F.replace(run, F.lit(","), F.lit("")).try_cast("double")
 
 
 def decimal_price(text: Column) -> Column:
     """First decimal number: ``$0.15`` is 0.15.  It ends at a comma: ``1,234.56`` is 1.0."""
-    return _ascii_digits(first_match(text, DECIMAL)).try_cast("double")
+    return F.regexp_extract(_ascii_digits(text), DECIMAL, 0).try_cast("double")
