@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from vitrine.operators import cards, dom, inspect, listing
 from vitrine.plans import cards as card_plan
+from vitrine.plans import listings
+from vitrine.workload import inputs
 
 BASE = "https://shop.example"
 
@@ -137,3 +139,15 @@ def test_card_ids_that_are_no_numbers_are_rejected(spark):
         ("1", None, "card_id"),
         ("2", None, "card_id"),
     }
+
+
+def test_both_routes_give_the_same_records(spark):
+    crawled = inputs.crawled_pages(spark, "/root/testdata/sf0.001")
+    native, tolerant = (
+        listings.listing_records(crawled, inputs.SHOP, ["run_id"], tolerant=tolerant)
+        for tolerant in (False, True)
+    )
+    assert sorted(map(str, native.collect())) == sorted(map(str, tolerant.collect()))
+    card_frame = inputs.card_pages(spark, "/root/testdata/sf0.001")
+    native, tolerant = (card_plan.card_records(card_frame, t) for t in (False, True))
+    assert sorted(map(str, native.collect())) == sorted(map(str, tolerant.collect()))

@@ -18,6 +18,7 @@ from pyspark.sql import types as S
 
 from vitrine.functions import text as T
 from vitrine.functions.prices import decimal_price
+from vitrine.functions.urls import resolve_url
 from vitrine.operators import cards, inspect, listing
 
 TEXT, COMMENT = "#text", "#comment"
@@ -162,37 +163,57 @@ def _with_nodes(pages: DataFrame, keep: Sequence[str], html: str) -> DataFrame:
     return pages.select(*keep, page_nodes(F.col(html)).alias("_nodes"))
 
 
-def parse_products(
-    pages: DataFrame, base_url: str, keep: Sequence[str], html: str = "html"
+def _product_id(block: Column) -> Column:
+    return T.blank_to_null(F.try_element_at(block[0]["attrs"], F.lit(listing.ID_ATTRIBUTE)))
+
+
+def _product_href(block: Column) -> Column:
+    link = first(select_nodes(block, "a", listing.LINK_CLASS))
+    return F.try_element_at(link["attrs"], F.lit("href"))
+
+
+def explode_blocks(
+    pages: DataFrame, keep: Sequence[str], base_url: str | None = None, html: str = "html"
 ) -> DataFrame:
-    """As ``listing.parse_products``; an outer block includes the fields of inner ones."""
-    nodes, block = F.col("_nodes"), F.col("_block")
-    blocks = F.transform(
+    """As ``listing.explode_blocks``; ``_block`` holds the nodes of the block's subtree."""
+    nodes, blocks = F.col("_nodes"), F.col("_blocks")
+    trees = F.transform(
         select_nodes(nodes, "div", listing.BLOCK_CLASS), lambda top: subtree(nodes, top)
     )
-    rows = _with_nodes(pages, keep, html).select(
-        *keep, F.posexplode(blocks).alias("item_pos", "_block")
-    )
+    out = _with_nodes(pages, keep, html).select(*keep, trees.alias("_blocks"))
+    page_columns: list[Column | str] = list(keep)
+    if base_url is not None:
+        top = F.try_element_at(blocks, F.lit(1))
+        identity = F.struct(
+            _product_id(top).alias("product_id"),
+            resolve_url(base_url, _product_href(top)).alias("product_url"),
+        )
+        page_columns += [
+            F.size(blocks).alias("n_items"),
+            F.when(F.size(blocks) > 0, identity).alias("fingerprint"),
+        ]
+    return out.select(*page_columns, F.posexplode_outer(blocks).alias("item_pos", "_block"))
+
+
+def read_fields(blocks: DataFrame, base_url: str) -> DataFrame:
+    """As ``listing.read_fields``."""
+    block = F.col("_block")
+    others = [c for c in blocks.columns if c != "_block"]
 
     def in_box(box: str, span: str) -> Column:
         return first(select_within(select_nodes(block, "p", box), select_nodes(block, "span", span)))
 
-    found = rows.select(
-        *keep,
-        "item_pos",
+    found = blocks.select(
+        *others,
         "_block",
-        first(select_nodes(block, "a", listing.LINK_CLASS)).alias("_link"),
         in_box(listing.NAME_BOX, listing.NAME_CLASS).alias("_name"),
         in_box(listing.NAME_BOX, listing.MODEL_CLASS).alias("_model"),
         in_box(listing.PRICE_BOX, listing.PRICE_CLASS).alias("_price"),
     )
     texts = found.select(
-        *keep,
-        "item_pos",
-        T.blank_to_null(F.try_element_at(block[0]["attrs"], F.lit(listing.ID_ATTRIBUTE))).alias(
-            "product_id"
-        ),
-        F.try_element_at(F.col("_link")["attrs"], F.lit("href")).alias("href"),
+        *others,
+        _product_id(block).alias("product_id"),
+        _product_href(block).alias("href"),
         node_text(block, F.col("_name")).alias("name_full"),
         node_text(block, F.col("_model")).alias("model_text"),
         node_text(block, F.col("_price")).alias("price"),
@@ -200,6 +221,14 @@ def parse_products(
     return listing.finish_record(texts, base_url)
 
 
+def parse_products(
+    pages: DataFrame, base_url: str, keep: Sequence[str], html: str = "html"
+) -> DataFrame:
+    """As ``listing.parse_products``; an outer block includes the fields of inner ones."""
+    blocks = explode_blocks(pages, keep, html=html).where(F.col("_block").isNotNull())
+    return read_fields(blocks, base_url)
+
+
 def extract_links(
     pages: DataFrame,
     keep: Sequence[str],

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine import schemas
-from vitrine.operators import cards, quality
+from vitrine.operators import cards, dom, quality
 from vitrine.operators import upsert as U
 from vitrine.sources import tables
 
@@ -16,13 +16,15 @@ PRICED_LANG = "en"
 ARRIVAL = ("observed_at", "set_code", "lang", "card_code")
 
 
-def card_records(pages: DataFrame) -> DataFrame:
+def card_records(pages: DataFrame, tolerant: bool = False) -> DataFrame:
     """Landed card pages to checked records; keys come from the page's own row.
 
-    An id that is missing or no number rejects the record.
+    An id that is missing or no number rejects the record.  ``tolerant`` reads pages through
+    the tree of ``operators.dom``.
     """
+    reader = dom if tolerant else cards
     keep = ("lang", "set_code", "card_code", "fetched_at")
-    read = cards.card_fields(pages, keep).withColumnRenamed("fetched_at", "observed_at")
+    read = reader.card_fields(pages, keep).withColumnRenamed("fetched_at", "observed_at")
     typed = read.withColumn("data_id", F.col("data_id").try_cast("bigint"))
     return quality.require_integer_id(typed)
 
@@ -51,9 +53,11 @@ def card_prices(records: DataFrame, stored: DataFrame | None = None) -> DataFram
     return U.upsert(stored, rows, U.CARD_PRICES, ARRIVAL)
 
 
-def write_cards(spark: SparkSession, pages: DataFrame, root: str, run_id: int) -> DataFrame:
+def write_cards(
+    spark: SparkSession, pages: DataFrame, root: str, run_id: int, tolerant: bool = False
+) -> DataFrame:
     """Read one run's pages once and update both tables below ``root``; returns the rejects."""
-    card_records(pages).write.mode("overwrite").parquet(f"{root}/records/run_id={run_id}")
+    tables.append_run(card_records(pages, tolerant), f"{root}/records", run_id)
     records = spark.read.parquet(f"{root}/records/run_id={run_id}")
     for name, schema, rows, policy in (
         ("card_index", schemas.CARD_INDEX, index_rows(records), U.CARD_INDEX),

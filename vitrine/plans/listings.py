@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vitrine import schemas
 from vitrine.functions.urls import product_group
-from vitrine.operators import counts, listing, paging, quality
+from vitrine.operators import counts, dom, listing, paging, quality
 from vitrine.operators import upsert as U
 from vitrine.operators.frontier import MAX_PAGES
 from vitrine.sources import tables
@@ -18,15 +18,19 @@ from vitrine.sources import tables
 ARRIVAL = ("observed_at", "series_code", "page_index", "item_pos")
 
 
-def page_items(pages: DataFrame, base_url: str, run: Sequence[str] = ()) -> DataFrame:
+def page_items(
+    pages: DataFrame, base_url: str, run: Sequence[str] = (), tolerant: bool = False
+) -> DataFrame:
     """Record rows of every landed page, before paging; an empty page is one null row.
 
     All reading of HTML happens here, in one pass over the pages and without a shuffle.
+    ``tolerant`` reads pages through the tree of ``operators.dom``.
     """
+    reader = dom if tolerant else listing
     keep = (*run, "series_code", "page_index", "url", "fetched_at", "_landing")
     landed = pages.withColumn("_landing", F.monotonically_increasing_id())
-    blocks = listing.explode_blocks(landed, keep, base_url)
-    return listing.with_price(listing.read_fields(blocks, base_url))
+    blocks = reader.explode_blocks(landed, keep, base_url)
+    return listing.with_price(reader.read_fields(blocks, base_url))
 
 
 def kept_items(
@@ -80,9 +84,10 @@ def listing_records(
     run: Sequence[str] = (),
     max_pages: int = MAX_PAGES,
     strict: bool = False,
+    tolerant: bool = False,
 ) -> DataFrame:
     """Landed pages to checked records, one row per item of a kept page."""
-    kept = kept_items(page_items(pages, base_url, run), run, max_pages)
+    kept = kept_items(page_items(pages, base_url, run, tolerant), run, max_pages)
     return check_items(kept, strict)
 
 
@@ -131,7 +136,12 @@ def store_records(
 
 
 def write_listings(
-    spark: SparkSession, pages: DataFrame, root: str, base_url: str, run_id: int
+    spark: SparkSession,
+    pages: DataFrame,
+    root: str,
+    base_url: str,
+    run_id: int,
+    tolerant: bool = False,
 ) -> DataFrame:
     """Read one crawl's pages once and update all outputs below ``root``.
 
@@ -140,7 +150,8 @@ def write_listings(
     a re-read of those, and a repeated run with the same id leaves the same result.  Returns
     the run's counts.
     """
-    tables.append_run(page_items(pages, base_url), f"{root}/items", run_id)
+    items_now = page_items(pages, base_url, tolerant=tolerant)
+    tables.append_run(items_now, f"{root}/items", run_id)
     items = spark.read.parquet(f"{root}/items/run_id={run_id}")
     inside = paging.cut_off(page_ledger(items))
     return store_records(spark, check_items(staged_items(items, inside)), root, run_id)
