@@ -15,52 +15,56 @@ from vitrine.workload.registry import table
 SHOP = "https://shop.example"
 CARDS = "https://cards.example/cards"
 
-# One listing page per hundred parts, ten pages per series.
-PAGE = "cast(floor(p_partkey / 100) as bigint)"
-SERIES = "concat('S', cast(cast(floor(p_partkey / 1000) as bigint) as string))"
-PAGE_INDEX = f"({PAGE} % 10 + 1)"
-SERIES_NUMBER = "cast(floor(p_partkey / 1000) as bigint)"
-
-# Part fields as a shop shows them, with the usual gaps.
-CONDITION = "case when p_size % 2 = 0 then '状態A-' end"
-MODEL_NUMBER = "case when p_size % 7 <> 0 then lpad(cast(p_size as string), 3, '0') end"
-BARE_NAME = "case when p_size = 13 then '' else p_name end"
+# One listing page per part, showing it in four conditions (``i`` is 0 to 3); ten pages per
+# series.  A page comes from one row, so building pages groups nothing.
+ITEMS = "(select *, unnest([0, 1, 2, 3]) as i from part)"
+SERIES_NUMBER = "cast(floor(p_partkey / 10) as bigint)"
+SERIES = f"concat('S', cast({SERIES_NUMBER} as string))"
+PAGE_INDEX = "(p_partkey % 10 + 1)"
+
+# Item fields as a shop shows them, with the usual gaps.
+KEY = "cast(p_partkey * 4 + i as string)"
+SIZE = "((p_size + i * 13) % 50 + 1)"
+CONDITION = f"case when {SIZE} % 2 = 0 then '状態A-' end"
+MODEL_NUMBER = f"case when {SIZE} % 7 <> 0 then lpad(cast({SIZE} as string), 3, '0') end"
+SET_SIZE = f"case when {SIZE} % 7 <> 0 then '050' end"
+BARE_NAME = f"case when {SIZE} = 13 then '' else p_name end"
 NAME_FULL = (
-    "concat(case when p_size % 2 = 0 then '〔状態A-〕' else '' end, "
-    f"{BARE_NAME}, '(', p_type, ' & co)【-】', case when p_size % 7 <> 0 "
-    "then concat('{', lpad(cast(p_size as string), 3, '0'), '/050}') else '{SVP-001}' end)"
+    f"concat(case when {SIZE} % 2 = 0 then '〔状態A-〕' else '' end, {BARE_NAME}, '(', p_type, "
+    f"' & co)【-】', case when {SIZE} % 7 <> 0 then concat('{{', lpad(cast({SIZE} as string), "
+    "3, '0'), '/050}') else '{SVP-001}' end)"
 )
-YEN = "cast(round(p_retailprice * 10) as bigint)"
+YEN = "(cast(round(p_retailprice * 10) as bigint) + i * 100)"
 PRICE_TEXT = (
-    "case when p_size = 50 then 'SOLD OUT' else concat("
+    f"case when {SIZE} = 50 then 'SOLD OUT' else concat("
     f"cast(cast(floor({YEN} / 1000) as bigint) as string), ',', "
     f"lpad(cast({YEN} % 1000 as string), 3, '0'), '円') end"
 )
-PRICE_YEN = f"case when p_size <> 50 then cast({YEN} as double) end"
-PRODUCT_PATH = "case when p_size <> 17 then concat('/product/', cast(p_partkey as string)) end"
-PRODUCT_URL = f"case when p_size <> 17 then concat('{SHOP}/product/', cast(p_partkey as string)) end"
-
-
-def _item_html(price_text: str) -> Column:
-    def escaped(sql: str) -> Column:
-        return F.replace(F.expr(sql), F.lit("&"), F.lit("&amp;"))
-
-    path = F.expr(PRODUCT_PATH)
-    href = F.when(path.isNull(), "").otherwise(F.concat(F.lit(' href="'), path, F.lit('"')))
-    return F.concat(
-        F.lit('<div class="list item_data" data-product-id="'),
-        F.col("p_partkey").cast("string"),
-        F.lit('"><a'),
-        href,
-        F.lit(' class="item_data_link">\n<p class="item_name"><span class="goods_name"> '),
-        escaped(NAME_FULL),
-        F.lit('　</span>\n<span class="model_number_value">['),
-        F.col("p_brand"),
-        F.lit("] "),
-        F.col("p_type"),
-        F.lit('</span></p>\n<p class="selling_price"><span class="figure">'),
-        escaped(price_text),
-        F.lit("</span></p></a></div>\n"),
+PRICE_YEN = f"case when {SIZE} <> 50 then cast({YEN} as double) end"
+PRODUCT_URL = f"case when {SIZE} <> 17 then concat('{SHOP}/product/', {KEY}) end"
+
+
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """One partition per core for a scan with fewer splits than that.
+
+    The given tables are single small files, which would leave page reading to one core.  Only
+    narrow rows move, before any page is built; a scan with enough splits stays as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
+
+
+def _items_html(price_text: str) -> Column:
+    """HTML of the four items of one part."""
+    href = f"case when {SIZE} <> 17 then concat(' href=\"/product/', {KEY}, '\"') else '' end"
+    name = f"replace({NAME_FULL}, '&', '&amp;')"
+    return F.expr(
+        f"""array_join(transform(array(0, 1, 2, 3), i -> concat(
+            '<div class="list item_data" data-product-id="', {KEY}, '"><a', {href},
+            ' class="item_data_link">\n<p class="item_name"><span class="goods_name"> ', {name},
+            '　</span>\n<span class="model_number_value">[', p_brand, '] ', p_type,
+            '</span></p>\n<p class="selling_price"><span class="figure">', {price_text},
+            '</span></p></a></div>\n')), '')"""
     )
 
 
@@ -73,22 +77,14 @@ def _page(items: Column) -> Column:
 
 
 def listing_pages(spark: SparkSession, sf_dir: str, price_text: str = PRICE_TEXT) -> DataFrame:
-    """Listing pages holding every part, a hundred per page: ``path, series_code, page_index,
-    html`` with the page number in ``page_no``."""
-    part = table(spark, sf_dir, "part").select(
-        F.expr(PAGE).alias("page_no"), "p_partkey", _item_html(price_text).alias("item")
-    )
-    pages = part.groupBy("page_no").agg(
-        F.array_sort(F.collect_list(F.struct("p_partkey", "item"))).alias("items")
-    )
-    series_number = F.floor(F.col("page_no") / 10).cast("long")
-    return pages.select(
-        "page_no",
-        F.concat(F.lit("page_"), F.col("page_no").cast("string")).alias("path"),
-        F.concat(F.lit("S"), series_number.cast("string")).alias("series_code"),
-        (F.col("page_no") % 10 + 1).cast("int").alias("page_index"),
-        series_number.alias("series_number"),
-        _page(F.array_join(F.col("items.item"), "")).alias("html"),
+    """One listing page per part: ``path, series_code, series_number, page_index, html``."""
+    part = spread(table(spark, sf_dir, "part"), "p_partkey")
+    return part.select(
+        F.concat(F.lit("page_"), F.col("p_partkey").cast("string")).alias("path"),
+        F.expr(SERIES).alias("series_code"),
+        F.expr(SERIES_NUMBER).alias("series_number"),
+        F.expr(PAGE_INDEX).cast("int").alias("page_index"),
+        _page(_items_html(price_text)).alias("html"),
     )
 
 
@@ -96,10 +92,10 @@ def listing_pages(spark: SparkSession, sf_dir: str, price_text: str = PRICE_TEXT
 FIRST_RUN = "timestamp '2024-03-01 06:00:00+00:00'"
 SECOND_RUN = "timestamp '2024-03-02 06:00:00+00:00'"
 SECOND_PRICE_TEXT = (
-    "case when p_size = 50 then 'SOLD OUT' when p_size = 40 then '' else "
+    f"case when {SIZE} = 50 then 'SOLD OUT' when {SIZE} = 40 then '' else "
     f"concat('¥', cast({YEN} + 5 as string)) end"
 )
-SECOND_PRICE_YEN = f"case when p_size not in (40, 50) then cast({YEN} + 5 as double) end"
+SECOND_PRICE_YEN = f"case when {SIZE} not in (40, 50) then cast({YEN} + 5 as double) end"
 
 
 def _crawl(pages: DataFrame, run_id: int, observed: str) -> DataFrame:
@@ -157,7 +153,7 @@ CARD_KEY = "case when p_size not in (13, 17) then p_partkey + 1 end"
 DATA_ID = "case when p_size % 3 <> 0 then p_partkey + 5000 end"
 CARD_LANG = "case when p_size % 2 = 0 then 'en' else 'jp' end"
 RARITY = "case when p_size % 5 <> 0 then p_type end"
-USD = f"case when p_size % 4 <> 0 then cast({YEN} as double) / 1000 end"
+USD = "case when p_size % 4 <> 0 then round(p_retailprice * 10) / 1000 end"
 EUR = "case when p_size % 6 <> 0 then floor(p_retailprice / 100) end"
 
 
@@ -194,7 +190,7 @@ def card_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("</body></html>"),
         )
 
-    part = table(spark, sf_dir, "part")
+    part = spread(table(spark, sf_dir, "part"), "p_partkey")
     visits = part.select(
         F.expr(CARD_LANG).alias("lang"),
         F.col("p_brand").alias("set_code"),

@@ -13,12 +13,12 @@ from vitrine.workload import inputs as I
 from vitrine.workload.registry import query
 
 _RECORDS = f"""
-    select concat('page_', cast({I.PAGE} as string)) as path, p_partkey % 100 as item_pos,
-           cast(p_partkey as string) as product_id, {I.NAME_FULL} as name_full,
-           {I.BARE_NAME} as name, {I.CONDITION} as condition, {I.MODEL_NUMBER} as model_number,
-           case when p_size % 7 <> 0 then '050' end as set_size, p_type as model_code,
-           {I.PRICE_TEXT} as price, {I.PRODUCT_URL} as product_url, {I.PRICE_YEN} as price_yen
-    from part
+    select concat('page_', cast(p_partkey as string)) as path, cast(i as bigint) as item_pos,
+           {I.KEY} as product_id, {I.NAME_FULL} as name_full, {I.BARE_NAME} as name,
+           {I.CONDITION} as condition, {I.MODEL_NUMBER} as model_number,
+           {I.SET_SIZE} as set_size, p_type as model_code, {I.PRICE_TEXT} as price,
+           {I.PRODUCT_URL} as product_url, {I.PRICE_YEN} as price_yen
+    from {I.ITEMS}
 """
 
 
@@ -58,11 +58,10 @@ def top5(spark: SparkSession, sf_dir: str) -> DataFrame:
     "listing_fingerprints",
     f"""
     select {I.SERIES} as series_code, cast({I.PAGE_INDEX} as int) as page_index,
-           count(*) as n_items, cast(min(p_partkey) as string) as first_id,
-           arg_min(struct_pack(u := {I.PRODUCT_URL}), p_partkey).u as first_url
-    from part group by all
+           4 as n_items, {I.KEY} as first_id, {I.PRODUCT_URL} as first_url
+    from {I.ITEMS} where i = 0
     union all
-    select {I.SERIES}, 14, 0, null, null from part group by all
+    select distinct {I.SERIES}, 14, 0, null, null from part
     """,
 )
 def listing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,7 +77,7 @@ def listing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = paging.page_fingerprints(every_page, items, keys, identity, ["item_pos"])
     return prints.select(
         *keys,
-        "n_items",
+        F.col("n_items").cast("int").alias("n_items"),
         F.col("fingerprint.product_id").alias("first_id"),
         F.col("fingerprint.product_url").alias("first_url"),
     )
@@ -87,16 +86,16 @@ def listing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 # What both crawls accept and reject, straight from part.
 _CRAWLED = f"""
     select run_id, {I.SERIES} as series_code, cast({I.PAGE_INDEX} as int) as page_index,
-           p_partkey % 100 as item_pos, cast(p_partkey as string) as product_id,
+           cast(i as bigint) as item_pos, {I.KEY} as product_id,
            cast({I.SERIES_NUMBER} as string) as product_group, {I.MODEL_NUMBER} as model_number,
-           case when p_size % 7 <> 0 then '050' end as set_size, {I.BARE_NAME} as name,
-           {I.NAME_FULL} as name_full, {I.CONDITION} as condition, p_type as model_code,
+           {I.SET_SIZE} as set_size, {I.BARE_NAME} as name, {I.NAME_FULL} as name_full,
+           {I.CONDITION} as condition, p_type as model_code,
            case run_id when 1 then {I.PRICE_YEN} else {I.SECOND_PRICE_YEN} end as price_yen,
            {I.PRODUCT_URL} as url,
            case run_id when 1 then timestamp '2024-03-01 06:00:00'
                 else timestamp '2024-03-02 06:00:00' end
                + to_seconds(cast({I.PAGE_INDEX} * 10 + 1 as int)) as observed_at
-    from part, (values (1), (2)) runs(run_id)
+    from {I.ITEMS}, (values (1), (2)) runs(run_id)
     where {I.KEPT_PARTS}
 """
 _REASON = """

@@ -10,20 +10,26 @@ from vitrine.workload import inputs as I
 from vitrine.workload.registry import query, table
 
 
+def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The items of the built listing pages, as rows."""
+    four = F.explode(F.array(*map(F.lit, range(4)))).alias("i")
+    return table(spark, sf_dir, "part").select("*", four)
+
+
 @query(
     "name_parts",
     f"""
-    select p_partkey, {I.BARE_NAME} as name, {I.CONDITION} as condition,
-           {I.MODEL_NUMBER} as model_number,
-           case when p_size % 7 <> 0 then '050' end as set_size
-    from part
+    select p_partkey, i, {I.BARE_NAME} as name, {I.CONDITION} as condition,
+           {I.MODEL_NUMBER} as model_number, {I.SET_SIZE} as set_size
+    from {I.ITEMS}
     """,
 )
 def name_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     full = F.col("name_full")
-    named = table(spark, sf_dir, "part").select("p_partkey", F.expr(I.NAME_FULL).alias("name_full"))
+    named = _items(spark, sf_dir).select("p_partkey", "i", F.expr(I.NAME_FULL).alias("name_full"))
     return named.select(
         "p_partkey",
+        "i",
         text.clean_name(full).alias("name"),
         text.condition_of(full).alias("condition"),
         text.card_number(full).alias("model_number"),
@@ -50,12 +56,12 @@ def model_code(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.select("p_partkey", text.model_code(F.col("shown")).alias("model_code"))
 
 
-@query("yen_price", f"select p_partkey, {I.PRICE_YEN} as price_yen from part")
+@query("yen_price", f"select p_partkey, i, {I.PRICE_YEN} as price_yen from {I.ITEMS}")
 def yen_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = F.translate(F.expr(I.PRICE_TEXT), "0123456789", "０１２３４５６７８９")
     shown = F.when(F.col("p_size") % 5 == 0, wide).otherwise(F.expr(I.PRICE_TEXT))
-    part = table(spark, sf_dir, "part").select("p_partkey", shown.alias("shown"))
-    return part.select("p_partkey", prices.yen_price(F.col("shown")).alias("price_yen"))
+    items = _items(spark, sf_dir).select("p_partkey", "i", shown.alias("shown"))
+    return items.select("p_partkey", "i", prices.yen_price(F.col("shown")).alias("price_yen"))
 
 
 @query(
