@@ -151,3 +151,30 @@ def test_both_routes_give_the_same_records(spark):
     card_frame = inputs.card_pages(spark, "/root/testdata/sf0.001")
     native, tolerant = (card_plan.card_records(card_frame, t) for t in (False, True))
     assert sorted(map(str, native.collect())) == sorted(map(str, tolerant.collect()))
+
+
+@ROUTES
+def test_very_long_pages(spark, route):
+    """Megabytes between, around and inside the wanted elements; nothing is cut."""
+    filler = "x > ' y " * 150_000
+    name = "<b></b>" * 20_000 + "n" + " " * 50_000 + "&amp;{1/2}" + "<i> </i>" * 5_000
+    wide = block(1, "/1", name, "m" * 200_000, "5円").replace(
+        '<p class="item_name">', f'<p class="item_name"><em>{"z " * 200_000}</em>'
+    )
+    page = (
+        f"<html><!-- {filler} --><script>{filler.replace('>', '&')}</script>"
+        + "<p>" * 3_000
+        + "</p>" * 3_000
+        + wide
+        + f"<p>{'t ' * 300_000}</p>"
+        + CARD
+        + f"<!-- {'-' * 100_000} -->"
+    )
+    row = route[0].parse_products(pages(spark, page), BASE, ["page"]).first()
+    assert (row.model_number, len(row.model_code), row.price) == ("1", 200_000, "5円")
+    assert row.name == "n" + " " * 50_000 + "&"
+    card = route[1].card_fields(pages(spark, page), ["page"]).first()
+    assert (card.card_id, card.rarity, card.usd_price) == ("12", "Uncommon", 0.15)
+    assert route[1].extract_links(pages(spark, page), ["page"]).count() == 2
+    script = route[2].inline_scripts(pages(spark, page), ["page"]).first()
+    assert script.script_length == len(filler.strip()) and len(script.script_text) == 500

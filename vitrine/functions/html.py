@@ -123,7 +123,8 @@ def without_tags(fragment: Column) -> Column:
 
     White space next to a tag goes with the tag, also where it is written as a reference.
     """
-    tags = rf"(?U){_SPACES}(?:{TAG_OR_COMMENT}{_SPACES})+"
+    # A run of spaces is tried from its first space only.
+    tags = rf"(?U)(?<![\s\x1c-\x1f]){_SPACES}(?:{TAG_OR_COMMENT}{_SPACES})++"
     return F.when(fragment.contains("<"), F.regexp_replace(fragment, tags, "")).otherwise(fragment)
 
 
