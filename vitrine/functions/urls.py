@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from vitrine.functions.text import blank_to_null
 
-# RFC 3986, appendix B, with one group per component.
+# Address forms of the shop and of the card site.
+GROUP_IN_URL = r"(?U)/product-group/(\d+)"
+CARD_PATH = r"(/cards/[^?#]+)"
+LISTING_LEAF = "0/photo?num={size}&page="
+TRANSLATED_LANG, TRANSLATED_QUERY = "jp", "?translate=en"
+
+# Parts of the generic URI pattern of RFC 3986, appendix B.
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*:)"
 _ORIGIN = r"^((?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*)"
 _BEFORE_PATH = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?"
@@ -28,12 +34,12 @@ def path_parts(url: Column) -> Column:
 
 def product_group(url: Column) -> Column:
     """Digits after ``/product-group/``, or null."""
-    return blank_to_null(F.regexp_extract(url, r"(?U)/product-group/(\d+)", 1))
+    return blank_to_null(F.regexp_extract(url, GROUP_IN_URL, 1))
 
 
 def card_path(url: Column) -> Column:
     """``/cards/…`` up to the query or fragment, or null."""
-    return blank_to_null(F.regexp_extract(url, r"(/cards/[^?#]+)", 1))
+    return blank_to_null(F.regexp_extract(url, CARD_PATH, 1))
 
 
 def _without_dots(path: Column) -> Column:
@@ -83,11 +89,11 @@ def resolve_url(base: Column | str, ref: Column) -> Column:
 def page_url(list_url: Column, page_index: Column, page_size: int = 100) -> Column:
     """Address of one listing page below a series address."""
     folder = F.concat(F.regexp_replace(list_url, "/+$", ""), F.lit("/"))
-    leaf = F.concat(F.lit(f"0/photo?num={page_size}&page="), page_index.cast("string"))
+    leaf = F.concat(F.lit(LISTING_LEAF.format(size=page_size)), page_index.cast("string"))
     return resolve_url(folder, leaf)
 
 
 def card_url(root: str, lang: Column, set_code: Column, card_code: Column) -> Column:
-    """Address of one card page; Japanese pages are asked for in English."""
+    """Address of one card page; pages in one language are asked for in translation."""
     address = F.concat_ws("/", F.lit(root.rstrip("/")), lang, set_code, card_code.cast("string"))
-    return F.concat(address, F.when(lang == "jp", "?translate=en").otherwise(""))
+    return F.concat(address, F.when(lang == TRANSLATED_LANG, TRANSLATED_QUERY).otherwise(""))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vitrine.functions.times import iso_utc, utc_instant
 from vitrine.functions.urls import product_group
-from vitrine.operators import paging, quality
+from vitrine.operators import frontier, paging, quality
 from vitrine.operators import upsert as U
 from vitrine.sources import pages
 from vitrine.workload import inputs as I
@@ -212,8 +212,8 @@ def first_item_fp(spark: SparkSession, sf_dir: str) -> DataFrame:
     "paging_cutoff",
     """
     with pages as (
-        select conv_id, turn + 1 as page, length(text) % 5 as fp,
-               case when length(text) % 9 = 0 then 0 else length(text) end as n
+        select distinct conv_id, turn + 1 as page, length(text) % 5 as fp,
+               case when length(text) % 9 = 0 then 0 else 1 end as n
         from conversations where turn < 14),
     stops as (
         select p.conv_id, min(p.page) as stop
@@ -226,14 +226,17 @@ def first_item_fp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def paging_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Conversations as series, turns as pages, text length as what a page shows."""
+    """Conversations as series, turns as pages, text length as what a page shows.
+
+    Turns are made distinct first, so repeated ones cannot pile up in a series' window.
+    """
     length = F.length("text").cast("bigint")
-    turns = table(spark, sf_dir, "conversations").select(
+    turns = table(spark, sf_dir, "conversations").where(F.col("turn") < frontier.MAX_PAGES).select(
         "conv_id",
         (F.col("turn") + 1).alias("page"),
         (length % 5).alias("fp"),
-        F.when(length % 9 == 0, 0).otherwise(length).alias("n"),
-    )
+        F.when(length % 9 == 0, 0).otherwise(1).alias("n"),
+    ).distinct()
     kept = paging.cut_off(turns, ["conv_id"], "page", "n", "fp")
     return kept.select("conv_id", "page", "fp")
 
