@@ -90,3 +90,9 @@ def test_no_query_uses_cross_joins_or_single_tasks(spark):
 def test_filters_reach_the_scan(spark):
     text = plan(entry_points.queries()["snapshot_append"](spark, SF_DIR))
     assert "EqualTo(event_type,purchase)" in text
+
+
+def test_work_lists_are_not_sorted_first(spark):
+    for name, shuffles in (("page_frontier", 0), ("card_frontier", 1)):
+        frame = entry_points.queries()[name](spark, SF_DIR)
+        assert len(exchanges(frame)) == shuffles and "rangepartitioning" not in plan(frame)

@@ -11,9 +11,7 @@ from vitrine.workload import inputs as I
 from vitrine.workload.registry import query, table
 
 # Suppliers as series of three sources in mixed case, some without an address.
-_SOURCE = (
-    "case s_nationkey % 3 when 0 then 'Shop' when 1 then 'SHOP' else 'other' end"
-)
+_SOURCE = "case s_nationkey % 3 when 0 then 'Shop' when 1 then 'SHOP' else 'other' end"
 _LIST_URL = (
     "case when s_nationkey % 5 = 0 then null when s_nationkey % 5 = 1 then '  ' "
     "else concat('https://shop.example/product-list/', cast(s_suppkey as string), '/') end"
@@ -44,7 +42,9 @@ def series_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("series_counts", f"select count(*) as n_series from ({_SERIES_SQL})")
 def series_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counts.count_all(series.series_urls(_series(spark, sf_dir), "sHoP"), "n_series")
+    return counts.count_all(
+        series.series_urls(_series(spark, sf_dir), "sHoP", ordered=False), "n_series"
+    )
 
 
 @query(
@@ -58,7 +58,7 @@ def series_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def page_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frontier.page_frontier(series.series_urls(_series(spark, sf_dir), "shop"))
+    return frontier.page_frontier(series.series_urls(_series(spark, sf_dir), "shop", ordered=False))
 
 
 _SIZES = (
@@ -98,4 +98,6 @@ def series_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def card_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return frontier.card_frontier(series.series_sizes(_sizes(spark, sf_dir)), I.CARDS)
+    return frontier.card_frontier(
+        series.series_sizes(_sizes(spark, sf_dir), ordered=False), I.CARDS
+    )
