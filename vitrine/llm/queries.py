@@ -28,3 +28,13 @@ def op10_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", words=3, bits=3)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vitrine.llm.suffix_dedup import remove_repeats
+
+    cut = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", length=200)
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
