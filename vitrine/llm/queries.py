@@ -38,3 +38,16 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op9_pack_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from vitrine.llm.packing import pack
+
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    pieces = pack(documents, public_tokenizers.path("word_bpe_49k.json"), end_id=2, length=4096)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
