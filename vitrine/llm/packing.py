@@ -9,7 +9,7 @@ Positions in the stream are sums per key range plus running sums within it.
 
 from __future__ import annotations
 
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -22,7 +22,7 @@ from vitrine.llm.common import bounds_of, bucket_of, map_rows, partitions, store
 #: Dimensions of the curve and bits of each, then bits that spread documents of one cell.
 DIMENSIONS, BITS, SPREAD_BITS = 4, 12, 15
 #: Distinct words whose ids a worker remembers.
-WORDS = 250_000
+WORDS = 600_000
 
 
 class WordEncoder:
@@ -46,11 +46,25 @@ class WordEncoder:
     def clear(self) -> None:
         self.number: dict[bytes, int] = {}
         self.begin, self.size, self.flat = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, self.kind))
+        self.hits = np.empty(0, np.int64)
         self.vector = np.empty((0, DIMENSIONS), np.float32)
 
+    def shrink(self) -> None:
+        """Forget words that were met once, and all of them if most were met again."""
+        keep = np.flatnonzero(self.hits > 1)
+        if len(keep) > WORDS // 2:
+            return self.clear()
+        names = list(self.number)
+        self.number = {names[k]: i for i, k in enumerate(keep)}
+        size = self.size[keep]
+        begin = np.cumsum(size) - size
+        self.flat = self.flat[np.repeat(self.begin[keep] - begin, size) + np.arange(size.sum())]
+        self.begin, self.size, self.vector = begin, size, self.vector[keep]
+        self.hits = np.zeros(len(keep), np.int64)
+
     def learn(self, words: set[bytes]) -> None:
         fresh = list(words)
-        coded = self.library.encode_batch([w.decode("utf-8") for w in fresh], add_special_tokens=False)
+        coded = self.library.encode_batch_fast([w.decode("utf-8") for w in fresh], add_special_tokens=False)
         ids = [e.ids for e in coded]
         size = np.array([len(i) for i in ids], dtype=np.int64)
         flat = np.fromiter(chain.from_iterable(ids), dtype=self.kind, count=int(size.sum()))
@@ -61,6 +75,10 @@ class WordEncoder:
         self.number.update(zip(fresh, range(len(self.begin), len(self.begin) + len(fresh))))
         self.begin, self.size = np.concatenate([self.begin, begin]), np.concatenate([self.size, size])
         self.flat = np.concatenate([self.flat, flat])
+        self.hits = np.concatenate([self.hits, np.zeros(len(fresh), np.int64)])
+
+    def places(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.number.get, words, repeat(-1)), dtype=np.int64, count=len(words))
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
         """Ids of each text, and the sums of their tokens' vectors.
@@ -70,15 +88,19 @@ class WordEncoder:
         words = list(chain.from_iterable(split))
         ids, sizes = [np.empty(0, self.kind)], [np.empty(0, np.int64)]
         sums = np.zeros((len(words) + 1, DIMENSIONS))
-        for start in range(0, len(words), WORDS // 2):
-            part = words[start : start + WORDS // 2]
-            missing = set(part) - self.number.keys()
-            if len(self.number) + len(missing) > WORDS:
-                self.clear()
-                missing = set(part)
-            if missing:
+        for start in range(0, len(words), WORDS // 3):
+            part = words[start : start + WORDS // 3]
+            places = self.places(part)
+            gaps = np.flatnonzero(places < 0)
+            if len(gaps):
+                missing = {part[gap] for gap in gaps}
+                if len(self.number) + len(missing) > WORDS:
+                    self.shrink()
+                    missing = set(part) - self.number.keys()
+                    gaps = np.arange(len(part))
                 self.learn(missing)
-            places = np.fromiter(map(self.number.__getitem__, part), dtype=np.int64, count=len(part))
+                places[gaps] = self.places([part[gap] for gap in gaps])
+            self.hits += np.bincount(places, minlength=len(self.hits))
             size = self.size[places]
             shift = np.repeat(self.begin[places] - (np.cumsum(size) - size), size)
             ids.append(self.flat[shift + np.arange(len(shift))])

@@ -51,3 +51,16 @@ def op9_pack_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+@query
+def op7_language_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vitrine.llm import langid
+
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 3
+    model = langid.train(documents.where(fold != 1))
+    found = langid.predict(documents.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
+    )
