@@ -64,3 +64,16 @@ def op7_language_nb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
     )
+
+
+@query
+def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vitrine.llm import quality
+
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = F.crc32(F.col("doc_id").cast("string")) % 5
+    field = quality.train(documents.where(fold != 0), table(spark, sf_dir, "labels").where(fold != 0))
+    found = quality.predict(documents, field).select(
+        "doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), F.col("quality_score").alias("score")
+    )
+    return found.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
