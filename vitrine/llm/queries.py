@@ -77,3 +77,19 @@ def op3_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), F.col("quality_score").alias("score")
     )
     return found.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query
+def op1_minhash_oph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vitrine.llm.minhash import compared
+
+    found = compared(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        F.lower(F.hex("fingerprint")).alias("fingerprint"),
+        F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
