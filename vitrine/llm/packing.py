@@ -9,11 +9,13 @@ Positions in the stream are sums per key range plus running sums within it.
 
 from __future__ import annotations
 
-from itertools import chain, repeat
+import os
+from array import array
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,17 +24,22 @@ from vitrine.llm.common import bounds_of, bucket_of, map_rows, partitions, store
 #: Dimensions of the curve and bits of each, then bits that spread documents of one cell.
 DIMENSIONS, BITS, SPREAD_BITS = 4, 12, 15
 #: Distinct words whose ids a worker remembers.
-WORDS = 600_000
+WORDS = 400_000
+#: Words that are asked from the library in one call: its results are large.
+ASKED = 5_000
 
 
 class WordEncoder:
-    """Token ids of texts by a word-level tokenizer file, remembered by word.
+    """Token ids of texts by a word-level, lower-casing tokenizer file, remembered by word.
 
     Nothing that the tokenizer matches crosses ASCII white space, so a text's ids are those of its
-    words; special token strings hold no white space and stay whole.  Words that are not remembered
-    go to the tokenizers library."""
+    words; special token strings hold no white space and stay whole.  A batch is split and its
+    distinct words numbered inside Arrow; words that are not remembered go to the tokenizers
+    library, letters apart from a final full stop or comma, which it would divide as well."""
 
     def __init__(self, path: str):
+        # tasks are the parallel unit; the library's own threads would only compete with them
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
@@ -41,75 +48,63 @@ class WordEncoder:
         size = self.library.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.plane = np.random.default_rng(9).standard_normal((size, DIMENSIONS)).astype(np.float32)
-        self.clear()
-
-    def clear(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.begin, self.size, self.flat = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, self.kind))
-        self.hits = np.empty(0, np.int64)
-        self.vector = np.empty((0, DIMENSIONS), np.float32)
-
-    def shrink(self) -> None:
-        """Forget words that were met once, and all of them if most were met again."""
-        keep = np.flatnonzero(self.hits > 1)
-        if len(keep) > WORDS // 2:
-            return self.clear()
-        names = list(self.number)
-        self.number = {names[k]: i for i, k in enumerate(keep)}
-        size = self.size[keep]
+        self.ids: dict[str, bytes] = {}
+
+    def _ask(self, words: list[str]) -> None:
+        for start in range(0, len(words), ASKED):
+            part = words[start : start + ASKED]
+            coded = self.library.encode_batch_fast(part, add_special_tokens=False)
+            self.ids.update(zip(part, [array(self.kind.char, c.ids).tobytes() for c in coded]))
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """The ids of distinct words, as the bytes of little-endian numbers."""
+        known = self.ids
+        found = [known.get(w) for w in words]
+        gaps = [i for i, ids in enumerate(found) if ids is None]
+        if not gaps:
+            return found
+        if len(known) + len(gaps) > WORDS:
+            known.clear()
+        asked, joint = set(), []
+        for i in gaps:
+            word = words[i]
+            stem = word[:-1]
+            if word[-1:] in (",", ".") and stem.isalpha():
+                joint.append((i, stem, word[-1]))
+                asked.update((stem, word[-1]))
+            else:
+                asked.add(word)
+        self._ask([w for w in asked if w not in known])
+        for i, stem, mark in joint:
+            known[words[i]] = known[stem] + known[mark]
+        for i in gaps:
+            found[i] = known[words[i]]
+        return found
+
+    def encode(self, texts: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
+        """Ids of each text, and the sums of their tokens' vectors."""
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        # the tokenizer lower-cases too, but not the strings of its special tokens
+        lowered = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(lowered)
+        edges = split.offsets.to_numpy()
+        edges = edges - edges[0]
+        coded = split.flatten().dictionary_encode()
+        ids = self.words(coded.dictionary.to_pylist())
+        width = self.kind.itemsize
+        size = np.array([len(b) // width for b in ids], dtype=np.int64)
+        flat = np.frombuffer(b"".join(ids), dtype=self.kind)
         begin = np.cumsum(size) - size
-        self.flat = self.flat[np.repeat(self.begin[keep] - begin, size) + np.arange(size.sum())]
-        self.begin, self.size, self.vector = begin, size, self.vector[keep]
-        self.hits = np.zeros(len(keep), np.int64)
-
-    def learn(self, words: set[bytes]) -> None:
-        fresh = list(words)
-        coded = self.library.encode_batch_fast([w.decode("utf-8") for w in fresh], add_special_tokens=False)
-        ids = [e.ids for e in coded]
-        size = np.array([len(i) for i in ids], dtype=np.int64)
-        flat = np.fromiter(chain.from_iterable(ids), dtype=self.kind, count=int(size.sum()))
-        begin = len(self.flat) + np.cumsum(size) - size
-        edges = np.concatenate([[0], np.cumsum(size)])
-        sums = np.concatenate([np.zeros((1, DIMENSIONS)), np.cumsum(self.plane[flat], axis=0, dtype=np.float64)])
-        self.vector = np.concatenate([self.vector, (sums[edges[1:]] - sums[edges[:-1]]).astype(np.float32)])
-        self.number.update(zip(fresh, range(len(self.begin), len(self.begin) + len(fresh))))
-        self.begin, self.size = np.concatenate([self.begin, begin]), np.concatenate([self.size, size])
-        self.flat = np.concatenate([self.flat, flat])
-        self.hits = np.concatenate([self.hits, np.zeros(len(fresh), np.int64)])
-
-    def places(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.number.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
-        """Ids of each text, and the sums of their tokens' vectors.
-
-        Words are looked up in blocks, so that what is not remembered is learnt in one call."""
-        split = [t.encode("utf-8").split() for t in texts]
-        words = list(chain.from_iterable(split))
-        ids, sizes = [np.empty(0, self.kind)], [np.empty(0, np.int64)]
-        sums = np.zeros((len(words) + 1, DIMENSIONS))
-        for start in range(0, len(words), WORDS // 3):
-            part = words[start : start + WORDS // 3]
-            places = self.places(part)
-            gaps = np.flatnonzero(places < 0)
-            if len(gaps):
-                missing = {part[gap] for gap in gaps}
-                if len(self.number) + len(missing) > WORDS:
-                    self.shrink()
-                    missing = set(part) - self.number.keys()
-                    gaps = np.arange(len(part))
-                self.learn(missing)
-                places[gaps] = self.places([part[gap] for gap in gaps])
-            self.hits += np.bincount(places, minlength=len(self.hits))
-            size = self.size[places]
-            shift = np.repeat(self.begin[places] - (np.cumsum(size) - size), size)
-            ids.append(self.flat[shift + np.arange(len(shift))])
-            sizes.append(size)
-            sums[start + 1 : start + 1 + len(part)] = self.vector[places]
-        np.cumsum(sums, axis=0, out=sums)
-        edges = np.concatenate([[0], np.cumsum([len(w) for w in split])]).astype(np.int64)
-        tokens = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64)[edges]
-        whole = np.concatenate(ids)
+        vectors = np.zeros((len(size), DIMENSIONS), np.float32)
+        some = size > 0
+        if some.any():
+            vectors[some] = np.add.reduceat(self.plane[flat], begin[some], axis=0)
+        places = coded.indices.to_numpy()
+        size = size[places]
+        shift = np.repeat((begin[places] - (np.cumsum(size) - size)), size)
+        whole = flat[shift + np.arange(len(shift))]
+        tokens = np.concatenate([[0], np.cumsum(size)])[edges]
+        sums = np.concatenate([np.zeros((1, DIMENSIONS)), np.cumsum(vectors[places], axis=0, dtype=np.float64)])
         return np.split(whole, tokens[1:-1]), sums[edges[1:]] - sums[edges[:-1]]
 
 
@@ -161,7 +156,7 @@ def tokenized(df: DataFrame, id_col: str, text_col: str, path: str, end_id: int)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         coder = encoder(path)
-        ids, space = coder.encode([t or "" for t in batch.column(1).to_pylist()])
+        ids, space = coder.encode(batch.column(1))
         end = coder.kind.type(end_id).tobytes()
         sizes = [len(i) + 1 for i in ids]
         packed = [i.tobytes() + end for i in ids]
