@@ -86,7 +86,9 @@ class WordEncoder:
         texts = pc.fill_null(texts, "").cast(pa.large_string())
         # the tokenizer lower-cases too, but not the strings of its special tokens
         lowered = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
-        split = pc.ascii_split_whitespace(lowered)
+        for space in "\t\n\v\f\r":
+            lowered = pc.replace_substring(lowered, space, " ")
+        split = pc.split_pattern(lowered, " ")
         edges = split.offsets.to_numpy()
         edges = edges - edges[0]
         coded = split.flatten().dictionary_encode()
