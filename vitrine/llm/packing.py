@@ -83,7 +83,8 @@ class WordEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
         """Ids of each text, and the sums of their tokens' vectors."""
-        texts = pc.fill_null(texts, "").cast(pa.large_string())
+        # a fresh array: case folding of a slice reads wrong offsets
+        texts = pa.array([t or "" for t in texts.to_pylist()], pa.large_string())
         # the tokenizer lower-cases too, but not the strings of its special tokens
         lowered = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
         for space in "\t\n\v\f\r":
