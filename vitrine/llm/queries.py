@@ -93,3 +93,20 @@ def op1_minhash_oph(spark: SparkSession, sf_dir: str) -> DataFrame:
         "near_edited",
         "near_next",
     )
+
+
+@query
+def op8_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from vitrine.llm import bpe_trie
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    coded = bpe_trie.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    both = bpe_trie.decode(coded.drop("text"), path)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
