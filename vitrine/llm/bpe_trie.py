@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from vitrine.llm.common import map_rows
 
-#: Pieces and words that a worker remembers, and token pairs whose outcome it remembers.
-REMEMBERED = 250_000
+#: Words that a worker remembers, and token pairs whose outcome it remembers.
+REMEMBERED = 400_000
 PAIRS = 500_000
 # The byte-level word pattern, and the characters of the Unicode White_Space property.
 PATTERN = (
@@ -71,10 +71,8 @@ class TrieEncoder:
         self.longest = max(map(len, self.token))
         self.words = regex.compile(PATTERN).findall
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.whole: dict[int, bool] = {}
         self.intact: dict[tuple[int, int], bool] = {}
         self.known: dict[str, list[int]] = {}
-        self.pieces: dict[str, list[int]] = {}
 
     def merged(self, data: bytes) -> list[int]:
         """Plain merging, lowest rank first: the rule that the walk has to agree with."""
@@ -89,22 +87,18 @@ class TrieEncoder:
 
     def _stands(self, last: int, token: int) -> bool:
         """Whether ``token`` may follow ``last`` (-1: nothing) without a merge between them."""
+        if len(self.intact) > PAIRS:
+            self.intact.clear()
         if last < 0:
-            found = self.whole.get(token)
-            if found is None:
-                found = self.whole[token] = self.merged(self.table[token]) == [token]
-            return found
-        found = self.intact.get((last, token))
-        if found is None:
-            if len(self.intact) > PAIRS:
-                self.intact.clear()
+            found = self.merged(self.table[token]) == [token]
+        else:
             found = self.merged(self.table[last] + self.table[token]) == [last, token]
-            self.intact[last, token] = found
+        self.intact[last, token] = found
         return found
 
     def walk(self, words: list[bytes]) -> list[list[int]]:
         """Encodings of distinct words, given sorted; the path's states are shared by prefixes."""
-        token_of, stands, longest = self.token, self._stands, self.longest
+        token_of, known, longest = self.token.get, self.intact.get, self.longest
         last, length = [-1], [0]
         before, out = b"", []
         for word in words:
@@ -113,12 +107,16 @@ class TrieEncoder:
                 shared += 1
             del last[shared + 1 :], length[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for begin in range(max(0, end - longest), end):
-                    token = token_of.get(word[begin:end])
-                    if token is not None and stands(last[begin], token):
-                        last.append(token)
-                        length.append(end - begin)
-                        break
+                for begin in range(end - longest if end > longest else 0, end):
+                    token = token_of(word[begin:end])
+                    if token is not None:
+                        intact = known((last[begin], token))
+                        if intact is None:
+                            intact = self._stands(last[begin], token)
+                        if intact:
+                            last.append(token)
+                            length.append(end - begin)
+                            break
             before = word
             ids, place = [], len(word)
             while place:
@@ -129,30 +127,29 @@ class TrieEncoder:
 
     def encode_words(self, words: set[str]) -> None:
         fresh = sorted(w.encode("utf-8") for w in words)
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known.clear()
         self.known.update(zip((w.decode("utf-8") for w in fresh), self.walk(fresh)))
 
+    def _split(self, piece: str) -> tuple[str, ...] | list[str]:
+        """The words of a piece; letters after one space, with or without a final mark, need no
+        pattern."""
+        if piece[:1] == " ":
+            if piece[1:].isalpha():
+                return (piece,)
+            if piece[-1:] in (",", ".") and piece[1:-1].isalpha():
+                return (piece[:-1], piece[-1])
+        return self.words(piece)
+
     def encode_pieces(self, pieces: list[str]) -> list[list[int]]:
         """Ids of pieces of text between which no word reaches."""
-        found = [self.pieces.get(p) for p in pieces]
-        gaps = [i for i, ids in enumerate(found) if ids is None]
-        if not gaps:
-            return found
-        if len(self.pieces) + len(gaps) > REMEMBERED:
-            self.pieces.clear()
-        split = [self.words(pieces[i]) for i in gaps]
-        known = self.known
+        split = [self._split(p) for p in pieces]
         wanted = {w for words in split for w in words}
-        missing = wanted - known.keys()
-        if len(known) + len(missing) > REMEMBERED:
-            known.clear()
+        missing = wanted - self.known.keys()
+        if len(self.known) + len(missing) > REMEMBERED:
+            self.known.clear()
             missing = wanted
         self.encode_words(missing)
-        for i, words in zip(gaps, split):
-            ids = known[words[0]] if len(words) == 1 else [t for w in words for t in known[w]]
-            self.pieces[pieces[i]] = found[i] = ids
-        return found
+        known = self.known
+        return [known[w[0]] if len(w) == 1 else [t for word in w for t in known[word]] for w in split]
 
     def encode_plainly(self, text: str) -> np.ndarray:
         """One text, special strings apart."""
