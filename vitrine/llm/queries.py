@@ -153,3 +153,12 @@ def op6_nearest_srs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
+@query
+def op4_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vitrine.llm import html_text
+
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_text.extract(pages, html_text.train(pages, "page_id"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
