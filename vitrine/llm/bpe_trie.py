@@ -22,10 +22,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import map_rows
+from vitrine.llm.common import Remembered, map_rows
 
-#: Words that a worker remembers, and token pairs whose outcome it remembers.
-REMEMBERED = 400_000
+#: Words that a worker remembers in each of two generations, and token pairs whose outcome it remembers.
+REMEMBERED = 150_000
 PAIRS = 500_000
 # The byte-level word pattern, and the characters of the Unicode White_Space property.
 PATTERN = (
@@ -72,7 +72,7 @@ class TrieEncoder:
         self.words = regex.compile(PATTERN).findall
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.intact: dict[tuple[int, int], bool] = {}
-        self.known: dict[str, list[int]] = {}
+        self.known = Remembered(REMEMBERED)
 
     def merged(self, data: bytes) -> list[int]:
         """Plain merging, lowest rank first: the rule that the walk has to agree with."""
@@ -125,7 +125,7 @@ class TrieEncoder:
             out.append(ids[::-1])
         return out
 
-    def encode_words(self, words: set[str]) -> None:
+    def encode_words(self, words: list[str]) -> None:
         fresh = sorted(w.encode("utf-8") for w in words)
         self.known.update(zip((w.decode("utf-8") for w in fresh), self.walk(fresh)))
 
@@ -142,13 +142,8 @@ class TrieEncoder:
     def encode_pieces(self, pieces: list[str]) -> list[list[int]]:
         """Ids of pieces of text between which no word reaches."""
         split = [self._split(p) for p in pieces]
-        wanted = {w for words in split for w in words}
-        missing = wanted - self.known.keys()
-        if len(self.known) + len(missing) > REMEMBERED:
-            self.known.clear()
-            missing = wanted
-        self.encode_words(missing)
         known = self.known
+        self.encode_words(known.absent({w for words in split for w in words}))
         return [known[w[0]] if len(w) == 1 else [t for word in w for t in known[word]] for w in split]
 
     def encode_plainly(self, text: str) -> np.ndarray:

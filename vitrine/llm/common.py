@@ -86,3 +86,33 @@ def bucket_of(column: Column, bounds: list) -> Column:
         return pd.Series(np.where(known, low, 0).astype(np.int32))
 
     return rank(column)
+
+
+class Remembered(dict):
+    """Results by word in two generations: when the newer is full it becomes the older, and what is
+    found in the older moves to the newer.  So at most twice ``size`` words are held, and words in
+    use stay."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size, self.older = size, {}
+
+    def __missing__(self, word):
+        found = self[word] = self.older[word]
+        return found
+
+    def absent(self, words) -> list:
+        """Those of ``words`` that neither generation holds, after making room for them."""
+        if len(self) > self.size:
+            self.older = dict(self)
+            self.clear()
+        older = self.older
+        out = []
+        for word in words:
+            if word not in self:
+                found = older.get(word)
+                if found is None:
+                    out.append(word)
+                else:
+                    self[word] = found
+        return out

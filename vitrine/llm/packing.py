@@ -19,12 +19,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import bounds_of, bucket_of, map_rows, partitions, stored
+from vitrine.llm.common import Remembered, bounds_of, bucket_of, map_rows, partitions, stored
 
 #: Dimensions of the curve and bits of each, then bits that spread documents of one cell.
 DIMENSIONS, BITS, SPREAD_BITS = 4, 12, 15
-#: Distinct words whose ids a worker remembers.
-WORDS = 400_000
+#: Distinct words whose ids a worker remembers, in each of two generations.
+WORDS = 150_000
 #: Words that are asked from the library in one call: its results are large.
 ASKED = 5_000
 
@@ -48,7 +48,7 @@ class WordEncoder:
         size = self.library.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.plane = np.random.default_rng(9).standard_normal((size, DIMENSIONS)).astype(np.float32)
-        self.ids: dict[str, bytes] = {}
+        self.ids = Remembered(WORDS)
 
     def _ask(self, words: list[str]) -> None:
         for start in range(0, len(words), ASKED):
@@ -58,28 +58,20 @@ class WordEncoder:
 
     def words(self, words: list[str]) -> list[bytes]:
         """The ids of distinct words, as the bytes of little-endian numbers."""
-        known = self.ids
-        found = [known.get(w) for w in words]
-        gaps = [i for i, ids in enumerate(found) if ids is None]
-        if not gaps:
-            return found
-        if len(known) + len(gaps) > WORDS:
-            known.clear()
-        asked, joint = set(), []
-        for i in gaps:
-            word = words[i]
-            stem = word[:-1]
-            if word[-1:] in (",", ".") and stem.isalpha():
-                joint.append((i, stem, word[-1]))
-                asked.update((stem, word[-1]))
-            else:
-                asked.add(word)
-        self._ask([w for w in asked if w not in known])
-        for i, stem, mark in joint:
-            known[words[i]] = known[stem] + known[mark]
-        for i in gaps:
-            found[i] = known[words[i]]
-        return found
+        known, gaps = self.ids, self.ids.absent(words)
+        if gaps:
+            asked, joint = {}, []
+            for word in gaps:
+                stem = word[:-1]
+                if word[-1:] in (",", ".") and stem.isalpha():
+                    joint.append((word, stem, word[-1]))
+                    asked[stem] = asked[word[-1]] = None
+                else:
+                    asked[word] = None
+            self._ask(known.absent(asked))
+            for word, stem, mark in joint:
+                known[word] = known[stem] + known[mark]
+        return [known[w] for w in words]
 
     def encode(self, texts: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
         """Ids of each text, and the sums of their tokens' vectors."""

@@ -153,8 +153,9 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _verified(keys: np.ndarray, prints: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Linked fingerprints within equal keys (rows sorted by key); the low bit of a key says that
-    the row asks.  Each asking row is compared with every row of its key, in blocks of pairs."""
+    """Places of linked rows within equal keys (rows sorted by key); the low bit of a key says that
+    the row asks.  Each asking row is compared with every row of its key, in blocks of pairs.
+    ``prints`` has a column for each 64 bits of a fingerprint."""
     group = keys >> 1
     edge = np.flatnonzero(np.diff(group)) + 1
     starts, ends = np.concatenate([[0], edge]), np.concatenate([edge, [len(group)]])
@@ -165,64 +166,84 @@ def _verified(keys: np.ndarray, prints: np.ndarray, bits: int) -> Iterator[tuple
     while done < len(asking):
         upto = max(done + 1, int(np.searchsorted(np.cumsum(sizes[done:]), PAIRS)) + done)
         part, size = asking[done:upto], sizes[done:upto]
-        ask = np.repeat(prints[part], size)
-        place = np.arange(len(ask)) - np.repeat(np.cumsum(size) - size, size)
-        met = prints[place + np.repeat(starts[number[part]], size)]
-        near = (np.bitwise_count(ask ^ met) <= bits) & (ask != met)
+        ask = np.repeat(part, size)
+        met = np.arange(len(ask)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(starts[number[part]], size)
+        far = np.bitwise_count(prints[ask] ^ prints[met]).sum(axis=1, dtype=np.int64)
+        near = (far <= bits) & (ask != met)
         if near.any():
             yield ask[near], met[near]
         done = upto
 
 
-def links(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
-    """``(a, b)``: edges that connect exactly those distinct fingerprints which chains of at most
-    ``bits`` differing bits connect.  ``prints`` has one row per distinct ``fingerprint``."""
-    if not 0 <= bits <= MAX_BITS:
-        raise ValueError(f"two-segment Golay keys are exact up to {MAX_BITS} differing bits, not {bits}")
+def _links(prints: DataFrame, columns: list[str], bits: int, every_asks: bool) -> DataFrame:
+    """Spanning forests of linked rows: ``a_<column>`` and ``b_<column>`` for each fingerprint column.
+
+    Rows are filed under the keys of the first column; with ``every_asks`` they ask under all of
+    their keys, else under the one to which they decode."""
+    width = len(columns)
+    names = [f"{side}_{c}" for side in "ab" for c in columns]
 
     def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            every = batch.column(0).to_numpy(zero_copy_only=False)
-            for start in range(0, len(every), 20_000):
-                part = every[start : start + 20_000]
-                keys, rows, asks = fingerprint_keys(part.view(np.uint64))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys << 1 | asks), pa.array(part[rows])], names=["key", "fingerprint"]
-                )
+            every = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            for start in range(0, batch.num_rows, 20_000):
+                part = [c[start : start + 20_000] for c in every]
+                keys, rows, asks = fingerprint_keys(part[0].view(np.uint64))
+                keys = keys << 1 | (1 if every_asks else asks)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(c[rows]) for c in part)], names=["key", *columns])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest_k, rest_p = np.empty(0, np.int64), np.empty(0, np.uint64)
-        a, b, held = [], [], 0
-
-        def emit():
-            tops = _forest(np.concatenate(a), np.concatenate(b)) if a else (np.empty(0, np.uint64),) * 2
-            return pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in tops], names=["a", "b"])
-
-        def take(keys, prints):
-            nonlocal held
-            for x, y in _verified(keys, prints, bits):
-                x, y = _forest(x, y)
-                a.append(x)
-                b.append(y)
-                held += len(x)
+        rest_k, rest_p = np.empty(0, np.int64), np.empty((0, width), np.uint64)
+        held: list[np.ndarray] = []
+
+        def forest(pairs: np.ndarray) -> np.ndarray:
+            """Star edges of the components of pairs of fingerprints, (pairs, 2 * width)."""
+            nodes, place = np.unique(
+                np.concatenate([pairs[:, :width], pairs[:, width:]]), axis=0, return_inverse=True
+            )
+            place = place.ravel()
+            node, root = _forest(place[: len(pairs)], place[len(pairs) :])
+            return np.concatenate([nodes[node], nodes[root]], axis=1)
+
+        def emit() -> pa.RecordBatch:
+            pairs = forest(np.concatenate(held)) if held else np.empty((0, 2 * width), np.uint64)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.ascontiguousarray(c).view(np.int64)) for c in pairs.T], names=names
+            )
+
+        def take(keys: np.ndarray, prints_: np.ndarray) -> None:
+            for a, b in _verified(keys, prints_, bits):
+                node, root = _forest(a, b)
+                pairs = np.concatenate([prints_[node], prints_[root]], axis=1)
+                held.append(pairs[(pairs[:, :width] != pairs[:, width:]).any(axis=1)])
 
         for batch in batches:
+            fresh = np.stack([c.to_numpy().view(np.uint64) for c in batch.columns[1:]], axis=1)
             keys = np.concatenate([rest_k, batch.column(0).to_numpy()])
-            prints_ = np.concatenate([rest_p, batch.column(1).to_numpy().view(np.uint64)])
+            prints_ = np.concatenate([rest_p, fresh])
             last = int(np.searchsorted(keys >> 1, keys[-1] >> 1)) if len(keys) else 0
             rest_k, rest_p = keys[last:], prints_[last:]
             if last:
                 take(keys[:last], prints_[:last])
-            if held > 1_000_000:
+            if sum(map(len, held)) > 1_000_000:
                 yield emit()
-                a, b, held = [], [], 0
+                held.clear()
         if len(rest_k):
             take(rest_k, rest_p)
         yield emit()
 
-    filed = prints.select("fingerprint").mapInArrow(file, "key bigint, fingerprint bigint")
+    listed = ", ".join(f"{c} bigint" for c in columns)
+    filed = prints.select(*columns).mapInArrow(file, f"key bigint, {listed}")
     met = filed.repartition(F.shiftright("key", 1)).sortWithinPartitions("key")
-    return met.mapInArrow(meet, "a bigint, b bigint")
+    return met.mapInArrow(meet, ", ".join(f"{n} bigint" for n in names))
+
+
+def links(prints: DataFrame, bits: int = MAX_BITS) -> DataFrame:
+    """``(a, b)``: edges that connect exactly those distinct fingerprints which chains of at most
+    ``bits`` differing bits connect.  ``prints`` has one row per distinct ``fingerprint``."""
+    if not 0 <= bits <= MAX_BITS:
+        raise ValueError(f"two-segment Golay keys are exact up to {MAX_BITS} differing bits, not {bits}")
+    return _links(prints, ["fingerprint"], bits, every_asks=False).toDF("a", "b")
 
 
 def near_duplicates(
@@ -244,3 +265,37 @@ def near_duplicates(
     tops = named.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = named.join(tops, "root").select("fingerprint", "component_id")
     return printed.join(classes, "fingerprint").select(id_col, "fingerprint", "component_id")
+
+
+def similar_groups(
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, key_words: int = 2, bits: int = 24
+) -> DataFrame:
+    """``(id_col, component_id)``: groups of texts whose word shingles are alike to 0.8 or more.
+
+    Two fingerprints, of shingles of ``key_words`` and of ``words`` words, make one of 128 bits;
+    texts link at ``bits`` or fewer differing bits, which texts alike to 0.8 keep to (see README
+    for measured rates).  Candidates share a key of the first 64 bits, where near copies differ in
+    few; all texts ask under all their keys, so a segment may hold two errors, and all pairs of up
+    to five differing bits there are found, most of more.
+
+    Null and empty texts are one group, equal texts always are; ids as in ``near_duplicates``."""
+    texts = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        both = [
+            np.array([simhash(t, n) for t in batch.column(1).to_pylist()], dtype=np.uint64).view(np.int64)
+            for n in (key_words, words)
+        ]
+        return pa.RecordBatch.from_arrays([batch.column(0), *map(pa.array, both)], names=["id", "near", "wide"])
+
+    kind = df.schema[id_col].dataType.simpleString()
+    printed = stored(map_rows(texts, run, f"id {kind}, near bigint, wide bigint", "text"), "fingerprints")
+    distinct = printed.groupBy("near", "wide").agg(F.min("id").alias("least")).withColumn("node", F.xxhash64("near", "wide"))
+    edges = _links(distinct, ["near", "wide"], bits, every_asks=True).select(
+        F.xxhash64("a_near", "a_wide").alias("a"), F.xxhash64("b_near", "b_wide").alias("b")
+    )
+    roots = connected_components(edges, "a", "b").withColumnRenamed("node", "at")
+    named = distinct.join(roots, F.col("node") == F.col("at"), "left").withColumn("root", F.coalesce("root", "node"))
+    tops = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    classes = named.join(tops, "root").select("near", "wide", "component_id")
+    return printed.join(classes, ["near", "wide"]).select(F.col("id").alias(id_col), "component_id")
