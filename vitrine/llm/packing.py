@@ -10,6 +10,7 @@ Positions in the stream are sums per key range plus running sums within it.
 from __future__ import annotations
 
 import os
+import unicodedata
 from array import array
 
 import numpy as np
@@ -29,6 +30,11 @@ WORDS = 150_000
 ASKED = 5_000
 
 
+def _letters(word: str) -> bool:
+    """Whether a word is letters alone even after the tokenizer has normalised it."""
+    return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+
+
 class WordEncoder:
     """Token ids of texts by a word-level, lower-casing tokenizer file, remembered by word.
 
@@ -63,7 +69,7 @@ class WordEncoder:
             asked, joint = {}, []
             for word in gaps:
                 stem = word[:-1]
-                if word[-1:] in (",", ".") and stem.isalpha():
+                if word[-1:] in (",", ".") and _letters(stem):
                     joint.append((word, stem, word[-1]))
                     asked[stem] = asked[word[-1]] = None
                 else:
