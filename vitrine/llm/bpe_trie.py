@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import Remembered, map_rows
+from vitrine.llm.common import WORD_BYTES, Remembered, map_rows
 
 #: Words that a worker remembers in each of two generations, and token pairs whose outcome it remembers.
 REMEMBERED = 150_000
@@ -211,7 +211,7 @@ def _with(df: DataFrame, source: str, target: str, kind: str, function) -> DataF
         return pa.RecordBatch.from_arrays([*batch.columns, function(batch.column(place))], names=[*names, target])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return map_rows(rows, run, f"{schema}, `{target}` {kind}", source)
+    return map_rows(rows, run, f"{schema}, `{target}` {kind}", source, WORD_BYTES)
 
 
 def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:

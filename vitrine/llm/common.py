@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch that hold at most this much text are turned into Python objects at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
+#: The same where larger batches share more words.
+WORD_BYTES = 8 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,24 +41,30 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that each holds at most ``SLICE_BYTES`` of ``column``, one row at least."""
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that each holds about ``most`` bytes of ``column``, one row at least."""
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
-        step = max(1, int(n * SLICE_BYTES / max(1, batch.column(column).nbytes)))
+        step = max(1, int(n * most / max(1, batch.column(column).nbytes)))
         for start in range(0, n, step):
             yield batch.slice(start, step)
 
 
 def map_rows(
-    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, text: str
+    df: DataFrame,
+    function: Callable[[pa.RecordBatch], pa.RecordBatch],
+    schema: str,
+    text: str,
+    most: int = SLICE_BYTES,
 ) -> DataFrame:
     """One output batch per slice of input rows; ``function`` sees bounded text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
+        for batch in slices(batches, text, most):
             yield function(batch)
 
     return df.mapInArrow(run, schema)

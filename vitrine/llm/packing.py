@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import Remembered, bounds_of, bucket_of, map_rows, partitions, stored
+from vitrine.llm.common import WORD_BYTES, Remembered, bounds_of, bucket_of, map_rows, partitions, stored
 
 #: Dimensions of the curve and bits of each, then bits that spread documents of one cell.
 DIMENSIONS, BITS, SPREAD_BITS = 4, 12, 15
@@ -175,7 +175,7 @@ def tokenized(df: DataFrame, id_col: str, text_col: str, path: str, end_id: int)
         )
 
     schema = f"`{id_col}` {kind}, key bigint, n_tokens bigint, ids binary"
-    coded = map_rows(df.select(id_col, text_col), run, schema, text_col)
+    coded = map_rows(df.select(id_col, text_col), run, schema, text_col, WORD_BYTES)
     # copies share a cell; these bits let ranges divide them
     spread = F.pmod(F.xxhash64(id_col, "n_tokens"), F.lit(1 << SPREAD_BITS))
     return coded.withColumn("key", F.shiftleft("key", SPREAD_BITS) + spread)
