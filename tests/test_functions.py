@@ -150,6 +150,13 @@ REFS = [
     "/p;v=1?q#f",
     "x:y/z",
     "商品/1",
+    " /product/1",
+    "\n/product/2",
+    "/pro\nduct/3",
+    " https://x.example/p",
+    "https:foo",
+    "https:/foo",
+    "HTTPS:?q",
 ]
 
 

@@ -40,9 +40,8 @@ def as_state(frame):
     return {r.k: (r.a, r.b, r.c, r.t0) for r in frame.collect()}
 
 
-@pytest.mark.parametrize("merge", [U.merge, U.merge_small])
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_batches_equal_row_by_row_upserts(spark, seed, merge):
+def test_batches_equal_row_by_row_upserts(spark, seed):
     rows = random_rows(seed, 0, 120)
     expected = {}
     state = spark.createDataFrame([], STATE)
@@ -50,7 +49,7 @@ def test_batches_equal_row_by_row_upserts(spark, seed, merge):
         batch = rows[low:high]
         expected = apply_rows(expected, batch)
         folded = U.fold(spark.createDataFrame(batch, SCHEMA).repartition(5), POLICY, ["n"])
-        state = spark.createDataFrame(merge(state, folded, POLICY).collect(), STATE)
+        state = spark.createDataFrame(U.merge(state, folded, POLICY).collect(), STATE)
         assert as_state(state) == expected
 
 
@@ -93,7 +92,11 @@ def page_rows():
 def test_cut_off(spark):
     frame = spark.createDataFrame(page_rows(), "series_code string, page_index int, n_items int, fp string")
     shaped = frame.withColumn("fingerprint", F.when(F.col("n_items") > 0, F.struct("fp")))
-    kept = paging.cut_off(shaped.repartition(3))
+    landed = paging.cut_off(shaped.repartition(3)).collect()
+    assert ("E", 15) in {(r.series_code, r.page_index) for r in landed}
+    cut = {(r.series_code, r.page_index, r.reject_reason) for r in paging.out_of_range(shaped, max_pages=14).collect()}
+    assert cut == {("E", 15, "page_cap"), ("G", 0, "page_index")}
+    kept = paging.cut_off(shaped.repartition(3), max_pages=14)
     assert sorted((r.series_code, r.page_index) for r in kept.collect()) == [
         ("A", 1),
         ("A", 2),

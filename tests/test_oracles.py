@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
+from vitrine.workload import ORACLES, QUERIES
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -51,8 +52,8 @@ def test_query_matches_sql(spark, duck, name):
     assert sum(got.values()) > 0
 
 
-def test_every_query_has_sql():
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+def test_every_query_of_the_workload_has_sql():
+    assert set(QUERIES) == set(ORACLES) <= set(entry_points.queries())
 
 
 def test_entry_runs(spark):

@@ -10,6 +10,7 @@ import __spark_entry__ as entry_points
 from vitrine.operators import listing, paging
 from vitrine.operators import upsert as U
 from vitrine.plans import listings
+from vitrine.workload import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -69,18 +70,18 @@ def test_small_batches_leave_the_stored_table_unshuffled(spark, tmp_path):
     ddl = "card_id bigint, lang string, set_code string, card_code string, data_id bigint, rarity string"
     for path in (stored, folded):
         spark.createDataFrame([(1, "en", "S", "1", 1, "R")], ddl).write.parquet(path)
-    merged = U.merge_small(spark.read.parquet(stored), spark.read.parquet(folded), U.CARD_INDEX)
+    merged = U.merge(spark.read.parquet(stored), spark.read.parquet(folded), U.CARD_INDEX)
     assert "hashpartitioning" not in plan(merged)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        shuffled = U.merge_small(spark.read.parquet(stored), spark.read.parquet(folded), U.CARD_INDEX)
+        shuffled = U.merge(spark.read.parquet(stored), spark.read.parquet(folded), U.CARD_INDEX)
         assert "SortMergeJoin" in plan(shuffled) and shuffled.count() == 1
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_no_query_uses_cross_joins_or_single_tasks(spark):
-    for name, query in entry_points.queries().items():
+    for name, query in QUERIES.items():
         text = plan(query(spark, SF_DIR))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
         singles = re.findall(r"Exchange SinglePartition", text)

@@ -98,9 +98,7 @@ def test_listing_run_is_repeatable(spark, tmp_path):
     assert tables.versions(spark, f"{root}/products") == [1, 2]
 
 
-@pytest.mark.parametrize("small", [0, 10])
-def test_both_merge_forms_publish_the_same(spark, tmp_path, small, monkeypatch):
-    monkeypatch.setattr(tables.publish_upsert, "__defaults__", (small,))
+def test_two_runs_publish_one_table(spark, tmp_path):
     root = str(tmp_path / "out")
     listings.write_listings(spark, landed(spark, [(1, page(1, 2), 1)]), root, BASE, 1)
     listings.write_listings(spark, landed(spark, [(1, page(2, 3, price="5円"), 2)]), root, BASE, 2)
@@ -108,6 +106,18 @@ def test_both_merge_forms_publish_the_same(spark, tmp_path, small, monkeypatch):
     assert {(r.product_id, r.price_yen) for r in rows} == {("1", 1000.0), ("2", 5.0), ("3", 5.0)}
 
 
+def test_all_landed_pages_are_kept(spark, tmp_path):
+    root = str(tmp_path / "out")
+    rows = [(i, page(i), i) for i in range(1, 21)] + [(None, page(99), 30)]
+    listings.write_listings(spark, landed(spark, rows), root, BASE, 1)
+    assert spark.read.parquet(f"{root}/records").count() == 20
+    unpaged = spark.read.parquet(f"{root}/unpaged").collect()
+    assert [(r.page_index, r.reject_reason) for r in unpaged] == [(None, "page_index")]
+    listings.write_listings(spark, landed(spark, rows), root, BASE, 2, max_pages=14)
+    cut = spark.read.parquet(f"{root}/unpaged/run_id=2").collect()
+    assert sorted(r.page_index or 0 for r in cut) == [0, 15, 16, 17, 18, 19, 20]
+
+
 def card_rows(spark, rows):
     frame = spark.createDataFrame(rows, "lang string, set_code string, card_code string, minute int, html string")
     at = F.timestamp_add("MINUTE", F.col("minute"), F.expr("timestamp '2024-03-01 06:00:00+00:00'"))

@@ -61,6 +61,8 @@ def _without_dots(path: Column) -> Column:
 def resolve_url(base: Column | str, ref: Column) -> Column:
     """Resolve a reference against a base (RFC 3986 section 5.2); null or '' gives null.
 
+    As browsers and the standard library do, leading control characters and spaces go, tabs and
+    line breaks go everywhere, and a reference of the base's scheme without a host is relative.
     A literal base folds to constants, and the usual ``/path`` reference takes the first
     branch: one prefix test and one concatenation.
     """
@@ -70,6 +72,13 @@ def resolve_url(base: Column | str, ref: Column) -> Column:
     base_query = F.regexp_extract(base, r"^[^?#]*(\?[^#]*)", 1)
     folder = F.concat(F.lit("/"), F.regexp_replace(base_path, r"[^/]*$", ""))
 
+    bare = F.regexp_replace(F.regexp_replace(ref, r"^[\x00-\x20]+", ""), r"[\t\r\n]", "")
+    own_scheme = F.concat(F.lower(F.regexp_extract(base, _SCHEME, 0)), F.lit(""))
+    scheme = F.lower(F.regexp_extract(bare, _SCHEME, 0))
+    relative_scheme = (scheme == own_scheme) & ~F.substring(bare, F.length(scheme) + 1, F.lit(2)).eqNullSafe("//")
+    ref = F.when(
+        (scheme != "") & relative_scheme, F.substring(bare, F.length(scheme) + 1, F.length(bare))
+    ).otherwise(F.when((scheme != "") & (scheme != own_scheme), ref).otherwise(bare))
     ref_path = F.regexp_extract(ref, r"^([^?#]*)", 1)
     tail = F.regexp_extract(ref, r"(?s)^[^?#]*(.*)$", 1)
     relative = F.regexp_replace(F.concat(folder, ref_path), "/{2,}", "/")

@@ -316,7 +316,7 @@ def inline_scripts(
     pages: DataFrame,
     keep: Sequence[str],
     html: str = "html",
-    preview: int = inspect.SCRIPT_PREVIEW,
+    preview: int | None = None,
 ) -> DataFrame:
     """As ``inspect.inline_scripts``."""
     nodes = F.col("_nodes")

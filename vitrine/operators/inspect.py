@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from vitrine.functions import html as H
 from vitrine.functions import text as T
 
-SCRIPT_PREVIEW = 500
 _TITLE = H.opening("title") + r"(?s:.*?)</(?i:title)\s*>"
 _META = r"<(?i:meta)\b[^>]*>"
 
@@ -44,20 +43,24 @@ def is_named() -> Column:
 
 
 def inline_scripts(
-    pages: DataFrame, keep: Sequence[str], html: str = "html", preview: int = SCRIPT_PREVIEW
+    pages: DataFrame, keep: Sequence[str], html: str = "html", preview: int | None = None
 ) -> DataFrame:
-    """Non-empty scripts, numbered over all scripts of the page; a preview and full length."""
+    """Non-empty scripts, numbered over all scripts of the page, and their length.
+
+    The text is whole unless ``preview`` asks for its first characters only.
+    """
     scripts = H.of_kind(H.pieces(F.col(html)), r"<(?i:script)\b")
     rows = pages.select(*keep, F.posexplode(scripts).alias("script_pos", "_script"))
     code = T.strip(H.element_content(F.col("_script")))
     return preview_scripts(rows.select(*keep, "script_pos", code.alias("_code")), keep, preview)
 
 
-def preview_scripts(rows: DataFrame, keep: Sequence[str], preview: int) -> DataFrame:
-    """Drop empty scripts; show the start and the full length of the others."""
+def preview_scripts(rows: DataFrame, keep: Sequence[str], preview: int | None) -> DataFrame:
+    """Drop empty scripts; show the text, or its start, and the full length of the others."""
+    code = F.col("_code") if preview is None else F.substring("_code", 1, preview)
     return rows.where(F.col("_code") != "").select(
         *keep,
         "script_pos",
-        F.substring("_code", 1, preview).alias("script_text"),
+        code.alias("script_text"),
         F.length("_code").alias("script_length"),
     )

@@ -11,8 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrine.operators.frontier import MAX_PAGES
-
 
 def page_fingerprints(
     pages: DataFrame,
@@ -47,26 +45,40 @@ def latest_copies(
     return rows.withColumn("_copy", F.rank().over(copies)).where("_copy <= 1").drop("_copy")
 
 
+def _outside(index: Column, max_pages: int | None) -> Column:
+    beyond = F.lit(False) if max_pages is None else index > max_pages
+    return F.coalesce((index < 1) | beyond, F.lit(True))
+
+
+def out_of_range(
+    pages: DataFrame, page_index: str = "page_index", max_pages: int | None = None
+) -> DataFrame:
+    """Pages that take no part in paging, each with its ``reject_reason``."""
+    index = F.col(page_index)
+    reason = F.when(index.isNull(), "page_index").when(index < 1, "page_index").otherwise("page_cap")
+    return pages.where(_outside(index, max_pages)).withColumn("reject_reason", reason)
+
+
 def cut_off(
     pages: DataFrame,
     series: Sequence[str] = ("series_code",),
     page_index: str = "page_index",
     n_items: str = "n_items",
     fingerprint: str = "fingerprint",
-    max_pages: int = MAX_PAGES,
+    max_pages: int | None = None,
 ) -> DataFrame:
     """Keep each series up to its first empty page or first repeat of page 1.
 
-    Rows may be pages or the items of pages (rows of a page carry the same values).  The cap
-    comes first, so a window holds at most ``max_pages`` distinct pages of one series: no
-    series can outgrow a task.  A repeat of any page but page 1 does not stop the series, and
-    without a page 1 only an empty page does.
+    Rows may be pages or the items of pages (rows of a page carry the same values); a window
+    holds those of one series, so pages scale further.  A repeat of any page but page 1 does not stop the series, and without a page 1 only an empty page
+    does.  ``max_pages`` is for work lists; what it or a missing number keeps out of a series
+    is what ``out_of_range`` returns.
     """
     index, fp = F.col(page_index), F.col(fingerprint)
     order = Window.partitionBy(*series).orderBy(page_index)
     so_far = order.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     first_page = F.first(F.struct(index.alias("page"), fp.alias("fp"))).over(so_far)
-    marked = pages.where(index.between(1, max_pages)).withColumn("_first", first_page)
+    marked = pages.where(~_outside(index, max_pages)).withColumn("_first", first_page)
     repeats = (index > 1) & (F.col("_first.page") == 1) & fp.eqNullSafe(F.col("_first.fp"))
     stops = marked.withColumn("_stop", (F.col(n_items) == 0) | repeats)
     return (

@@ -99,14 +99,7 @@ def _next_state(policy: Policy) -> list[Column]:
 
 
 def merge(stored: DataFrame, folded: DataFrame, policy: Policy) -> DataFrame:
-    """The next state of a table: one join on keys that are unique on both sides."""
-    stored, new = stored.select(*policy.columns), _renamed(folded, policy)
-    same_key = F.col(policy.key) == F.col(f"_new_{policy.key}")
-    return stored.join(new, same_key, "full_outer").select(*_next_state(policy))
-
-
-def merge_small(stored: DataFrame, folded: DataFrame, policy: Policy) -> DataFrame:
-    """As ``merge``, in a form where a small batch can be broadcast to the stored table.
+    """The next state of a table, in a form where a small batch can be broadcast to it.
 
     Stored rows are updated through a left join; keys not stored yet are appended.  Neither
     join needs the stored table shuffled when the planner finds the batch below its broadcast

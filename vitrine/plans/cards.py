@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine import schemas
@@ -13,13 +13,18 @@ from vitrine.sources import tables
 # Fixed value: only pages in this language carry prices to store.
 PRICED_LANG = "en"
 
-ARRIVAL = ("observed_at", "set_code", "lang", "card_code")
+
+def arrival() -> tuple[Column | str, ...]:
+    """Arrival order: a crawl walks the numbers of a set upwards; text settles what has none."""
+    number = F.col("card_code").try_cast("bigint").alias("card_number")
+    return ("observed_at", "set_code", "lang", number, "card_code")
 
 
 def card_records(pages: DataFrame, tolerant: bool = False) -> DataFrame:
     """Landed card pages to checked records; keys come from the page's own row.
 
-    An id that is missing or no number rejects the record.  ``tolerant`` reads pages through
+    An id that is missing or no number rejects the record; a ``data_id`` that is no integer
+    becomes null.  ``tolerant`` reads pages through
     the tree of ``operators.dom``.
     """
     reader = dom if tolerant else cards
@@ -41,16 +46,16 @@ def card_index(records: DataFrame, stored: DataFrame | None = None) -> DataFrame
     """The card index after these records."""
     rows = index_rows(records)
     if stored is None:
-        return U.fold(rows, U.CARD_INDEX, ARRIVAL)
-    return U.upsert(stored, rows, U.CARD_INDEX, ARRIVAL)
+        return U.fold(rows, U.CARD_INDEX, arrival())
+    return U.upsert(stored, rows, U.CARD_INDEX, arrival())
 
 
 def card_prices(records: DataFrame, stored: DataFrame | None = None) -> DataFrame:
     """The card prices after these records."""
     rows = price_rows(records)
     if stored is None:
-        return U.fold(rows, U.CARD_PRICES, ARRIVAL)
-    return U.upsert(stored, rows, U.CARD_PRICES, ARRIVAL)
+        return U.fold(rows, U.CARD_PRICES, arrival())
+    return U.upsert(stored, rows, U.CARD_PRICES, arrival())
 
 
 def write_cards(
@@ -63,5 +68,5 @@ def write_cards(
         ("card_index", schemas.CARD_INDEX, index_rows(records), U.CARD_INDEX),
         ("card_prices", schemas.CARD_PRICES, price_rows(records), U.CARD_PRICES),
     ):
-        tables.publish_upsert(spark, f"{root}/{name}", schema, rows, policy, ARRIVAL, run_id)
+        tables.publish_upsert(spark, f"{root}/{name}", schema, rows, policy, arrival(), run_id)
     return quality.rejected(records)

@@ -11,7 +11,6 @@ from vitrine import schemas
 from vitrine.functions.urls import product_group
 from vitrine.operators import counts, dom, listing, paging, quality
 from vitrine.operators import upsert as U
-from vitrine.operators.frontier import MAX_PAGES
 from vitrine.sources import tables
 
 # Arrival order of records: by time, then as a crawl visits series, pages and items.
@@ -34,13 +33,15 @@ def page_items(
 
 
 def kept_items(
-    items: DataFrame, run: Sequence[str] = (), max_pages: int = MAX_PAGES
+    items: DataFrame, run: Sequence[str] = (), max_pages: int | None = None
 ) -> DataFrame:
-    """Items of the newest copy of each page, up to the end of each series."""
+    """Items of the newest copy of each page, up to the end of each series.
+
+    This lazy form sorts the item rows of a series in one window; ``write_listings`` and the
+    stream page through the ledger instead, and are the way for very long series."""
     series = (*run, "series_code")
-    in_range = items.where(F.col("page_index").between(1, max_pages))
     newest = [F.desc("fetched_at"), F.col("_landing")]
-    current = paging.latest_copies(in_range, (*series, "page_index"), newest)
+    current = paging.latest_copies(items, (*series, "page_index"), newest)
     return paging.cut_off(current, series, max_pages=max_pages)
 
 
@@ -82,7 +83,7 @@ def listing_records(
     pages: DataFrame,
     base_url: str,
     run: Sequence[str] = (),
-    max_pages: int = MAX_PAGES,
+    max_pages: int | None = None,
     strict: bool = False,
     tolerant: bool = False,
 ) -> DataFrame:
@@ -142,9 +143,13 @@ def write_listings(
     base_url: str,
     run_id: int,
     tolerant: bool = False,
+    max_pages: int | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Read one crawl's pages once and update all outputs below ``root``.
 
+    Pages without a number, or over an explicit ``max_pages``, go to ``unpaged`` with a reason.
+
     Item rows are written first, without any shuffle; paging works on their ledger, and
     records, products and prices are read from written tables.  A lost executor costs at most
     a re-read of those, and a repeated run with the same id leaves the same result.  Returns
@@ -153,8 +158,11 @@ def write_listings(
     items_now = page_items(pages, base_url, tolerant=tolerant)
     tables.append_run(items_now, f"{root}/items", run_id)
     items = spark.read.parquet(f"{root}/items/run_id={run_id}")
-    inside = paging.cut_off(page_ledger(items))
-    return store_records(spark, check_items(staged_items(items, inside)), root, run_id)
+    ledger = page_ledger(items)
+    unpaged = paging.out_of_range(ledger, max_pages=max_pages)
+    tables.append_run(unpaged, f"{root}/unpaged", run_id)
+    inside = paging.cut_off(ledger, max_pages=max_pages)
+    return store_records(spark, check_items(staged_items(items, inside), strict), root, run_id)
 
 
 def saved_listing(files: DataFrame, base_url: str) -> DataFrame:

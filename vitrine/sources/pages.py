@@ -57,16 +57,26 @@ def archive_path(
 
 
 def latest_per_name(
-    archive: DataFrame, name: str = "path", newest: Sequence[str] = ("fetched_at",)
+    archive: DataFrame,
+    name: str = "path",
+    newest: Sequence[str] = ("fetched_at",),
+    content: str = "html",
 ) -> DataFrame:
-    """Current page per archive name, as if each later write had replaced the file.
+    """Current page per archive name, one row, as if each later write had replaced the file.
 
-    Winners come from the name and time columns alone, reduced map-side.  Pages are then
-    matched on name *and* time, so the many copies of one name spread over all partitions.
+    Winners come from names, times and a hash of the content, reduced map-side; among captures
+    of one time the largest hash wins, and a time that is null comes before all others.  Pages
+    are then matched on all three, so the copies of one name spread over all partitions and only
+    equal captures meet again.
     """
-    order = F.struct(*newest)
-    winners = archive.groupBy(name).agg(F.max(order).alias("_newest")).select(name, "_newest.*")
-    return archive.join(winners, [name, *newest], "left_semi")
+    marked = archive.withColumn("_mark", F.xxhash64(content))
+    columns = [*newest, "_mark"]
+    best = marked.groupBy(name).agg(F.max(F.struct(*columns)).alias("_newest"))
+    winners = best.select(F.col(name).alias("_name"), *(F.col(f"_newest.{c}").alias(f"_best_{c}") for c in columns))
+    same = F.col(name).eqNullSafe(F.col("_name"))
+    for c in columns:
+        same &= F.col(c).eqNullSafe(F.col(f"_best_{c}"))
+    return marked.join(winners, same, "left_semi").dropDuplicates([name]).drop("_mark")
 
 
 def append_archive(pages: DataFrame, path: str, run_id: str) -> None:

@@ -10,9 +10,6 @@ from vitrine.operators import upsert as U
 # Fixed value: default of the price history's currency column.
 DEFAULTS = {"currency": "'JPY'"}
 
-# Up to this many keys a batch is merged in the broadcastable form.
-SMALL_BATCH_KEYS = 500_000
-
 
 def ensure_table(
     spark: SparkSession, name: str, schema: T.StructType, partition_by: tuple[str, ...] = ()
@@ -67,13 +64,11 @@ def publish_upsert(
     policy: U.Policy,
     order,
     version: int,
-    small_batch_keys: int = SMALL_BATCH_KEYS,
 ) -> None:
     """Write the table's next version from the version before it and a batch.
 
-    The folded batch is written first.  That cuts the lineage back to the pages, and its
-    counted size picks the merge form: broadcastable for few keys, one full outer join
-    beyond.  No path is read and written at once, and a version that is already committed is
+    The folded batch is written first.  That cuts the lineage back to the pages, and the
+    planner sees its size when it picks the joins.  No path is read and written at once, and a version that is already committed is
     left alone, so a retried run or micro-batch changes nothing.
     """
     target = f"{root}/version={version}"
@@ -83,8 +78,7 @@ def publish_upsert(
     U.fold(batch, policy, order).write.mode("overwrite").parquet(staged)
     folded = spark.read.parquet(staged)
     stored = read_current(spark, root, schema, before=version)
-    merging = U.merge_small if folded.count() <= small_batch_keys else U.merge
-    merged = merging(stored, folded, policy).select(*schema.fieldNames())
+    merged = U.merge(stored, folded, policy).select(*schema.fieldNames())
     merged.write.mode("overwrite").parquet(target)
 
 

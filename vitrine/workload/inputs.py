@@ -45,13 +45,11 @@ PRODUCT_URL = f"case when {SIZE} <> 17 then concat('{SHOP}/product/', {KEY}) end
 
 
 def spread(scan: DataFrame, key: str) -> DataFrame:
-    """One partition per core for a scan with fewer splits than that.
+    """Narrow rows dealt by key before any page is built from them.
 
-    The given tables are single small files, which would leave page reading to one core.  Only
-    narrow rows move, before any page is built; a scan with enough splits stays as it is.
+    The given tables are single small files, which would leave page reading to one core.
     """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
+    return scan.repartition(key)
 
 
 def _items_html(price_text: str) -> Column:

@@ -52,12 +52,12 @@ def _scripts(rows: DataFrame) -> DataFrame:
 
 @query("page_scripts", _SCRIPTS)
 def page_scripts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scripts(inspect.inline_scripts(table(spark, sf_dir, "pages"), ["page_id"]))
+    return _scripts(inspect.inline_scripts(table(spark, sf_dir, "pages"), ["page_id"], preview=500))
 
 
 @query("page_scripts_tolerant", _SCRIPTS)
 def page_scripts_tolerant(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scripts(dom.inline_scripts(table(spark, sf_dir, "pages"), ["page_id"]))
+    return _scripts(dom.inline_scripts(table(spark, sf_dir, "pages"), ["page_id"], preview=500))
 
 
 def _described_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -208,13 +208,11 @@ def first_item_fp(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "paging_cutoff",
-    """
+_PAGING = """
     with pages as (
         select distinct conv_id, turn + 1 as page, length(text) % 5 as fp,
                case when length(text) % 9 = 0 then 0 else 1 end as n
-        from conversations where turn < 14),
+        from conversations {cap}),
     stops as (
         select p.conv_id, min(p.page) as stop
         from pages p left join pages f on f.conv_id = p.conv_id and f.page = 1
@@ -223,24 +221,51 @@ def first_item_fp(spark: SparkSession, sf_dir: str) -> DataFrame:
     select p.conv_id, p.page, p.fp
     from pages p left join stops s on s.conv_id = p.conv_id
     where s.stop is null or p.page < s.stop
-    """,
-)
-def paging_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+"""
+
+PAGE_CAP = 4
+
+
+def _turn_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations as series, turns as pages, text length as what a page shows.
 
     Turns are made distinct first, so repeated ones cannot pile up in a series' window.
     """
     length = F.length("text").cast("bigint")
-    turns = table(spark, sf_dir, "conversations").where(F.col("turn") < frontier.MAX_PAGES).select(
+    return table(spark, sf_dir, "conversations").select(
         "conv_id",
         (F.col("turn") + 1).alias("page"),
         (length % 5).alias("fp"),
         F.when(length % 9 == 0, 0).otherwise(1).alias("n"),
     ).distinct()
-    kept = paging.cut_off(turns, ["conv_id"], "page", "n", "fp")
+
+
+@query("paging_cutoff", _PAGING.format(cap=""))
+def paging_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = paging.cut_off(_turn_pages(spark, sf_dir), ["conv_id"], "page", "n", "fp")
     return kept.select("conv_id", "page", "fp")
 
 
+@query("paging_cap", _PAGING.format(cap=f"where turn < {PAGE_CAP}"))
+def paging_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As a work list with an explicit cap; what it cuts is the next query's result."""
+    turns = _turn_pages(spark, sf_dir)
+    kept = paging.cut_off(turns, ["conv_id"], "page", "n", "fp", max_pages=PAGE_CAP)
+    return kept.select("conv_id", "page", "fp")
+
+
+@query(
+    "paging_out_of_range",
+    f"""
+    select distinct conv_id, turn + 1 as page, length(text) % 5 as fp, 'page_cap' as reject_reason
+    from conversations where turn >= {PAGE_CAP}
+    """,
+)
+def paging_out_of_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = paging.out_of_range(_turn_pages(spark, sf_dir), "page", max_pages=PAGE_CAP)
+    return cut.select("conv_id", "page", "fp", "reject_reason").distinct()
+
+
 # ---- keyed writes --------------------------------------------------------------------------
 
 _EVENT_ISO = "strftime({}, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'"
