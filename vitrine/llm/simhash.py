@@ -35,6 +35,8 @@ MAX_BITS = 3
 #: Shingle hashes counted at once, and pairs compared at once.
 CHUNK = 200_000
 PAIRS = 2_000_000
+#: Rows of a key from which on they are reached one from another instead of all compared.
+LARGE = 100
 
 
 def _syndrome(word: int) -> int:
@@ -152,6 +154,26 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[away], nodes[root[away]]
 
 
+def _spread(prints: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that connect the components of one large group, each row being met from one other.
+
+    A row is compared with the rows not reached yet, so a dense group costs little more than one
+    pass, not its square."""
+    left, a, b = np.arange(len(prints)), [], []
+    while len(left):
+        open_, left = [int(left[0])], left[1:]
+        while open_ and len(left):
+            at = open_.pop()
+            near = np.bitwise_count(prints[left] ^ prints[at]).sum(axis=1, dtype=np.int64) <= bits
+            hit = left[near]
+            a.append(hit)
+            b.append(np.full(len(hit), at))
+            open_.extend(hit.tolist())
+            left = left[~near]
+    none = [np.empty(0, np.int64)]
+    return np.concatenate(a or none), np.concatenate(b or none)
+
+
 def _verified(keys: np.ndarray, prints: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places of linked rows within equal keys (rows sorted by key); the low bit of a key says that
     the row asks.  Each asking row is compared with every row of its key, in blocks of pairs.
@@ -160,8 +182,13 @@ def _verified(keys: np.ndarray, prints: np.ndarray, bits: int) -> Iterator[tuple
     edge = np.flatnonzero(np.diff(group)) + 1
     starts, ends = np.concatenate([[0], edge]), np.concatenate([edge, [len(group)]])
     number = np.repeat(np.arange(len(starts)), ends - starts)
-    asking = np.flatnonzero((keys & 1 == 1) & (ends - starts > 1)[number])
-    sizes = (ends - starts)[number[asking]]
+    asks, size_of = keys & 1 == 1, ends - starts
+    for place in np.flatnonzero((size_of > LARGE) & (np.bincount(number, asks, len(starts)) > 0)):
+        a, b = _spread(prints[starts[place] : ends[place]], bits)
+        if len(a):
+            yield a + starts[place], b + starts[place]
+    asking = np.flatnonzero(asks & ((size_of > 1) & (size_of <= LARGE))[number])
+    sizes = size_of[number[asking]]
     done = 0
     while done < len(asking):
         upto = max(done + 1, int(np.searchsorted(np.cumsum(sizes[done:]), PAIRS)) + done)
