@@ -183,3 +183,88 @@ def test_sketches_of_alike_texts_share_a_band():
         met += bool((a == b).any()) and int(simhash._unlike(p, q)) <= simhash.DIFFER
         pairs += 1
     assert met == pairs
+
+
+def _jaccard(a, b):
+    def shingles(t):
+        w = t.split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    x, y = shingles(a), shingles(b)
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def test_fingerprints_estimate_likeness():
+    words = numbered(9, 600).split()
+    errors = []
+    for cut in (0, 50, 200, 400, 600):
+        other = " ".join(words[:cut] + numbered(10 + cut, 600 - cut).split())
+        a, b = minhash.packed([" ".join(words), other])
+        errors.append(minhash.likeness([a], [b])[0] - _jaccard(" ".join(words), other))
+    assert max(map(abs, errors)) < 0.1
+    single = minhash.packed([numbered(i, 1) for i in range(40)])
+    assert len(set(single)) == 40
+    assert max(minhash.likeness([single[0]] * 39, single[1:])) < 0.2
+
+
+def test_comparison_with_next_document(spark, edge_documents, no_documents):
+    rows = minhash.compared(edge_documents).collect()
+    assert len(rows) == edge_documents.count()
+    texts = [(i, f"{i} {PROSE} {numbered(i, i)}") for i in range(1, 40)]
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string")
+    for row in minhash.compared(frame).collect():
+        text = texts[row["doc_id"] - 1][1]
+        after = texts[row["doc_id"] - 2][1] if row["doc_id"] > 1 else texts[-1][1]
+        third = len(text) // 3
+        assert row["edited"] == text[: len(text) - third] + after[:third]
+        assert row["n_chars"] == len(text)
+    assert minhash.compared(no_documents).count() == 0
+
+
+def _jaccard(a, b):
+    one, two = (set(zip(*(t.lower().split()[i:] for i in range(5)))) for t in (a, b))
+    return len(one & two) / len(one | two)
+
+
+def test_similar_groups_meet_all_pairs_with_block_edits_and_no_pair_below(spark):
+    """Pairs apart from all others, one block of each replaced: 0.80-0.85 link, 0.70-0.79 do not."""
+    rng, texts, want = random.Random(9), [], {}
+    word = lambda: f"{rng.getrandbits(40):x}"
+    for _ in range(400):
+        size = rng.randint(100, 400)
+        words = [word() for _ in range(size)]
+        cut, at = round(size * rng.uniform(0.04, 0.16)), rng.randrange(size // 2)
+        other = words[:at] + [word() for _ in range(cut)] + words[at + cut :]
+        pair = " ".join(words), " ".join(other)
+        if not 0.7 <= _jaccard(*pair) < 0.85:
+            continue
+        want[len(texts)] = want[len(texts) + 1] = len(texts)
+        if _jaccard(*pair) < 0.8:
+            want[len(texts) + 1] = len(texts) + 1
+        texts += pair
+    assert len(texts) > 300 and 60 < sum(k != v for k, v in want.items()) < len(want) - 60
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(frame).collect()} == want
+
+
+def test_similar_groups_of_a_shared_passage_equal_all_pairs(spark):
+    """Many texts around one passage and many copies of one: large bands, links to one component only."""
+    rng, texts = random.Random(10), []
+    word = lambda: f"{rng.getrandbits(40):x}"
+    passage = [word() for _ in range(200)]
+    for i in range(160):
+        texts.append(" ".join(passage + [word() for _ in range(rng.choice([10, 20, 30, 60]))]))
+    for i in range(60):
+        words = passage[::-1]
+        words[rng.randrange(200)] = word()
+        words[rng.randrange(200)] = word()
+        texts.append(" ".join(words))
+    root = list(range(len(texts)))
+    for j in range(len(texts)):
+        for i in range(j):
+            if _jaccard(texts[i], texts[j]) >= 0.8:
+                low, high = sorted((root[i], root[j]))
+                root = [low if r == high else r for r in root]
+    assert 3 < len(set(root)) < 160
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(frame).collect()} == dict(enumerate(root))

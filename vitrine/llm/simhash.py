@@ -413,9 +413,41 @@ def _other_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _pairs(node[a[near]], node[b[near]])
 
 
+def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the distinct pairs ``(a, b)`` whose sets in ``sets`` (node, hashes) have a Jaccard
+    index of ``ALIKE`` or more.  The set of a node of many pairs is dealt out several times."""
+    now = pairs
+    for side in ("a", "b"):
+        shares = pairs.groupBy(F.col(side).alias("node")).agg(F.ceil(F.count(F.lit(1)) / SHARE).alias("shares"))
+        held = sets.join(shares, "node").select(
+            F.col("node").alias(side),
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)).alias("share"),
+            "shares",
+            F.col("hashes").alias(f"hashes_{side}"),
+        )
+        most = shares.select(F.col("node").alias(side), "shares")
+        now = now.join(most.where("shares > 1"), side, "left").withColumn(
+            "share", F.coalesce(F.pmod(F.xxhash64("a", "b"), "shares"), F.lit(0)).cast("bigint")
+        )
+        now = now.drop("shares").join(held.drop("shares"), [side, "share"]).drop("share")
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keep = []
+        for x, y in zip(batch.column("hashes_a"), batch.column("hashes_b")):
+            one, two = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
+            both = np.concatenate([one, two])
+            both.sort(kind="stable")
+            common = int((both[1:] == both[:-1]).sum())
+            # in whole numbers, so that exactly 0.8 counts
+            keep.append(5 * common >= 4 * (len(both) - common))
+        return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return map_rows(now.select("a", "b", "hashes_a", "hashes_b"), run, "a bigint, b bigint", "hashes_a")
+
+
 def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:
     """``(id_col, component_id)``: groups of texts which chains of pairs connect whose sets of word
-    shingles have a Jaccard index of about ``ALIKE`` or more by their sketches.
+    shingles have a Jaccard index of ``ALIKE`` or more, each link checked on the sets themselves.
 
     Candidates share one of ``BANDS`` bands of ``BAND`` least hashes: a pair of index 0.8 does so
     with a chance of 1 - (1 - 0.8 ** 5) ** 30 > 0.99999, whatever its other texts are, and keeps to
@@ -450,14 +482,26 @@ def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     printed = stored(printed, "sketches")
     filed = printed.select(F.explode("bands").alias("key"), *columns)
 
+    def checked(met: DataFrame) -> DataFrame:
+        pairs = stored(met.distinct(), "pairs")
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+        def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
+            sets = [shingles(t, words).tobytes() for t in batch.column("text").to_pylist()]
+            return pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "hashes"])
+
+        needed = distinct.select("node", "text").join(nodes, "node", "left_semi")
+        sets = stored(map_rows(needed, hashed, "node bigint, hashes binary", "text"), "sets")
+        return stored(alike(pairs, sets), "links")
+
     first = filed.repartition("key").sortWithinPartitions("key", "node")
     met = stored(first.mapInArrow(_first_pairs, "a bigint, b bigint"), "met")
-    links = stored(met.where("b is not null").distinct(), "links")
+    links = checked(met.where("b is not null"))
     roots = connected_components(links, "a", "b")
     large = filed.join(met.where("b is null").select(F.col("a").alias("key")), "key", "left_semi")
     rooted = large.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root"), *columns)
     second = rooted.repartition("key").sortWithinPartitions("key", "root")
-    more = stored(second.mapInArrow(_other_pairs, "a bigint, b bigint").distinct(), "links")
+    more = checked(second.mapInArrow(_other_pairs, "a bigint, b bigint"))
     roots = connected_components(links.union(more), "a", "b")
     named = distinct.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     tops = named.groupBy("root").agg(F.min("least").alias("component_id"))
