@@ -268,3 +268,32 @@ def test_similar_groups_of_a_shared_passage_equal_all_pairs(spark):
     assert 3 < len(set(root)) < 160
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     assert {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(frame).collect()} == dict(enumerate(root))
+
+
+def test_a_phrase_with_many_surroundings_is_dealt_to_several_shards(spark, monkeypatch, tmp_path):
+    """One gram that is the least of all windows around it, between texts of which some repeat."""
+    rng = random.Random(12)
+    letters = lambda n: "".join(rng.choices("abcdefghijklmnop", k=n))
+    phrase = min((letters(32) for _ in range(3000)), key=lambda p: suffix_dedup._gram_hashes(np.frombuffer(p.encode(), np.uint8))[0])
+    texts = [letters(150) + phrase + letters(150) for _ in range(120)]
+    texts += [letters(20) + texts[i][40:280] + letters(20) for i in range(0, 120, 6)]
+    monkeypatch.setattr(suffix_dedup, "NAME_BYTES", 6000)
+    taken = str(tmp_path / "taken")
+    sort_shard = suffix_dedup._sort_shard
+
+    def watched(length):
+        inner = sort_shard(length)
+
+        def run(table):
+            with open(taken, "a") as file:
+                file.write(f"{sum(map(len, table.column('bytes').to_pylist()))}\n")
+            return inner(table)
+
+        return run
+
+    monkeypatch.setattr(suffix_dedup, "_sort_shard", watched)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: (bytes(r["kept"]), r["n_removed"]) for r in suffix_dedup.remove_repeats(frame, "text", 100).collect()}
+    assert [got[i] for i in range(len(texts))] == _brute_cut(texts, 100)
+    # the phrase's segments alone are some 20,000 bytes
+    assert max(map(int, open(taken).read().split())) < 12_000

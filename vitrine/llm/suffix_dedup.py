@@ -10,6 +10,8 @@ Equal strings of ``length`` bytes must meet in one shard without moving the whol
    name.
 3. Each shard is suffix-sorted by external induced sorting (``induced``); neighbours with a common
    prefix of ``length`` are repeats, as are all windows of a segment that occurs twice.
+   The segments of a name that are too many bytes for one task are cut once more by the least
+   gram under another hash, which equal windows share as well, and so on until a name is small.
 4. The repeated runs return to every place of their segment and are cut from the documents.
 """
 
@@ -30,6 +32,11 @@ GRAM = 32
 #: Aimed bytes of a shard, and bytes that each queue of its sort keeps in memory.
 SHARD_BYTES = 2 << 20
 QUEUE_BYTES = 64 << 20
+#: Bytes of distinct segments of one name from which on they are cut by another hash; a sort takes
+#: some tens of bytes of memory for each.
+NAME_BYTES = 4 << 20
+#: Hashes tried after the first one.
+LEVELS = 8
 _FACTOR = 0x9E3779B97F4A7C15
 _INVERSE = pow(_FACTOR, -1, 1 << 64)
 
@@ -40,12 +47,13 @@ def _powers(base: int, count: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-def _gram_hashes(data: np.ndarray) -> np.ndarray:
-    """A mixed hash of the ``GRAM`` bytes from each place on."""
+def _gram_hashes(data: np.ndarray, level: int = 0) -> np.ndarray:
+    """A mixed hash of the ``GRAM`` bytes from each place on, another one for each ``level``."""
     value, width, factor = data.astype(np.uint64) + np.uint64(1), 1, _FACTOR
     while width < GRAM:
         value = value[:-width] * np.uint64(factor) + value[width:]
         factor, width = factor * factor % (1 << 64), 2 * width
+    value ^= np.uint64(level * _INVERSE % (1 << 64))
     value ^= value >> np.uint64(31)
     value *= np.uint64(0xBF58476D1CE4E5B9)
     value ^= value >> np.uint64(29)
@@ -65,11 +73,11 @@ def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(back[: n - width + 1], ahead[width - 1 : n])
 
 
-def text_segments(data: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+def text_segments(data: np.ndarray, length: int, level: int = 0) -> tuple[np.ndarray, ...]:
     """(name, digest, start, windows, twice) of the segments of one text, given as bytes.
 
     ``twice`` is 1 where the gram of the name is the least of a window at two places of the text."""
-    grams, room = _gram_hashes(data), length - GRAM + 1
+    grams, room = _gram_hashes(data, level), length - GRAM + 1
     least = _sliding_least(grams, room)
     start = np.concatenate([[0], np.flatnonzero(least[1:] != least[:-1]) + 1])
     windows = np.diff(np.append(start, len(least)))
@@ -139,6 +147,68 @@ def _sort_shard(length: int):
     return run
 
 
+def _cut_again(length: int, level: int):
+    """The segments of each segment under the hash of ``level``: equal windows of one name get one
+    name again."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        owner, out = [], [[], [], [], [], []]
+        parts: list[bytes] = []
+        for row, (name, held) in enumerate(zip(batch.column("name").to_pylist(), batch.column("bytes").to_pylist())):
+            again, digest, start, windows, twice = text_segments(np.frombuffer(held, dtype=np.uint8), length, level)
+            # the name before is part of the name: an injective mix
+            again = ((again.view(np.uint64) ^ np.uint64(name % (1 << 64))) * np.uint64(_FACTOR)).view(np.int64)
+            owner.append(np.full(len(again), row))
+            for column, part in zip(out, (again, digest, start, windows, twice)):
+                column.append(part.astype(np.int64))
+            parts.extend(held[a : a + n + length - 1] for a, n in zip(start.tolist(), windows.tolist()))
+        whole = [np.concatenate(c) if c else np.empty(0, np.int64) for c in out]
+        at = pa.array(np.concatenate(owner) if owner else np.empty(0, np.int64))
+        kept = batch.select(["name", "digest", "copies"]).take(at)
+        return pa.RecordBatch.from_arrays(
+            [*kept.columns, *(pa.array(w) for w in whole), pa.array(parts, pa.binary())],
+            names=["old_name", "old_digest", "copies", "name", "digest", "start", "windows", "twice", "bytes"],
+        )
+
+    return run
+
+
+def _runs(sent: DataFrame, sizes: DataFrame, length: int, level: int) -> DataFrame:
+    """``(name, digest, a, b)``: repeated byte ranges of the distinct segments ``sent``, with the
+    bytes of each in ``sizes``."""
+    by_name = stored(sizes.groupBy("name").agg(F.sum("size").alias("size")), "sizes")
+    total = by_name.agg(F.sum("size"), F.max("size")).first()
+    shards = max(int((total[0] or 0) // SHARD_BYTES) + 1, partitions(sent.sparkSession))
+    large = by_name.where(F.col("size") > NAME_BYTES).select("name")
+    again = None
+    # a window alone has the same names as its equals only, so some level cuts any name down
+    if (total[1] or 0) > NAME_BYTES and level <= LEVELS:
+        schema = (
+            "old_name bigint, old_digest bigint, copies bigint, name bigint, digest bigint, start bigint, "
+            "windows bigint, twice bigint, bytes binary"
+        )
+        part = sent.join(F.broadcast(large), "name", "left_semi")
+        cut = stored(map_rows(part, _cut_again(length, level), schema, "bytes"), "cut")
+        names = cut.groupBy("name").agg(F.sum("copies").alias("n"), F.max("twice").alias("twice"))
+        cut = cut.join(names.where("n > 1 or twice > 0").select("name"), "name", "left_semi")
+        kinds = cut.groupBy("name", "digest").agg(F.sum("copies").alias("copies"), F.first("bytes").alias("bytes"))
+        kinds = stored(kinds, "cut-segments")
+        found = _runs(kinds, kinds.select("name", F.length("bytes").alias("size")), length, level + 1)
+        again = cut.drop("bytes").join(found, ["name", "digest"]).select(
+            F.col("old_name").alias("name"),
+            F.col("old_digest").alias("digest"),
+            (F.col("start") + F.col("a")).cast("int").alias("a"),
+            (F.col("start") + F.col("b")).cast("int").alias("b"),
+        )
+        sent = sent.join(F.broadcast(large), "name", "left_anti")
+    dealt = sent.withColumn("shard", F.pmod(F.xxhash64("name"), F.lit(shards)))
+    runs = stored(
+        dealt.groupBy("shard").applyInArrow(_sort_shard(length), "name bigint, digest bigint, a int, b int"),
+        "runs",
+    )
+    return runs if again is None else stored(runs.union(again), "runs")
+
+
 def repeated_ranges(keyed: DataFrame, length: int) -> DataFrame:
     """``(row_key, ranges)``: byte ranges of each text that strings of ``length`` bytes cover which
     also start anywhere else; texts without any have no row.  ``keyed`` has row_key and text."""
@@ -155,20 +225,15 @@ def repeated_ranges(keyed: DataFrame, length: int) -> DataFrame:
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("row_key", "start", "windows")).alias("at")
     )
     kinds = stored(kinds.select("name", "digest", "copies", "at.*"), "segments")
-    size = kinds.agg(F.sum(F.col("windows") + length)).first()[0] or 0
-    shards = max(int(size // SHARD_BYTES) + 1, partitions(keyed.sparkSession))
     data = F.col("text").cast("binary")
     sent = kinds.join(keyed, "row_key").select(
-        F.pmod(F.xxhash64("name"), F.lit(shards)).alias("shard"),
         "name",
         "digest",
         "copies",
         F.substring(data, F.col("start") + 1, F.col("windows") + (length - 1)).alias("bytes"),
     )
-    runs = stored(
-        sent.groupBy("shard").applyInArrow(_sort_shard(length), "name bigint, digest bigint, a int, b int"),
-        "runs",
-    )
+    sizes = kinds.select("name", (F.col("windows") + length).alias("size"))
+    runs = _runs(sent, sizes, length, 1)
     return (
         places.join(runs, ["name", "digest"])
         .select("row_key", F.expr("struct(start + a as a, start + b as b)").alias("r"))
