@@ -140,3 +140,10 @@ def test_neighbours_match_brute_force(spark):
 
 def test_chi_square_quantile():
     assert abs(ann.chi_square_quantile(0.95, 8) - 15.507) < 1e-3
+
+
+def test_an_open_head_ends_where_the_body_starts():
+    for start in ("<head><title>t</title><body><p>seen</p>", "<head><meta charset=utf-8><p>seen</p>", "<head><style>a</style>seen",
+                  "<head><title>t</title></head><body><p>seen</p>"):
+        assert [b.text for b in html_text.blocks_of("<html>" + start)[0]] == ["seen"]
+    assert html_text.blocks_of("<head><title>t</title><noscript><img src=x>no</noscript></head>")[0] == []

@@ -65,6 +65,10 @@ DOUBTFUL = frozenset("header meta top bottom byline author date info topbar".spl
 FOR = frozenset("article post content entry story main body text".split())
 
 
+#: Elements that leave an open head open; its end tag is optional, and any other element ends it.
+IN_HEAD = frozenset("html head base basefont bgsound link meta title noscript noframes style script template".split())
+
+
 @dataclass
 class Block:
     parts: list[str] = field(default_factory=list)
@@ -114,6 +118,8 @@ def blocks_of(page: str) -> tuple[list[Block], list[int], list[int]]:
 
     def text(raw: str) -> None:
         nonlocal current
+        if stack[-1][0] == "head" and not raw.isspace():
+            close("head")
         _, _, hint, silent, link = stack[-1]
         if silent or not raw:
             return
@@ -153,6 +159,8 @@ def blocks_of(page: str) -> tuple[list[Block], list[int], list[int]]:
             if opened.get(name):
                 close(name)
             continue
+        if opened.get("head") and (name == "body" or stack[-1][0] == "head" and name not in IN_HEAD):
+            close("head")
         if name == "br":
             text(" ")
             continue
