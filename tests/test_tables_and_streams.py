@@ -188,3 +188,10 @@ def test_card_stream(spark, tmp_path):
     full.select(*names).write.parquet(incoming)
     streaming.stream_cards(streaming.landed_stream(spark, incoming), root).start().awaitTermination(120)
     assert table(spark, root, "card_prices", schemas.CARD_PRICES).first().usd_price == 0.15
+
+
+def test_stream_keeps_pages_without_a_number(spark, tmp_path):
+    root = str(tmp_path)
+    streaming.fold_listings(spark, landed(spark, [(1, page(1), 1), (None, page(2), 2), (0, page(3), 3)]), 0, root, BASE)
+    found = spark.read.parquet(f"{root}/unpaged").collect()
+    assert {(r.page_index, r.reject_reason) for r in found} == {(None, "page_index"), (0, "page_index")}

@@ -35,8 +35,10 @@ def fold_listings(
     tables.append_run(items_now, f"{root}/items", batch_id)
     items = spark.read.parquet(f"{root}/items/run_id={batch_id}")
     tables.append_run(listings.page_ledger(items), f"{root}/ledger", batch_id)
+    landed = spark.read.parquet(f"{root}/ledger/run_id={batch_id}")
+    tables.append_run(paging.out_of_range(landed), f"{root}/unpaged", batch_id)
     ledger = spark.read.parquet(f"{root}/ledger").where(F.col("run_id") <= batch_id)
-    touched = spark.read.parquet(f"{root}/ledger/run_id={batch_id}").select("series_code")
+    touched = landed.select("series_code")
     known = ledger.join(touched.distinct(), "series_code", "left_semi")
     newest = [F.desc("fetched_at"), F.desc("run_id")]
     current = paging.latest_copies(known, ("series_code", "page_index"), newest)
