@@ -21,8 +21,10 @@ _DOTS = r"(?:^|/)\.\.?(?:/|$)"
 
 
 def url_path(url: Column) -> Column:
-    """The path component, without ``;params`` of its last part."""
-    clean = F.translate(url, "\t\r\n", "")
+    """The path component, without ``;params`` of its last part.
+
+    As the standard library does, leading control characters and spaces go first."""
+    clean = F.translate(F.regexp_replace(url, r"^[\x00-\x20]+", ""), "\t\r\n", "")
     path = F.regexp_replace(F.regexp_extract(clean, r"^([^?#]*)", 1), _BEFORE_PATH, "")
     return F.regexp_replace(path, r";[^/]*\z", "")
 

@@ -47,9 +47,11 @@ PRODUCT_URL = f"case when {SIZE} <> 17 then concat('{SHOP}/product/', {KEY}) end
 def spread(scan: DataFrame, key: str) -> DataFrame:
     """Narrow rows dealt by key before any page is built from them.
 
-    The given tables are single small files, which would leave page reading to one core.
+    The given tables are single small files, which would leave page reading to one core.  The
+    number is given, as adaptive execution would join so small a shuffle into one partition.
     """
-    return scan.repartition(key)
+    parts = int(scan.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return scan.repartition(parts, key)
 
 
 def _items_html(price_text: str) -> Column:
