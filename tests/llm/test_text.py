@@ -12,7 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from vitrine.llm import bpe_trie, chat, packing
+from vitrine.llm import bpe_trie, chat, common, packing
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 SCRAPS = [
@@ -38,7 +38,7 @@ def test_byte_tokens_match_the_library():
 def test_walk_matches_plain_merging():
     coder, rng = bpe_trie.TrieEncoder(BYTES), random.Random(2)
     words = sorted({bytes(rng.choice(b"abcdehtiorns ing") for _ in range(rng.randint(1, 14))) for _ in range(3000)})
-    assert coder.walk(words) == [coder.merged(w) for w in words]
+    assert [np.frombuffer(ids, coder.kind).tolist() for ids in coder.walk(words)] == [coder.merged(w) for w in words]
 
 
 def test_byte_tokens_on_edge_rows(spark, edge_documents, no_documents):
@@ -46,6 +46,39 @@ def test_byte_tokens_on_edge_rows(spark, edge_documents, no_documents):
     assert all(r["decoded"] == (r["text"] or "") for r in rows)
     assert len(rows) == edge_documents.count()
     assert bpe_trie.decode(bpe_trie.encode(no_documents, BYTES), BYTES).count() == 0
+    clashing = edge_documents.selectExpr("text", "doc_id", "lang as decoded", "source as ids", "n_chars as `a b`")
+    both = bpe_trie.round_trip(clashing, BYTES)
+    assert both.columns == ["doc_id", "a b", "ids", "decoded"]
+    assert sorted(r["decoded"] for r in both.collect()) == sorted(r["text"] or "" for r in rows)
+    assert bpe_trie.round_trip(no_documents, BYTES).count() == 0
+
+
+def test_word_memory_forgets_by_bytes_and_stays_right():
+    memory, rng = common.WordMemory("<u2", 4000), random.Random(7)
+    for _ in range(60):
+        words = sorted({f"w{rng.randint(0, 3000)}" for _ in range(40)} | {"", "often"})
+        flat, size = memory.numbers(words, lambda gaps: [np.array([ord(c) for c in w], "<u2").tobytes() for w in gaps])
+        assert ["".join(map(chr, part)) for part in np.split(flat, np.cumsum(size)[:-1])] == words
+        assert memory.newer.bytes() < 8000 and memory.older.bytes() < 8000
+    empty, none = memory.numbers([], lambda gaps: [])
+    assert len(empty) == len(none) == 0
+
+
+def test_one_very_long_word_matches_the_library():
+    word = "".join(random.Random(9).choice("etaoinshrdlu") for _ in range(60_000))
+    library, coder = Tokenizer.from_file(BYTES), bpe_trie.TrieEncoder(BYTES)
+    assert coder.encode([word, "a" * 50_000]).to_pylist() == [
+        e.ids for e in library.encode_batch([word, "a" * 50_000], add_special_tokens=False)
+    ]
+
+
+def test_words_with_marks_match_the_library():
+    library, coder = Tokenizer.from_file(WORDS), packing.WordEncoder(WORDS)
+    rng = random.Random(11)
+    ends = [*packing.MARKS, "...", "!!", "&&&", "'s", "'", "--'ll", "1", "é.", "", "",  "İ", "Σ", "ﬁ", "µ", "ſ"]
+    texts = ["".join(rng.choice("abEÉéñßöÜ") for _ in range(rng.randint(0, 5))) + rng.choice(ends) + rng.choice(ends) for _ in range(6000)]
+    found, _ = coder.encode(pa.array(texts))
+    assert [f.tolist() for f in found] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
 
 
 def test_word_tokens_match_the_library():

@@ -14,6 +14,7 @@ not remember reach the trie.
 from __future__ import annotations
 
 import json
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -22,17 +23,18 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import WORD_BYTES, Remembered, map_rows
+from vitrine.llm.common import WORD_BYTES, WordMemory, map_rows, spread_out
 
-#: Words that a worker remembers in each of two generations, and token pairs whose outcome it remembers.
-REMEMBERED = 150_000
-PAIRS = 500_000
+#: Token pairs whose outcome a worker remembers in each of two generations.
+PAIRS = 200_000
 # The byte-level word pattern, and the characters of the Unicode White_Space property.
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 SPACES = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+#: Last bytes by which the longest possible token is looked up.
+TAIL = 4
 #: Put before each space, so that a split there keeps the space; texts that hold it go word by word.
 CUT = "\x01"
 
@@ -68,11 +70,18 @@ class TrieEncoder:
         self.sizes = np.array([len(t) for t in table], dtype=np.int64)
         self.begins = np.cumsum(self.sizes) - self.sizes
         self.flat = np.frombuffer(b"".join(table), dtype=np.uint8)
-        self.longest = max(map(len, self.token))
+        # how long a token can be, by its last bytes: shorter tokens need no entry
+        self.reach: dict[bytes, int] = {}
+        for data in self.token:
+            tail = data[-TAIL:]
+            self.reach[tail] = max(self.reach.get(tail, 0), len(data))
         self.words = regex.compile(PATTERN).findall
         self.marks = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        self.intact: dict[tuple[int, int], bool] = {}
-        self.known = Remembered(REMEMBERED)
+        self.width = size
+        self.intact: dict[int, bool] = {}
+        self.older: dict[int, bool] = {}
+        self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
+        self.known = WordMemory(self.kind)
 
     def merged(self, data: bytes) -> list[int]:
         """Plain merging, lowest rank first: the rule that the walk has to agree with."""
@@ -87,18 +96,23 @@ class TrieEncoder:
 
     def _stands(self, last: int, token: int) -> bool:
         """Whether ``token`` may follow ``last`` (-1: nothing) without a merge between them."""
-        if len(self.intact) > PAIRS:
+        pair = last * self.width + token
+        found = self.older.get(pair)
+        if found is None:
+            if last < 0:
+                found = self.merged(self.table[token]) == [token]
+            else:
+                found = self.merged(self.table[last] + self.table[token]) == [last, token]
+        if len(self.intact) >= PAIRS:
+            self.older = dict(self.intact)
             self.intact.clear()
-        if last < 0:
-            found = self.merged(self.table[token]) == [token]
-        else:
-            found = self.merged(self.table[last] + self.table[token]) == [last, token]
-        self.intact[last, token] = found
+        self.intact[pair] = found
         return found
 
-    def walk(self, words: list[bytes]) -> list[list[int]]:
-        """Encodings of distinct words, given sorted; the path's states are shared by prefixes."""
-        token_of, known, longest = self.token.get, self.intact.get, self.longest
+    def walk(self, words: list[bytes]) -> list[bytes]:
+        """Encodings (as the bytes of numbers) of distinct words, given sorted; the states of the
+        path are shared by prefixes."""
+        token_of, known, reach, width, kind = self.token.get, self.intact.get, self.reach.get, self.width, self.kind.char
         last, length = [-1], [0]
         before, out = b"", []
         for word in words:
@@ -107,10 +121,17 @@ class TrieEncoder:
                 shared += 1
             del last[shared + 1 :], length[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                for begin in range(end - longest if end > longest else 0, end):
+                if end < TAIL:
+                    first = 0
+                else:
+                    # tokens shorter than a tail have no entry
+                    first = end - reach(word[end - TAIL : end], TAIL - 1)
+                    if first < 0:
+                        first = 0
+                for begin in range(first, end):
                     token = token_of(word[begin:end])
                     if token is not None:
-                        intact = known((last[begin], token))
+                        intact = known(last[begin] * width + token)
                         if intact is None:
                             intact = self._stands(last[begin], token)
                         if intact:
@@ -122,12 +143,13 @@ class TrieEncoder:
             while place:
                 ids.append(last[place])
                 place -= length[place]
-            out.append(ids[::-1])
+            ids.reverse()
+            out.append(array(kind, ids).tobytes())
         return out
 
-    def encode_words(self, words: list[str]) -> None:
+    def encode_words(self, words: set[str]) -> dict[str, bytes]:
         fresh = sorted(w.encode("utf-8") for w in words)
-        self.known.update(zip((w.decode("utf-8") for w in fresh), self.walk(fresh)))
+        return dict(zip((w.decode("utf-8") for w in fresh), self.walk(fresh)))
 
     def _split(self, piece: str) -> tuple[str, ...] | list[str]:
         """The words of a piece; letters after one space, with or without a final mark, need no
@@ -139,12 +161,11 @@ class TrieEncoder:
                 return (piece[:-1], piece[-1])
         return self.words(piece)
 
-    def encode_pieces(self, pieces: list[str]) -> list[list[int]]:
-        """Ids of pieces of text between which no word reaches."""
+    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces of text between which no word reaches, as the bytes of numbers."""
         split = [self._split(p) for p in pieces]
-        known = self.known
-        self.encode_words(known.absent({w for words in split for w in words}))
-        return [known[w[0]] if len(w) == 1 else [t for word in w for t in known[word]] for w in split]
+        coded = self.encode_words({w for words in split for w in words})
+        return [coded[w[0]] if len(w) == 1 else b"".join([coded[word] for word in w]) for w in split]
 
     def encode_plainly(self, text: str) -> np.ndarray:
         """One text, special strings apart."""
@@ -153,7 +174,7 @@ class TrieEncoder:
             if part in self.special:
                 ids.append(self.special[part])
             elif part:
-                ids += self.encode_pieces([part])[0]
+                ids += np.frombuffer(self.encode_pieces([part])[0], self.kind).tolist()
         return np.array(ids, dtype=np.int32)
 
     def encode(self, texts: list[str]) -> pa.ListArray:
@@ -168,14 +189,12 @@ class TrieEncoder:
         edges = split.offsets.to_numpy()
         edges = edges - edges[0]
         coded = split.flatten().dictionary_encode()
-        ids = self.encode_pieces(coded.dictionary.to_pylist())
-        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        flat = np.fromiter((t for i in ids for t in i), dtype=np.int32, count=int(size.sum()))
-        begin = np.cumsum(size) - size
+        del rows, plain, split
+        flat, size = self.known.numbers(coded.dictionary.to_pylist(), self.encode_pieces)
         places = coded.indices.to_numpy()
+        begin = np.cumsum(size) - size
         size = size[places]
-        shift = np.repeat(begin[places] - (np.cumsum(size) - size), size)
-        whole = flat[shift + np.arange(len(shift))]
+        whole = flat[spread_out(begin[places], size)].astype(np.int32)
         tokens = np.concatenate([[0], np.cumsum(size)])[edges]
         if len(odd):
             parts = np.split(whole, tokens[1:-1])
@@ -187,9 +206,7 @@ class TrieEncoder:
 
     def decode(self, ids: np.ndarray) -> str:
         """Bytes of all ids, joined and read as UTF-8; what is not UTF-8 becomes U+FFFD."""
-        size = self.sizes[ids]
-        shift = np.repeat(self.begins[ids] - (np.cumsum(size) - size), size)
-        return self.flat[shift + np.arange(len(shift))].tobytes().decode("utf-8", "replace")
+        return self.flat[spread_out(self.begins[ids], self.sizes[ids])].tobytes().decode("utf-8", "replace")
 
 
 _ENCODERS: dict[str, TrieEncoder] = {}
@@ -202,37 +219,64 @@ def encoder(path: str) -> TrieEncoder:
     return _ENCODERS[path]
 
 
-def _with(df: DataFrame, source: str, target: str, kind: str, function) -> DataFrame:
-    names = [c for c in df.columns if c != target]
+def _with(df: DataFrame, source: str, targets: dict[str, str], function, keep: bool = True) -> DataFrame:
+    """``df`` with the target columns (name: kind) that ``function`` makes of ``source``, which goes
+    unless ``keep``."""
+    names = [c for c in df.columns if c not in targets]
     rows = df.select(*(F.col(f"`{c}`") for c in names))
     place = names.index(source)
+    held = [i for i in range(len(names)) if keep or i != place]
+    out = [names[i] for i in held]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([*batch.columns, function(batch.column(place))], names=[*names, target])
+        made = function(batch.column(place))
+        return pa.RecordBatch.from_arrays([*(batch.column(i) for i in held), *made], names=[*out, *targets])
+
+    kinds = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in out]
+    schema = ", ".join([*kinds, *(f"`{c}` {kind}" for c, kind in targets.items())])
+    return map_rows(rows, run, schema, source, WORD_BYTES)
+
+
+def _encoded(texts: pa.Array, path: str) -> pa.Array:
+    return encoder(path).encode([t or "" for t in texts.to_pylist()])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return map_rows(rows, run, f"{schema}, `{target}` {kind}", source, WORD_BYTES)
+
+def _decoded(ids: pa.Array, path: str) -> pa.Array:
+    coder = encoder(path)
+    values = ids.flatten().to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+    edges = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    return pa.array([coder.decode(values[a:b]) for a, b in zip(edges[:-1], edges[1:])], pa.string())
 
 
 def encode(df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """``df`` with ``ids_col`` (array of int): the whole text's token ids, as the tokenizers library
     gives them without added special tokens; special strings inside a text are their ids.
 
-    A null text counts as empty and has an empty array.  A column of that name is replaced."""
-    return _with(
-        df, text_col, ids_col, "array<int>",
-        lambda texts: encoder(path).encode([t or "" for t in texts.to_pylist()]),
-    )
+    A null or empty text has an empty array; a very long one is encoded whole, and a word of any
+    length in time that grows with it; rows that repeat are encoded alike; an empty table gives an
+    empty one.  Other columns stay, whatever their names; one named ``ids_col`` is replaced."""
+    return _with(df, text_col, {ids_col: "array<int>"}, lambda texts: [_encoded(texts, path)])
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
-    """``df`` with ``text_col``: the text of the ids, special tokens included; null ids give ''."""
+    """``df`` with ``text_col``: the text of the ids, special tokens included.
+
+    Null and empty ids give ''; bytes that are not UTF-8 become U+FFFD; rows that repeat are decoded
+    alike and an empty table gives an empty one.  Other columns stay; one named ``text_col`` is
+    replaced."""
+    return _with(df, ids_col, {text_col: "string"}, lambda ids: [_decoded(ids, path)])
+
+
+def round_trip(
+    df: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", decoded_col: str = "decoded"
+) -> DataFrame:
+    """``encode`` and ``decode`` in one pass over the texts: ``df`` without ``text_col``, with the ids
+    and the text decoded from them.  Nulls, empty, long and repeated texts, empty tables and other
+    columns as there."""
 
-    def run(ids: pa.Array) -> pa.Array:
-        coder = encoder(path)
-        values = ids.flatten().to_numpy(zero_copy_only=False)
-        sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
-        edges = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        return pa.array([coder.decode(values[a:b]) for a, b in zip(edges[:-1], edges[1:])], pa.string())
+    def run(texts: pa.Array) -> list[pa.Array]:
+        ids = _encoded(texts, path)
+        return [ids, _decoded(ids, path)]
 
-    return _with(df, ids_col, text_col, "string", run)
+    return _with(df, text_col, {ids_col: "array<int>", decoded_col: "string"}, run, keep=False)

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch that hold at most this much text are turned into Python objects at once.
 SLICE_BYTES = 2 << 20
-#: The same where larger batches share more words.
-WORD_BYTES = 8 << 20
+#: The same where larger batches share more words, and bytes of words that such a worker remembers
+#: in each of two generations.
+WORD_BYTES = 4 << 20
+MEMORY_BYTES = 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -66,6 +68,8 @@ def map_rows(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text, most):
             yield function(batch)
+            # a worker lives on: what Arrow holds for later would count against its executor
+            pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
@@ -96,31 +100,79 @@ def bucket_of(column: Column, bounds: list) -> Column:
     return rank(column)
 
 
-class Remembered(dict):
-    """Results by word in two generations: when the newer is full it becomes the older, and what is
-    found in the older moves to the newer.  So at most twice ``size`` words are held, and words in
-    use stay."""
-
-    def __init__(self, size: int):
-        super().__init__()
-        self.size, self.older = size, {}
-
-    def __missing__(self, word):
-        found = self[word] = self.older[word]
-        return found
-
-    def absent(self, words) -> list:
-        """Those of ``words`` that neither generation holds, after making room for them."""
-        if len(self) > self.size:
-            self.older = dict(self)
-            self.clear()
-        older = self.older
-        out = []
-        for word in words:
-            if word not in self:
-                found = older.get(word)
-                if found is None:
-                    out.append(word)
-                else:
-                    self[word] = found
-        return out
+def spread_out(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Places begin, begin + 1, ... of every range, one after another."""
+    ends = np.cumsum(size, dtype=np.int64)
+    out = np.repeat(begin - (ends - size), size)
+    out += np.arange(len(out))
+    return out
+
+
+# Two keys of the hash, so that a word is known by 128 bits.
+HASH_KEYS = ("0123456789abcdef", "fedcba9876543210")
+
+
+class _Known:
+    """Sorted word hashes with their numbers, one after another in a flat array."""
+
+    def __init__(self, kind: np.dtype):
+        self.key = np.zeros(0, np.uint64)
+        self.check = np.zeros(0, np.uint64)
+        self.begin, self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, kind)
+
+    def places(self, key: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """Place of each word, -1 where it is not known."""
+        if not len(self.key):
+            return np.full(len(key), -1)
+        at = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
+        return np.where((self.key[at] == key) & (self.check[at] == check), at, -1)
+
+    def add(self, key, check, size, flat) -> None:
+        begin = len(self.flat) + np.cumsum(size) - size
+        whole = np.concatenate([self.key, key])
+        order = np.argsort(whole, kind="stable")
+        self.key = whole[order]
+        for name, more in (("check", check), ("begin", begin), ("size", size)):
+            setattr(self, name, np.concatenate([getattr(self, name), more])[order])
+        self.flat = np.concatenate([self.flat, flat])
+
+    def bytes(self) -> int:
+        return sum(a.nbytes for a in (self.key, self.check, self.begin, self.size, self.flat))
+
+
+class WordMemory:
+    """Numbers by word in two generations: when the newer holds ``size`` bytes it becomes the older,
+    and what is found in the older moves to the newer.  So at most about twice ``size`` bytes are
+    held whatever the words are, and words in use stay."""
+
+    def __init__(self, kind: np.dtype, size: int = MEMORY_BYTES):
+        self.kind, self.size = np.dtype(kind), size
+        self.newer, self.older = _Known(self.kind), _Known(self.kind)
+
+    def numbers(
+        self, words: list[str], work_out: Callable[[list[str]], list[bytes]]
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of distinct words, one after another, and how many each has; ``work_out`` gives
+        the bytes of those of words that are not known."""
+        if self.newer.bytes() > self.size:
+            self.older, self.newer = self.newer, _Known(self.kind)
+        texts = np.array(words, dtype=object)
+        key, check = (pd.util.hash_array(texts, hash_key=k, categorize=False) for k in HASH_KEYS)
+        new, old = self.newer.places(key, check), self.older.places(key, check)
+        old[new >= 0] = -1
+        gaps = np.flatnonzero((new < 0) & (old < 0))
+        fresh = work_out(texts[gaps].tolist())
+        begin, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        shift = 0
+        for known, at in ((self.newer, new), (self.older, old)):
+            here = at >= 0
+            begin[here], size[here] = known.begin[at[here]] + shift, known.size[at[here]]
+            shift += len(known.flat)
+        size[gaps] = np.fromiter(map(len, fresh), np.int64, len(fresh)) // self.kind.itemsize
+        begin[gaps] = shift + np.cumsum(size[gaps]) - size[gaps]
+        source = np.concatenate([self.newer.flat, self.older.flat, np.frombuffer(b"".join(fresh), self.kind)])
+        flat = source[spread_out(begin, size)]
+        more = np.flatnonzero(new < 0)
+        if len(more):
+            self.newer.add(key[more], check[more], size[more], source[spread_out(begin[more], size[more])])
+        return flat, size

@@ -20,19 +20,24 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import WORD_BYTES, Remembered, bounds_of, bucket_of, map_rows, partitions, stored
+from vitrine.llm.bpe_trie import byte_letters
+from vitrine.llm.common import WORD_BYTES, WordMemory, bounds_of, bucket_of, map_rows, partitions, spread_out, stored
 
 #: Dimensions of the curve and bits of each, then bits that spread documents of one cell.
 DIMENSIONS, BITS, SPREAD_BITS = 4, 12, 15
-#: Distinct words whose ids a worker remembers, in each of two generations.
-WORDS = 150_000
+#: Tokens that weigh as one document where the ranges are cut.
+WEIGHED_TOKENS = 512
+#: Bytes of token ids in one range of the curve, which one task sorts.
+RANGE_BYTES = 16 << 20
 #: Words that are asked from the library in one call: its results are large.
-ASKED = 5_000
+ASKED = 2_000
+# ASCII marks that can stand behind letters and start no other piece of the pattern.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def _letters(word: str) -> bool:
-    """Whether a word is letters alone even after the tokenizer has normalised it."""
-    return word.isalpha() and (word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha())
+    """Whether a word is letters alone that the tokenizer's normalisation leaves as they are."""
+    return word.isalpha() and word.lower() == word and (word.isascii() or unicodedata.is_normalized("NFC", word))
 
 
 class WordEncoder:
@@ -40,8 +45,9 @@ class WordEncoder:
 
     Nothing that the tokenizer matches crosses ASCII white space, so a text's ids are those of its
     words; special token strings hold no white space and stay whole.  A batch is split and its
-    distinct words numbered inside Arrow; words that are not remembered go to the tokenizers
-    library, letters apart from a final full stop or comma, which it would divide as well."""
+    distinct words numbered inside Arrow.  Lower-case letters with or without marks behind them are
+    two pieces at most, which go to the library's model at once; other words go through the whole
+    library.  A worker's memory of words is bounded in bytes."""
 
     def __init__(self, path: str):
         # tasks are the parallel unit; the library's own threads would only compete with them
@@ -54,30 +60,45 @@ class WordEncoder:
         size = self.library.get_vocab_size(with_added_tokens=True)
         self.kind = np.dtype("<u2") if size <= 1 << 16 else np.dtype("<u4")
         self.plane = np.random.default_rng(9).standard_normal((size, DIMENSIONS)).astype(np.float32)
-        self.ids = Remembered(WORDS)
-
-    def _ask(self, words: list[str]) -> None:
-        for start in range(0, len(words), ASKED):
-            part = words[start : start + ASKED]
-            coded = self.library.encode_batch_fast(part, add_special_tokens=False)
-            self.ids.update(zip(part, [array(self.kind.char, c.ids).tobytes() for c in coded]))
+        self.model = self.library.model
+        self.letter = {byte: letter for letter, byte in byte_letters().items()}
+        self.marks: dict[str, bytes] = {}
+        self.known = WordMemory(self.kind)
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return array(self.kind.char, ids).tobytes()
+
+    def _piece(self, piece: str) -> bytes:
+        """Ids of one piece of the tokenizer's pattern, as its byte letters."""
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(self.letter)
+        return self._packed([token.id for token in self.model.tokenize(piece)])
+
+    def _simple(self, word: str) -> bytes | None:
+        """Ids of letters with marks behind them; None for any other word."""
+        if _letters(word):
+            return self._piece(word)
+        stem = word.rstrip(MARKS)
+        if len(stem) < len(word) and _letters(stem):
+            mark = word[len(stem) :]
+            ids = self.marks.get(mark)
+            if ids is None:
+                if len(self.marks) > ASKED:
+                    self.marks.clear()
+                ids = self.marks[mark] = self._piece(mark)
+            return self._piece(stem) + ids
+        return None
 
     def words(self, words: list[str]) -> list[bytes]:
         """The ids of distinct words, as the bytes of little-endian numbers."""
-        known, gaps = self.ids, self.ids.absent(words)
-        if gaps:
-            asked, joint = {}, []
-            for word in gaps:
-                stem = word[:-1]
-                if word[-1:] in (",", ".") and _letters(stem):
-                    joint.append((word, stem, word[-1]))
-                    asked[stem] = asked[word[-1]] = None
-                else:
-                    asked[word] = None
-            self._ask(known.absent(asked))
-            for word, stem, mark in joint:
-                known[word] = known[stem] + known[mark]
-        return [known[w] for w in words]
+        found = list(map(self._simple, words))
+        rest = [place for place, ids in enumerate(found) if ids is None]
+        for start in range(0, len(rest), ASKED):
+            part = rest[start : start + ASKED]
+            coded = self.library.encode_batch_fast([words[place] for place in part], add_special_tokens=False)
+            for place, code in zip(part, coded):
+                found[place] = self._packed(code.ids)
+        return found
 
     def encode(self, texts: pa.Array) -> tuple[list[np.ndarray], np.ndarray]:
         """Ids of each text, and the sums of their tokens' vectors."""
@@ -88,25 +109,24 @@ class WordEncoder:
         for space in "\t\n\v\f\r":
             lowered = pc.replace_substring(lowered, space, " ")
         split = pc.split_pattern(lowered, " ")
+        del texts, lowered
         edges = split.offsets.to_numpy()
         edges = edges - edges[0]
         coded = split.flatten().dictionary_encode()
-        ids = self.words(coded.dictionary.to_pylist())
-        width = self.kind.itemsize
-        size = np.array([len(b) // width for b in ids], dtype=np.int64)
-        flat = np.frombuffer(b"".join(ids), dtype=self.kind)
+        del split
+        flat, size = self.known.numbers(coded.dictionary.to_pylist(), self.words)
+        places = coded.indices.to_numpy()
         begin = np.cumsum(size) - size
         vectors = np.zeros((len(size), DIMENSIONS), np.float32)
         some = size > 0
         if some.any():
             vectors[some] = np.add.reduceat(self.plane[flat], begin[some], axis=0)
-        places = coded.indices.to_numpy()
+        sums = np.zeros((len(places) + 1, DIMENSIONS))
+        np.cumsum(vectors[places], axis=0, out=sums[1:])
+        sums = sums[edges[1:]] - sums[edges[:-1]]
         size = size[places]
-        shift = np.repeat((begin[places] - (np.cumsum(size) - size)), size)
-        whole = flat[shift + np.arange(len(shift))]
         tokens = np.concatenate([[0], np.cumsum(size)])[edges]
-        sums = np.concatenate([np.zeros((1, DIMENSIONS)), np.cumsum(vectors[places], axis=0, dtype=np.float64)])
-        return np.split(whole, tokens[1:-1]), sums[edges[1:]] - sums[edges[:-1]]
+        return np.split(flat[spread_out(begin[places], size)], tokens[1:-1]), sums
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -191,8 +211,11 @@ def pack(
     packed as often.  All sequences are full but the last.  Other columns are ignored; an empty
     table has no pieces."""
     small = stored(tokenized(df, id_col, text_col, path, end_id), "tokens")
-    count = 4 * partitions(df.sparkSession)
-    bounds = bounds_of(small, "key", count)
+    held = small.agg(F.sum(F.length("ids")).alias("bytes")).first()["bytes"] or 0
+    count = max(4 * partitions(df.sparkSession), -(-held // RANGE_BYTES))
+    # a document counts once for each part of a sequence, so that ranges hold like numbers of tokens
+    weight = F.ceil(F.col("n_tokens") / WEIGHED_TOKENS).cast("int")
+    bounds = bounds_of(small.select(F.explode(F.array_repeat("key", weight)).alias("key")), "key", count)
     ranged = small.withColumn("range", bucket_of(F.col("key"), bounds))
     sums = {r["range"]: r["n"] for r in ranged.groupBy("range").agg(F.sum("n_tokens").alias("n")).collect()}
     totals = np.array([sums.get(i, 0) for i in range(len(bounds) + 1)], dtype=np.int64)

@@ -101,9 +101,8 @@ def op8_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from vitrine.llm import bpe_trie
 
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = bpe_trie.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    both = bpe_trie.decode(coded.drop("text"), path)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = bpe_trie.round_trip(documents, public_tokenizers.path("byte_bpe_50k.json"))
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
