@@ -161,3 +161,40 @@ def op4_html_mincut(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     found = html_text.extract(pages, html_text.train(pages, "page_id"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def with_planted_periods(documents: DataFrame) -> DataFrame:
+    """The documents with every tenth text's tail made periodic, as the hash of its id says."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    hit = documents.withColumn("_g", F.when(h % 10 == 0, F.floor(h / 10))).withColumn(
+        "_words", F.when(F.col("_g").isNotNull(), words)
+    )
+    n, g = F.size("_words").cast("bigint"), F.col("_g")
+    placed = hit.withColumn("_a", F.when(n > 0, g % n)).withColumn("_p", 1 + F.floor((n - F.col("_a")) / (3 + g % 8)))
+    source = F.sequence(F.lit(0).cast("bigint"), n - 1)
+    a, p = F.col("_a"), F.col("_p")
+    edited = F.transform(source, lambda i: F.get("_words", F.when(i < a, i).otherwise(a + (i - a) % p).cast("int")))
+    text = F.when(a.isNotNull(), F.array_join(edited, " ")).otherwise(F.col("text"))
+    return placed.withColumn("text", text).drop("_g", "_words", "_a", "_p")
+
+
+@query
+def op12_runs_ntt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vitrine.llm.runs import periodic_runs
+
+    found = periodic_runs(with_planted_periods(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    ranked = F.transform("runs", lambda r: F.struct(r["length"].alias("l"), (-r["start"]).alias("s"), (-r["period"]).alias("p")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    best = found.withColumn("best", F.array_max(ranked)).withColumn("lines", text)
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.l").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.expr("(1000 * best.l) div -best.p").alias("exponent_milli"),
+        F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
