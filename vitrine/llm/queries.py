@@ -198,3 +198,32 @@ def op12_runs_ntt(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("lines").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
+
+
+@query
+def op13_lines_mph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vitrine.llm.lines import remove_lines
+
+    cut = remove_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), shortest=20, least=3)
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLES["op13_lines_mph"] = r"""
+with split as (
+    select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+        generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as place
+    from documents
+), keyed as (
+    select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+    from split
+), held as (
+    select key, max(doc_id) as holder from keyed where length(key) >= 20
+    group by key having count(distinct doc_id) >= 3
+), marked as (
+    select k.*, coalesce(k.doc_id <> h.holder, false) as goes from keyed k left join held h on k.key = h.key
+)
+select doc_id, count(*) as n_lines, count(*) filter (where goes) as n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) order by place) filter (where not goes), '')) as kept_sha256
+from marked group by doc_id
+"""
