@@ -227,3 +227,49 @@ select doc_id, count(*) as n_lines, count(*) filter (where goes) as n_dropped,
     sha256(coalesce(string_agg(line, chr(10) order by place) filter (where not goes), '')) as kept_sha256
 from marked group by doc_id
 """
+
+
+@query
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from vitrine.llm.divergence import divergences
+
+    return divergences(table(spark, sf_dir, "documents"), least_docs=30, top=50)
+
+
+ORACLES["op11_divergence"] = r"""
+with docs as (
+    select row_number() over () as r, coalesce(text, '') as text, coalesce(lang, '') as lang, coalesce(source, '') as source
+    from documents
+), tokens as (
+    select r, lang, source, translate(unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term
+    from docs
+), kept as (
+    select lang, term, count(*) as total from tokens group by lang, term having count(distinct r) >= 30
+), groups as (
+    select distinct lang, source from docs
+), counts as (
+    select t.lang, t.source, t.term, count(*) as n from tokens t join kept k on t.lang = k.lang and t.term = k.term
+    group by t.lang, t.source, t.term
+), cells as (
+    select g.lang, g.source, k.term, coalesce(c.n, 0) as n, k.total from groups g join kept k on g.lang = k.lang
+    left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term
+), rates as (
+    select *, 1 + cast(1000000000 * cast(n + 5 as hugeint)
+            // cast(sum(n) over w + 5 * count(*) over w as hugeint) as bigint) as p,
+        1 + cast(1000000000 * cast(total + 5 as hugeint)
+            // cast(sum(total) over w + 5 * count(*) over w as hugeint) as bigint) as q
+    from cells window w as (partition by lang, source)
+), parts as (
+    select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(sum(abs(x.p - y.p)), 0) as bigint) as value
+    from groups a join groups b on a.lang = b.lang and a.source <> b.source
+    left join rates x on x.lang = a.lang and x.source = a.source
+    left join rates y on y.lang = b.lang and y.source = b.source and y.term = x.term
+    group by a.lang, a.source, b.source
+    union all
+    select lang, source, 'term', term, p - q from rates where n > 0 and p > q
+), ranked as (
+    select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank from parts
+)
+select * from ranked where part = 'pair' or rank <= 50
+"""
