@@ -123,7 +123,8 @@ def test_visible_text(spark):
         "x&amp;nbsp;y": "x&nbsp;y",
         "": "",
     }
-    assert apply(spark, html.visible_text, list(cases)) == list(cases.values())
+    visible = lambda fragment: text.strip(text.decode_entities(html.without_tags(fragment)))
+    assert apply(spark, visible, list(cases)) == list(cases.values())
 
 
 BASES = ["https://shop.example", "https://shop.example/", "https://shop.example/a/b/c?x=1#f"]

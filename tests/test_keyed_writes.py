@@ -67,6 +67,26 @@ def test_reapplying_a_batch_changes_nothing(spark):
     assert as_state(once) == as_state(twice)
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_states_do_not_depend_on_order_or_repeats(spark, seed):
+    rows = random_rows(seed, 0, 150)
+    expected = apply_rows({}, rows)
+    parts = [rows[0:40], rows[40:41], rows[41:110], rows[110:150]]
+    for order in ((0, 1, 2, 3), (3, 1, 0, 2), (2, 2, 3, 0, 1, 3)):
+        states = None
+        for i in order:
+            fresh = U.state_of(spark.createDataFrame(parts[i], SCHEMA), POLICY, ["n"])
+            states = fresh if states is None else U.merge_states(states.unionByName(fresh), POLICY)
+        assert as_state(U.values_of(states, POLICY)) == expected
+
+
+def test_ties_of_arrival_are_settled_by_value(spark):
+    rows = [(1, "k", 3, None, "x", 5), (1, "k", 4, 2, None, 6), (1, None, 9, 9, "z", 9)]
+    for some in (rows, rows[::-1]):
+        found = U.values_of(U.state_of(spark.createDataFrame(some, SCHEMA).repartition(3), POLICY, ["n"]), POLICY)
+        assert as_state(found) == {"k": (4, 2, "x", 5)}
+
+
 def test_card_policies(spark):
     ddl = "n int, card_id bigint, data_id bigint, lang string, set_code string, card_code string, rarity string"
     rows = [(1, 12, 7, "en", "BLK", "2", "Rare"), (2, 12, None, "en", "BLK", "3", None)]
@@ -170,5 +190,3 @@ def test_checks(spark):
     assert nulls == {"k": 2, "v": 1}
     parent = spark.createDataFrame([(2,), (2,)], "id int")
     assert [tuple(r) for r in quality.orphan_keys(rows, "k", parent, "id").collect()] == [(1, 2)]
-    filled = quality.with_default(rows, "v", "JPY").where("v = 'JPY'")
-    assert filled.count() == 1

@@ -8,16 +8,17 @@ from test_extraction import BASE, CARD, block
 
 from vitrine import schemas
 from vitrine.operators import quality
+from vitrine.operators import upsert as U
 from vitrine.plans import cards, listings
 from vitrine.sources import pages, series, tables
 from vitrine.streaming import pages as streaming
 
 
-def landed(spark, rows):
+def landed(spark, rows, source="shop", crawl=None):
     """Rows of (page_index, html, minute[, status]) as listing pages of one series."""
     shaped = [
         (
-            "shop",
+            source,
             f"S1_{index}",
             f"https://shop.example/product-group/268/0/photo?num=100&page={index}",
             "S1",
@@ -28,6 +29,7 @@ def landed(spark, rows):
             (status or [200])[0],
             f"2024-03-01T06:{minute:02d}:00+00:00",
             html,
+            crawl,
         )
         for index, html, minute, *status in rows
     ]
@@ -43,8 +45,12 @@ def page(*ids, price="1,000円"):
     return "".join(block(i, f"/product/{i}", f"n{i}{{001/002}}", "m", price) for i in ids)
 
 
-def table(spark, root, name, schema):
-    return tables.read_current(spark, f"{root}/{name}", schema)
+def table(spark, root, name):
+    return listings.current_products(spark, root) if name == "products" else cards.current_table(spark, root, name)
+
+
+def checks(written):
+    return {(r.table_name, r.check_name, r.column_name): r.n_rows for r in written.checks.collect()}
 
 
 def test_page_files_are_read_whole(spark, tmp_path):
@@ -82,27 +88,90 @@ def test_ensure_table(spark):
 def test_listing_run_is_repeatable(spark, tmp_path):
     root = str(tmp_path / "out")
     first = [(1, page(1, 2, 2), 1), (2, page(3, 4), 2), (3, page(1, 9), 3), (4, page(5), 4)]
-    counts = listings.write_listings(spark, landed(spark, first), root, BASE, 1)
-    assert {(r.page_index, r.n_written) for r in counts.collect()} == {(1, 3), (2, 2)}
+    written = listings.write_listings(spark, landed(spark, first), root, BASE, 1)
+    assert {(r.page_index, r.n_written) for r in written.counts.collect()} == {(1, 3), (2, 2)}
     second = [(1, page(2, 6, price="2,000円"), 10), (2, page(7, price="SOLD OUT"), 11), (3, "<p></p>", 12)]
     for _ in range(2):
         listings.write_listings(spark, landed(spark, second), root, BASE, 2)
-    products = {r.product_id: r for r in table(spark, root, "products", schemas.SHOP_PRODUCTS).collect()}
+    products = {r.product_id: r for r in table(spark, root, "products").collect()}
     assert sorted(products) == ["1", "2", "3", "4", "6"]
     assert products["2"].price_yen == 2000.0 and products["2"].product_group == "268"
     assert products["2"].created_at < products["2"].updated_at
-    prices = spark.read.parquet(f"{root}/prices")
-    assert prices.count() == 5 + 2
+    assert listings.read_prices(spark, root).count() == spark.read.parquet(f"{root}/prices").count() == 5 + 2
     rejected = quality.rejected(spark.read.parquet(f"{root}/records"))
     assert [(r.product_id, r.reject_reason) for r in rejected.collect()] == [("7", "price_yen")]
-    assert tables.versions(spark, f"{root}/products") == [1, 2]
+
+
+def history(spark, root):
+    rows = spark.read.schema(schemas.PRICE_HISTORY).parquet(f"{root}/price_history").collect()
+    return {(r.product_id, str(r.captured_date)): (r.price, r.currency, r.captured_at.minute) for r in rows}
+
+
+def test_late_and_reused_runs_lose_nothing(spark, tmp_path):
+    visits = {
+        "7": (7, [(1, page(1, 70, price="700円"), 20)]),
+        "5": (5, [(1, page(1, 50, price="500円"), 10)]),
+        "7'": (7, [(1, page(1, 71, price="710円"), 30)]),
+    }
+    seen = []
+    for order in (("7", "5", "7'"), ("7'", "7", "5"), ("5", "7", "7", "7'", "5")):
+        root = str(tmp_path / "-".join(order).replace("'", "x"))
+        for name in order:
+            run_id, rows = visits[name]
+            written = listings.write_listings(spark, landed(spark, rows), root, BASE, run_id)
+        found = {r.product_id: (r.price_yen, r.created_at.minute, r.updated_at.minute) for r in table(spark, root, "products").collect()}
+        assert found == {"1": (710.0, 10, 30), "70": (700.0, 20, 20), "50": (500.0, 10, 10), "71": (710.0, 30, 30)}
+        assert history(spark, root)["1", "2024-03-01"] == (710.0, "JPY", 30)
+        assert listings.read_prices(spark, root).count() == 6
+        seen.append(sorted(map(str, history(spark, root).items())))
+        assert set(checks(written).values()) <= {0, 2, 4}
+        assert checks(written)["price_history", "reference", "product_id"] == 0
+    assert seen[0] == seen[1] == seen[2]
+
+
+def test_compaction_changes_no_row(spark, tmp_path):
+    root = str(tmp_path / "out")
+    path = f"{root}/products"
+    tables.compact(spark, path, U.PRODUCTS)
+    assert table(spark, root, "products").count() == 0
+    for run_id, rows in ((1, [(1, page(1, 2), 1)]), (2, [(1, page(2, 3, price="9円"), 2)])):
+        listings.write_listings(spark, landed(spark, rows), root, BASE, run_id)
+    before = sorted(map(str, table(spark, root, "products").collect()))
+    tables.compact(spark, path, U.PRODUCTS)
+    assert tables.generation(spark, path) == 1
+    assert tables.read_states(spark, path).count() == 3
+    assert sorted(map(str, table(spark, root, "products").collect())) == before
+    listings.write_listings(spark, landed(spark, [(1, page(4), 3)]), root, BASE, 3)
+    listings.write_listings(spark, landed(spark, [(1, page(2, price="1円"), 0)]), root, BASE, 0)
+    assert {r.product_id: r.price_yen for r in table(spark, root, "products").collect()} == {"1": 1000.0, "2": 9.0, "3": 9.0, "4": 1000.0}
+
+
+def test_a_late_capture_rewrites_its_day_only(spark, tmp_path):
+    root = str(tmp_path / "out")
+    rows = [("1", "2024-03-01 10:00", 5.0), ("2", "2024-03-01 10:00", 6.0), ("1", "2024-03-02 09:00", 7.0)]
+    ddl = "product_id string, at string, price double"
+
+    def captures(some):
+        return spark.createDataFrame(some, ddl).selectExpr(
+            "product_id", "cast(at as timestamp) as captured_at", "price", "cast(null as string) as currency", "cast(null as string) as stock_status"
+        )
+
+    path = f"{root}/price_history"
+    tables.fold_days(captures(rows), path, schemas.PRICE_HISTORY, root, ("price",))
+    untouched = sorted(str(f) for f in (tmp_path / "out/price_history/captured_date=2024-03-02").glob("*.parquet"))
+    late = [("1", "2024-03-01 08:00", 1.0), ("2", "2024-03-01 11:00", 2.0), ("3", "2024-03-01 00:00", 3.0)]
+    for _ in range(2):
+        tables.fold_days(captures(late), path, schemas.PRICE_HISTORY, root, ("price",))
+    found = {k: v[0] for k, v in history(spark, root).items()}
+    assert found == {("1", "2024-03-01"): 5.0, ("2", "2024-03-01"): 2.0, ("3", "2024-03-01"): 3.0, ("1", "2024-03-02"): 7.0}
+    assert sorted(str(f) for f in (tmp_path / "out/price_history/captured_date=2024-03-02").glob("*.parquet")) == untouched
 
 
 def test_two_runs_publish_one_table(spark, tmp_path):
     root = str(tmp_path / "out")
     listings.write_listings(spark, landed(spark, [(1, page(1, 2), 1)]), root, BASE, 1)
     listings.write_listings(spark, landed(spark, [(1, page(2, 3, price="5円"), 2)]), root, BASE, 2)
-    rows = table(spark, root, "products", schemas.SHOP_PRODUCTS).collect()
+    rows = table(spark, root, "products").collect()
     assert {(r.product_id, r.price_yen) for r in rows} == {("1", 1000.0), ("2", 5.0), ("3", 5.0)}
 
 
@@ -114,7 +183,7 @@ def test_all_landed_pages_are_kept(spark, tmp_path):
     unpaged = spark.read.parquet(f"{root}/unpaged").collect()
     assert [(r.page_index, r.reject_reason) for r in unpaged] == [(None, "page_index")]
     listings.write_listings(spark, landed(spark, rows), root, BASE, 2, max_pages=14)
-    cut = spark.read.parquet(f"{root}/unpaged/run_id=2").collect()
+    cut = spark.read.parquet(f"{root}/unpaged").where("run_id = 2").collect()
     assert sorted(r.page_index or 0 for r in cut) == [0, 15, 16, 17, 18, 19, 20]
 
 
@@ -128,17 +197,23 @@ def test_card_run(spark, tmp_path):
     root = str(tmp_path / "out")
     bare = "<!-- CARD ID 12 --><span class='card-price usd'>$0.20</span>"
     jp = CARD.replace("CARD ID 12", "CARD ID 30")
-    rejects = cards.write_cards(
+    written = cards.write_cards(
         spark, card_rows(spark, [("en", "B", "2", 0, CARD), ("jp", "B", "2", 0, jp), ("en", "B", "9", 0, "<p>")]), root, 1
     )
-    assert [(r.card_code, r.reject_reason) for r in rejects.collect()] == [("9", "card_id")]
+    assert [(r.card_code, r.reject_reason) for r in written.rejects.collect()] == [("9", "card_id")]
+    assert checks(written)["card_index", "rows", None] == 2 and checks(written)["card_prices", "rows", None] == 1
+    clash = CARD.replace("CARD ID 12", "CARD ID 13")
+    late = cards.write_cards(spark, card_rows(spark, [("en", "B", "2", -5, clash), (None, "C", "1", 0, CARD.replace("ID 12", "ID 14"))]), f"{root}/c", 0)
+    late = cards.write_cards(spark, card_rows(spark, [("en", "B", "2", 0, CARD)]), f"{root}/c", 1)
+    assert checks(late)["card_index", "key", "lang,set_code,card_code"] == 2
+    assert checks(late)["card_index", "key", "card_id"] == checks(late)["card_prices", "reference", "card_id"] == 0
     cards.write_cards(spark, card_rows(spark, [("en", "B", "3", 5, bare)]), root, 2)
-    index = table(spark, root, "card_index", schemas.CARD_INDEX)
+    index = table(spark, root, "card_index")
     assert {tuple(r) for r in index.collect()} == {
         (12, 7, "en", "B", "3", "Uncommon"),
         (30, 7, "jp", "B", "2", "Uncommon"),
     }
-    prices = table(spark, root, "card_prices", schemas.CARD_PRICES)
+    prices = table(spark, root, "card_prices")
     assert [tuple(r) for r in prices.collect()] == [(12, 7, "en", "B", "3", "Uncommon", 0.2, 0.1)]
     assert quality.duplicate_keys(index, ["lang", "set_code", "card_code"]).count() == 0
 
@@ -167,15 +242,43 @@ def test_listing_stream_equals_batch(spark, tmp_path):
         landed(spark, rows).coalesce(1).write.mode("append").parquet(incoming)
         stream = streaming.landed_stream(spark, incoming, files_per_batch=1)
         streaming.stream_listings(stream, root, BASE).start().awaitTermination(120)
-    products = table(spark, root, "products", schemas.SHOP_PRODUCTS)
+    products = table(spark, root, "products")
     whole = pages.fetched(landed(spark, [row for rows in visits for row in rows]))
     expected = listings.products(listings.listing_records(whole, BASE))
+    failures = spark.read.parquet(f"{root}/failed")
+    assert [(r.page_index, r.status) for r in failures.collect()] == [(9, 500)] and "html" not in failures.columns
     assert {r.product_id for r in products.collect()} == {r.product_id for r in expected.collect()} == {"1", "2", "3", "4"}
     before = sorted(map(str, products.collect()))
     replay = landed(spark, visits[1])
     streaming.fold_listings(spark, replay, 1, root, BASE)
-    assert sorted(map(str, table(spark, root, "products", schemas.SHOP_PRODUCTS).collect())) == before
-    assert spark.read.parquet(f"{root}/prices").count() == 4
+    assert sorted(map(str, table(spark, root, "products").collect())) == before
+    assert listings.read_prices(spark, root).count() == spark.read.parquet(f"{root}/prices").count() == 4
+
+
+def test_crawls_of_a_stream_are_paged_apart(spark, tmp_path):
+    incoming, root = str(tmp_path / "in"), str(tmp_path / "out")
+    first = [(1, page(1, 2), 1), (2, page(3), 2), (3, page(99), 3, 500), (4, page(4), 4), (5, page(1), 5), (6, page(98), 6)]
+    second = [(1, page(1, 5), 11), (2, page(6), 12), (3, page(1), 13), (4, page(97), 14)]
+    landed(spark, [(1, page(96), 1)], source="other").coalesce(1).write.mode("append").parquet(incoming)
+    for low in (0, 3):
+        for rows, crawl in ((first, "a"), (second, "b")):
+            landed(spark, rows[low : low + 3], crawl=crawl).coalesce(1).write.mode("append").parquet(incoming)
+            stream = streaming.landed_stream(spark, incoming, files_per_batch=1)
+            streaming.stream_listings(stream, root, BASE, source="shop").start().awaitTermination(120)
+    whole = landed(spark, first, crawl="a").unionByName(landed(spark, second, crawl="b"))
+    expected = listings.products(listings.listing_records(pages.fetched(whole), BASE, run=["crawl_id"]))
+    names = sorted(expected.columns)
+    assert sorted(map(str, table(spark, root, "products").select(names).collect())) == sorted(map(str, expected.select(names).collect()))
+    assert {r.product_id for r in expected.collect()} == {"1", "2", "3", "4", "5", "6"}
+    assert spark.read.parquet(f"{root}/failed").count() == 1
+
+
+def test_a_stream_that_starts_anew_overwrites_nothing(spark, tmp_path):
+    root = str(tmp_path)
+    streaming.fold_listings(spark, landed(spark, [(1, page(1), 1)], crawl="a"), 0, root, BASE)
+    streaming.fold_listings(spark, landed(spark, [(1, page(2), 2)], crawl="b"), 0, root, BASE)
+    assert {r.product_id for r in table(spark, root, "products").collect()} == {"1", "2"}
+    assert spark.read.parquet(f"{root}/records").count() == 2
 
 
 def test_card_stream(spark, tmp_path):
@@ -183,11 +286,11 @@ def test_card_stream(spark, tmp_path):
     rows = card_rows(spark, [("en", "B", "2", 0, CARD)])
     names = [f.name for f in schemas.LANDED_PAGES]
     full = rows.withColumn("status", F.lit(200)).withColumn("page_index", F.lit(1))
-    for name in ("source", "name", "url", "series_code"):
+    for name in ("source", "name", "url", "series_code", "crawl_id"):
         full = full.withColumn(name, F.lit("x"))
     full.select(*names).write.parquet(incoming)
     streaming.stream_cards(streaming.landed_stream(spark, incoming), root).start().awaitTermination(120)
-    assert table(spark, root, "card_prices", schemas.CARD_PRICES).first().usd_price == 0.15
+    assert table(spark, root, "card_prices").first().usd_price == 0.15
 
 
 def test_stream_keeps_pages_without_a_number(spark, tmp_path):

@@ -12,7 +12,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from vitrine.functions.text import SPACE_CODES, decode_entities, strip
+from vitrine.functions.text import SPACE_CODES, strip
 
 COMMENT = r"<!--(?s:.*?)-->"
 SCRIPT = r"<(?i:script)\b[^>]*>(?s:.*?)</(?i:script)\s*>"
@@ -126,8 +126,3 @@ def without_tags(fragment: Column) -> Column:
     # A run of spaces is tried from its first space only.
     tags = rf"(?U)(?<![\s\x1c-\x1f]){_SPACES}(?:{TAG_OR_COMMENT}{_SPACES})++"
     return F.when(fragment.contains("<"), F.regexp_replace(fragment, tags, "")).otherwise(fragment)
-
-
-def visible_text(fragment: Column) -> Column:
-    """Text of a fragment: each text piece decoded and stripped, then joined without spaces."""
-    return strip(decode_entities(without_tags(fragment)))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vitrine.functions.text import blank_to_null
@@ -103,5 +103,52 @@ def orphan_keys(child: DataFrame, foreign_key: str, parent: DataFrame, key: str)
     return values.join(parents, values[foreign_key] == parents["_parent"], "left_anti")
 
 
-def with_default(rows: DataFrame, column: str, value: str) -> DataFrame:
-    return rows.withColumn(column, F.coalesce(F.col(column), F.lit(value)))
+class Observed:
+    """Row and null counts of a table, taken while it is written: no pass of its own."""
+
+    def __init__(self, table: str, required: Sequence[str]):
+        self.table, self.required = table, tuple(required)
+        self.metrics = Observation()
+
+    def watch(self, rows: DataFrame) -> DataFrame:
+        nulls = (F.count_if(F.col(c).isNull()).alias(f"null {c}") for c in self.required)
+        return rows.observe(self.metrics, F.count(F.lit(1)).alias("rows"), *nulls)
+
+    def report(self) -> list[tuple[str, str, str | None, int]]:
+        """Rows (table, check, column, n); to be asked for after the write."""
+        found = self.metrics.get
+        return [(self.table, "rows", None, found["rows"])] + [
+            (self.table, "null", c, found[f"null {c}"]) for c in self.required
+        ]
+
+
+REPORT = "table_name string, check_name string, column_name string, n_rows bigint"
+
+
+def key_clashes(rows: DataFrame, table: str, keys: Sequence[str]) -> DataFrame:
+    """One report row: how many rows share their key with another, from one aggregate."""
+    clashes = duplicate_keys(rows, keys).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"))
+    return clashes.select(
+        F.lit(table).alias("table_name"),
+        F.lit("key").alias("check_name"),
+        F.lit(",".join(keys)).alias("column_name"),
+        F.col("n_rows").cast("bigint").alias("n_rows"),
+    )
+
+
+def orphan_count(child: DataFrame, foreign_key: str, parent: DataFrame, key: str, table: str) -> DataFrame:
+    """One report row: how many rows refer to a parent that is not there."""
+    found = orphan_keys(child, foreign_key, parent, key).agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"))
+    return found.select(
+        F.lit(table).alias("table_name"),
+        F.lit("reference").alias("check_name"),
+        F.lit(foreign_key).alias("column_name"),
+        F.col("n_rows").cast("bigint").alias("n_rows"),
+    )
+
+
+def split_fetched(pages: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Pages that can be read and those that failed; rows without a status all count as read."""
+    if "status" not in pages.columns:
+        return pages, None
+    return fetched(pages), failed(pages)

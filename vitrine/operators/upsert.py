@@ -122,9 +122,48 @@ def upsert(
     return merge(stored, fold(batch, policy, order), policy)
 
 
-def snapshots(records: DataFrame) -> DataFrame:
-    """Price observations to append, one per accepted record, duplicates included."""
+def state_of(batch: DataFrame, policy: Policy, order: Sequence[Column | str]) -> DataFrame:
+    """A batch as one row of state per key: every stored value with its arrival.
+
+    States form a set under ``merge_states``: which batch comes first, is late or comes twice does
+    not matter.  ``order`` is the arrival order over all batches; where it ties, the larger value
+    counts as the newer.  Rows without a key are left out."""
+
+    def seen(value: Column) -> Column:
+        return F.struct(F.struct(*order).alias("at"), value.alias("value"))
+
+    rows = batch.where(F.col(policy.key).isNotNull()).select(
+        policy.key,
+        seen(F.struct(*policy.last)).alias("_last"),
+        *(F.when(F.col(c).isNotNull(), seen(F.col(c))).alias(c) for c in policy.last_non_null),
+        *(seen(F.col(c)).alias(c) for c in policy.first),
+    )
+    return merge_states(rows, policy)
+
+
+def merge_states(states: DataFrame, policy: Policy) -> DataFrame:
+    """One row of state per key from the states of any number of batches.
+
+    Maxima and minima of (arrival, value): associative, commutative and unmoved by repeats, with
+    partial results before the shuffle."""
+    return states.groupBy(policy.key).agg(
+        F.max("_last").alias("_last"),
+        *(F.max(c).alias(c) for c in policy.last_non_null),
+        *(F.min(c).alias(c) for c in policy.first),
+    )
+
+
+def values_of(states: DataFrame, policy: Policy) -> DataFrame:
+    """The table that merged states stand for."""
+    rest = (*policy.last_non_null, *policy.first)
+    return states.select(policy.key, "_last.value.*", *(F.col(f"{c}.value").alias(c) for c in rest))
+
+
+def snapshots(records: DataFrame, identity: Sequence[str] = ()) -> DataFrame:
+    """Price observations to append, one per accepted record, duplicates included; ``identity`` names
+    further columns that tell one record from another."""
     return records.select(
+        *identity,
         "product_id",
         "observed_at",
         "price_yen",
@@ -135,7 +174,10 @@ def snapshots(records: DataFrame) -> DataFrame:
 def daily_prices(
     captures: DataFrame, tie_break: Sequence[str] = (), currency: str = "JPY"
 ) -> DataFrame:
-    """The latest capture per product and day, with the default currency filled in."""
+    """The latest capture per product and day, with the default currency filled in.
+
+    Folding its own result with further captures gives what folding all captures gives, if
+    ``tie_break`` settles captures of one time."""
     newest = F.struct("captured_at", *tie_break)
     values = F.struct("captured_at", "price", "currency", "stock_status")
     return (

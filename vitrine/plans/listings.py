@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,16 +57,13 @@ def page_ledger(items: DataFrame, run: Sequence[str] = ()) -> DataFrame:
     return items.groupBy(*keys).agg(F.max_by(landing, newest).alias("_l")).select(*keys, "_l.*")
 
 
-def staged_items(items: DataFrame, inside: DataFrame, run: Sequence[str] = ()) -> DataFrame:
-    """As ``kept_items`` for written item rows: only ledger rows took part in paging.
+def staged_items(items: DataFrame, inside: DataFrame) -> DataFrame:
+    """As ``kept_items`` for the written item rows of one load: only ledger rows took part in paging.
 
-    Items meet their ledger row on page and landing, so no series and no page with many
-    copies gathers in one task; a short ledger is broadcast by size.
+    Items meet their ledger row on the landing, so no series and no page with many copies gathers in
+    one task; a short ledger is broadcast by size.
     """
-    keys = [*run, "series_code", "page_index", "_landing"]
-    return items.where(F.col("item_pos").isNotNull()).join(
-        inside.select(*keys), keys, "left_semi"
-    )
+    return items.where(F.col("item_pos").isNotNull()).join(inside.select("_landing"), "_landing", "left_semi")
 
 
 def check_items(items: DataFrame, strict: bool = False) -> DataFrame:
@@ -116,24 +114,64 @@ def written_counts(records: DataFrame, run: Sequence[str] = ()) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Written:
+    """What a run wrote: accepted records per page, rejected records, and the checks of its outputs
+    (``quality.REPORT``; checks of whole tables are worked out when they are asked for)."""
+
+    counts: DataFrame
+    rejects: DataFrame
+    checks: DataFrame
+
+
+def current_products(spark: SparkSession, root: str) -> DataFrame:
+    """The product table below ``root`` after all runs, in whatever order they came."""
+    return tables.read_current(spark, f"{root}/products", schemas.SHOP_PRODUCTS, U.PRODUCTS)
+
+
+def read_prices(spark: SparkSession, root: str) -> DataFrame:
+    """All price observations below ``root``, once each, also where a run was repeated with more pages."""
+    seen = spark.read.parquet(f"{root}/prices")
+    identity = [c for c in seen.columns if c not in ("load", "observed_date")]
+    return seen.dropDuplicates(identity).select("product_id", "observed_at", "price_yen", "observed_date", "run_id")
+
+
 def store_records(
-    spark: SparkSession, records: DataFrame, root: str, run_id: int
-) -> DataFrame:
-    """Write checked records, then update products and prices from them; returns counts."""
-    tables.append_run(records, f"{root}/records", run_id)
-    checked = spark.read.parquet(f"{root}/records/run_id={run_id}")
-    tables.publish_upsert(
-        spark,
-        f"{root}/products",
-        schemas.SHOP_PRODUCTS,
-        product_rows(checked),
-        U.PRODUCTS,
-        ARRIVAL,
-        run_id,
+    spark: SparkSession, records: DataFrame, root: str, run_id: int | str, load: str, run: Sequence[str] = ()
+) -> Written:
+    """Write checked records, then update products, prices and the daily price history from them."""
+    tables.append_load(records, f"{root}/records", run_id, load)
+    checked = tables.read_load(spark, f"{root}/records", run_id, load)
+    accepted = quality.accepted(checked)
+
+    states = quality.Observed("products", ("product_id", "created_at", "updated_at"))
+    rows = states.watch(product_rows(checked))
+    tables.append_states(U.state_of(rows, U.PRODUCTS, ARRIVAL), f"{root}/products")
+
+    identity = [c for c in (*run, "series_code", "page_index", "item_pos") if c not in ("product_id", "price_yen")]
+    seen = quality.Observed("prices", ("product_id", "observed_at", "price_yen"))
+    prices = seen.watch(U.snapshots(accepted, identity))
+    tables.append_load(prices, f"{root}/prices", run_id, load, ("observed_date",))
+
+    captures = accepted.select(
+        "product_id",
+        F.col("observed_at").alias("captured_at"),
+        F.col("price_yen").alias("price"),
+        F.lit(None).cast("string").alias("currency"),
+        F.lit(None).cast("string").alias("stock_status"),
+    )
+    history = f"{root}/price_history"
+    tables.fold_days(captures, history, schemas.PRICE_HISTORY, root, ("price",))
+
+    products = current_products(spark, root)
+    daily = spark.read.schema(schemas.PRICE_HISTORY).parquet(history)
+    checks = (
+        spark.createDataFrame([*states.report(), *seen.report()], quality.REPORT)
+        .unionByName(quality.key_clashes(products, "products", ("product_id",)))
+        .unionByName(quality.key_clashes(daily, "price_history", ("product_id", "captured_date")))
+        .unionByName(quality.orphan_count(daily, "product_id", products, "product_id", "price_history"))
     )
-    prices = U.snapshots(quality.accepted(checked))
-    tables.append_run(prices, f"{root}/prices", run_id, ("observed_date",))
-    return written_counts(checked)
+    return Written(written_counts(checked, run), quality.rejected(checked), checks)
 
 
 def write_listings(
@@ -141,28 +179,30 @@ def write_listings(
     pages: DataFrame,
     root: str,
     base_url: str,
-    run_id: int,
+    run_id: int | str,
     tolerant: bool = False,
     max_pages: int | None = None,
     strict: bool = False,
-) -> DataFrame:
+) -> Written:
     """Read one crawl's pages once and update all outputs below ``root``.
 
-    Pages without a number, or over an explicit ``max_pages``, go to ``unpaged`` with a reason.
-
-    Item rows are written first, without any shuffle; paging works on their ledger, and
-    records, products and prices are read from written tables.  A lost executor costs at most
-    a re-read of those, and a repeated run with the same id leaves the same result.  Returns
-    the run's counts.
-    """
-    items_now = page_items(pages, base_url, tolerant=tolerant)
-    tables.append_run(items_now, f"{root}/items", run_id)
-    items = spark.read.parquet(f"{root}/items/run_id={run_id}")
+    Pages without a number, or over an explicit ``max_pages``, go to ``unpaged`` with a reason; pages
+    that were not fetched (where there is a ``status``) go to ``failed`` without HTML.
+
+    Item rows are written first, without any shuffle; paging works on their ledger, and records,
+    products, prices and the daily history are read from written tables.  A lost executor costs at
+    most a re-read of those.  A repeated run leaves the same result, and a run that is late or reuses
+    an id adds what it read."""
+    readable, failures = quality.split_fetched(pages)
+    items = tables.staged(page_items(readable, base_url, tolerant=tolerant), root, "items")
+    load = tables.content_id(items, ("_landing",))
+    if failures is not None:
+        tables.append_load(failures, f"{root}/failed", run_id, load)
     ledger = page_ledger(items)
     unpaged = paging.out_of_range(ledger, max_pages=max_pages)
-    tables.append_run(unpaged, f"{root}/unpaged", run_id)
+    tables.append_load(unpaged, f"{root}/unpaged", run_id, load)
     inside = paging.cut_off(ledger, max_pages=max_pages)
-    return store_records(spark, check_items(staged_items(items, inside), strict), root, run_id)
+    return store_records(spark, check_items(staged_items(items, inside), strict), root, run_id, load)
 
 
 def saved_listing(files: DataFrame, base_url: str) -> DataFrame:

@@ -28,22 +28,15 @@ SERIES_SIZES = _schema("series_code string, lang string, size int")
 # Fetched pages as a crawler lands them; one row per request.
 LANDED_PAGES = _schema(
     "source string, name string, url string, series_code string, page_index int, lang string, "
-    "set_code string, card_code string, status int, fetched_at timestamp, html string"
+    "set_code string, card_code string, status int, fetched_at timestamp, html string, crawl_id string"
 )
 
-PRODUCT_RECORDS = _schema(
-    "product_id string, name_full string, name string, condition string, model_number string, "
-    "set_size string, model_code string, price string, product_url string, series_code string"
-)
-CARD_LINKS = _schema("lang string, set_code string, card_code string")
-
 # "required" columns are not null.
 SHOP_PRODUCTS = _schema(
     "product_id string required, product_group string, model_number string, set_size string, "
     "name string, name_full string, condition string, model_code string, price_yen double, "
     "url string, created_at timestamp, updated_at timestamp"
 )
-PRICE_SNAPSHOTS = _schema("product_id string, observed_at timestamp, price_yen double")
 CARD_INDEX = _schema(
     "card_id bigint required, data_id bigint, lang string required, set_code string required, "
     "card_code string required, rarity string"
@@ -52,10 +45,6 @@ CARD_PRICES = _schema(
     "card_id bigint required, data_id bigint, lang string, set_code string, card_code string, "
     "rarity string, usd_price double, eur_price double"
 )
-CATALOG_PRODUCTS = _schema(
-    "product_id string required, url string required, name string required, "
-    "created_at timestamp required, updated_at timestamp required"
-)
 PRICE_HISTORY = _schema(
     "product_id string required, captured_date date required, captured_at timestamp required, "
     "price double, currency string, stock_status string"

@@ -102,3 +102,20 @@ def card_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
         iso_utc(F.col("observed_at")).alias("observed_at"),
         quality.REASON,
     )
+
+
+@query(
+    "card_index_clashes",
+    f"""
+    select lang, set_code, card_code, count(*) as n_rows
+    from (select distinct card_key, lang, set_code, cast(p_partkey % 7 as string) as card_code
+          from (select *, cast(card_code as int) as p_partkey from ({_VISITS})) where card_key is not null)
+    group by all having count(*) > 1
+    """,
+)
+def card_index_clashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cards of different ids that claim one language, set and number, as planted in the numbers."""
+    number = (F.col("card_code").cast("int") % 7).cast("string")
+    pages = I.card_pages(spark, sf_dir).withColumn("card_code", number)
+    index = cards.card_index(cards.card_records(pages))
+    return quality.duplicate_keys(index, ["lang", "set_code", "card_code"])

@@ -303,20 +303,19 @@ def _in_two_batches(rows: DataFrame, policy: U.Policy) -> DataFrame:
     return U.upsert(stored, rows.where(~early), policy, _ORDER)
 
 
-@query(
-    "product_upsert",
-    f"""
+_PRODUCT_STATE = f"""
     select cast(user_id as string) as product_id, last.event_type as product_group,
            cast(last.event_id as string) as model_number, last.rarity as condition,
            last.price as price_yen, {_EVENT_ISO.format("first_ts")} as created_at,
            {_EVENT_ISO.format("last.ts")} as updated_at
     from (select user_id, min(ts) as first_ts, max(n) as n from ({_ORDERED}) group by user_id) k
     join ({_ORDERED}) last using (user_id, n)
-    """,
-)
-def product_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+"""
+
+
+def _product_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.lit(None).cast("string")
-    shaped = _observed(spark, sf_dir).select(
+    return _observed(spark, sf_dir).select(
         "event_id",
         "observed_at",
         F.col("user_id").cast("string").alias("product_id"),
@@ -328,7 +327,9 @@ def product_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("observed_at").alias("created_at"),
         F.col("observed_at").alias("updated_at"),
     )
-    products = _in_two_batches(shaped, U.PRODUCTS)
+
+
+def _shown(products: DataFrame) -> DataFrame:
     return products.select(
         "product_id",
         "product_group",
@@ -340,6 +341,36 @@ def product_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("product_upsert", _PRODUCT_STATE)
+def product_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown(_in_two_batches(_product_rows(spark, sf_dir), U.PRODUCTS))
+
+
+def _out_of_order(rows: DataFrame, policy: U.Policy, batches: tuple[int, ...]) -> DataFrame:
+    """The table after three batches, interleaved in time, folded in the given order of arrival."""
+    number, states = F.pmod("event_id", F.lit(3)), None
+    for batch in batches:
+        fresh = U.state_of(rows.where(number == batch), policy, _ORDER)
+        states = fresh if states is None else U.merge_states(states.unionByName(fresh), policy)
+    return U.values_of(states, policy)
+
+
+@query(
+    "late_batches",
+    f"""
+    select arrival, t.* from ({_PRODUCT_STATE}) t, (values ('in turn'), ('late and repeated')) a(arrival)
+    """,
+)
+def late_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches in two orders, once with a batch that comes again: one product table."""
+    rows = _product_rows(spark, sf_dir)
+    orders = (("in turn", (0, 1, 2)), ("late and repeated", (2, 0, 2, 1)))
+    first, second = (
+        _shown(_out_of_order(rows, U.PRODUCTS, batches)).withColumn("arrival", F.lit(name)) for name, batches in orders
+    )
+    return first.unionByName(second)
+
+
 _LAST_KNOWN = f"""
     select user_id as card_id,
            case when arg_max(event_id, n) % 2 = 0 then 'en' else 'jp' end as lang,
@@ -378,6 +409,12 @@ def card_price_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _in_two_batches(_card_rows(spark, sf_dir), U.CARD_PRICES)
 
 
+@query("late_card_batches", _LAST_KNOWN)
+def late_card_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Card prices of three batches that arrive out of order."""
+    return _out_of_order(_card_rows(spark, sf_dir), U.CARD_PRICES, (2, 0, 1))
+
+
 @query(
     "snapshot_append",
     f"""
