@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -178,3 +180,96 @@ def test_very_long_pages(spark, route):
     assert route[1].extract_links(pages(spark, page), ["page"]).count() == 2
     script = route[2].inline_scripts(pages(spark, page), ["page"]).first()
     assert script.script_length == len(script.script_text) == len(filler.strip())
+
+
+RANKING = '<div class="ranking"><p class="selling_price"><span class="figure">9,999円</span></p></div>'
+
+
+@ROUTES
+def test_blocks_end_where_they_close(spark, route):
+    bare = block(1, "/1", "a{1/2}", "m", "5円").replace('<p class="selling_price"><span class="figure">5円</span></p>', "")
+    nested = block(2, "/2", "b{2/2}", "m", "6円").replace("<p class=\"selling_price\">", "<div><section><div></div></section></div><p class=\"selling_price\">")
+    closed = block(3, "/3", "c{3/3}", "m", "x").replace("<p class=\"selling_price\">", "<div class='x'/><p class=\"selling_price\">")
+    page = f"<html><body><div class='list'>{nested}{RANKING}{closed}<hr>{bare}</div>{RANKING}</body></html>"
+    rows = route[0].parse_products(pages(spark, page), BASE, ["page"]).orderBy("item_pos").collect()
+    assert [(r.product_id, r.name, r.price) for r in rows] == [("2", "b", "6円"), ("3", "c", "x"), ("1", "a", None)]
+
+
+@ROUTES
+def test_attributes_are_read_whole(spark, route):
+    links = (
+        "<a title=\"see href='/cards/jp/A/1'\" href='/cards/en/B/2'>x</a><a data-x='1 > 0' href=/cards/en/C/3>y</a>"
+        "<a\nHREF = \"/cards/en/D/4\" href='/cards/en/E/5'>z</a><a title='href=\"/cards/jp/F/6\"'>n</a><a href>v</a>"
+    )
+    rows = route[1].extract_links(pages(spark, links), ["page"]).orderBy("link_pos").collect()
+    assert [(r.lang, r.set_code, r.card_code) for r in rows] == [("en", "B", "2"), ("en", "C", "3"), ("en", "E", "5")]
+    metas = "<meta content=\"name='no' > x\" name=d><meta title=' name=\"q\"' charset=u><meta property='a\"b' content=1/>"
+    found = route[2].meta_tags(pages(spark, metas), ["page"]).orderBy("meta_pos").collect()
+    assert [(r.meta_pos, r.meta_name, r.meta_property, r.meta_content) for r in found] == [
+        (0, "d", None, "name='no' > x"), (2, None, 'a"b', "1/"),
+    ]
+    prices = (
+        "<span title=\" class='card-price usd' \">$9</span><span id=1 class=\"usd x card-price\" title='a>b'>$0.5</span>"
+        "<span data-class='card-price eur'>8</span><span class=card-price-eur>7</span><span class='card-price eur'>6</span>"
+    )
+    row = route[1].card_fields(pages(spark, prices), ["page"]).first()
+    assert (row.usd_price, row.eur_price) == (0.5, 6.0)
+    trap = block(1, "/right", "n{1/2}", "m", "1円").replace("data-product-id", "title=\" data-product-id='9' class='x' > \" data-product-id")
+    row = route[0].parse_products(pages(spark, trap.replace("<a class", "<a title=' href=\"/wrong\" ' class")), BASE, ["page"]).first()
+    assert (row.product_id, row.product_url) == ("1", f"{BASE}/right")
+
+
+@ROUTES
+def test_rarity_is_found_in_nested_boxes_only(spark, route):
+    def box(inner, before=""):
+        return f"<div class='x card-prints-current'>{before}<div class='prints-current-details'>{inner}</div></div>"
+
+    plain = "<span>#1 · Rare</span>"
+    cases = [
+        box(f"<div><div>a</div></div><section>{plain}</section>"),
+        box("<span class='a text-lg'>S · 1</span>", plain) + plain,
+        f"<div class='prints-current-details'>{plain}</div>" + box("") + f"<div class='prints-current-details'>{plain}</div>",
+        box("") + box("<div></div><span>#2 · Two<b>!</b></span>") + box(plain),
+        "<section class=card-prints-current><article class=prints-current-details><span>· S</span></article></section>",
+        "<div class='card-prints-current prints-current-details'>" + plain + "</div>",
+        box("<span class='text-lg'>no</span>" + "<i>x</i>" * 3 + "<span title='text-lg'>#3 · Three</span>"),
+    ]
+    rows = route[1].card_fields(pages(spark, *cases), ["page"]).orderBy("page").collect()
+    assert [r.rarity for r in rows] == ["Rare", None, None, "Two!", "S", None, "Three"]
+
+
+@ROUTES
+def test_titles_that_are_no_single_text_are_null(spark, route):
+    titles = ["<title></title>", "<title>a <b>c</b></title>", "<title> a < b &amp; c </title><title>d</title>"]
+    rows = route[2].page_titles(pages(spark, *titles), ["page"]).orderBy("page").collect()
+    assert [r.title for r in rows] == [None, None, " a < b & c "]
+
+
+def test_native_readers_are_linear_in_boxes(spark):
+    def seconds(n):
+        page = "<div class='card-prints-current'><div class='prints-current-details'><div></div></div></div>" * n
+        frame = pages(spark, page + CARD).cache()
+        frame.count()
+        best = 1e9
+        for _ in range(2):
+            start = time.perf_counter()
+            assert cards.card_fields(frame, ["page"]).first().rarity == "Uncommon"
+            best = min(best, time.perf_counter() - start)
+        return best
+
+    seconds(100)
+    assert seconds(20_000) < 20 * seconds(2_000) + 2
+
+
+def test_flattening_is_linear_in_unclosed_tags(spark):
+    def seconds(n):
+        start = time.perf_counter()
+        nodes = dom._flatten("<b><i></u></b>" * n + "<p>" * n + "</x>" * n + "</div>" * n)
+        assert len(nodes) == 3 * n
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert seconds(50_000) < 30 * seconds(5_000) + 1
+    page = "<div><p>" * 25_000 + CARD + block(1, "/1", "n{1/2}", "m", "1円")
+    assert dom.card_fields(pages(spark, page), ["page"]).first().rarity == "Uncommon"
+    assert dom.parse_products(pages(spark, page), BASE, ["page"]).first().price == "1円"

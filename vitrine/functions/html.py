@@ -1,8 +1,9 @@
 """Patterns and expressions for the well-formed HTML of landed pages.
 
-These run inside the JVM and cover tags with either quote style, any attribute order and any
-extra classes.  Pages that need a real tree (nested elements of one kind, ``>`` inside an
-attribute, unclosed tags) go through ``operators.dom``.
+These run inside the JVM and cover tags with either quote style, any attribute order, any extra
+classes, and values that hold ``>`` or look like attributes.  Boxes are closed by running depth.
+Pages that need a real tree (blocks inside blocks, unclosed tags, tags written inside an attribute's
+value) go through ``operators.dom``.
 """
 
 from __future__ import annotations
@@ -14,14 +15,27 @@ from pyspark.sql import functions as F
 
 from vitrine.functions.text import SPACE_CODES, strip
 
+# A tag is read as the HTML standard reads it: blanks, slashes and whole attributes up to ``>``, so a
+# quoted value hides whatever it holds.  All loops are possessive: nothing is tried twice.
+_NAME = r"[^\s/>][^\s/>=]*+"
+_VALUE = r"\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]++)"
+_ATTRIBUTES = rf"(?:[\s/]++|{_NAME}(?:{_VALUE})?+)*+"
 COMMENT = r"<!--(?s:.*?)-->"
-SCRIPT = r"<(?i:script)\b[^>]*>(?s:.*?)</(?i:script)\s*>"
+
+
+def any_tag(name: str) -> str:
+    """Pattern of a whole opening tag of this name."""
+    return rf"<(?i:{name})(?=[\s/>]){_ATTRIBUTES}>"
+
+
+SCRIPT = any_tag("script") + r"(?s:.*?)</(?i:script)\s*>"
+# Elements that hold others and are closed by their own end tag.
+BOX_TAGS = "div|section|article|main|aside"
 # Names of references to white space.
 _SPACE_REFERENCES = "|".join(
     ["nbsp", "ensp", "emsp", "thinsp"] + [rf"#0*{c}|#[xX]0*(?i:{c:x})" for c in SPACE_CODES]
 )
 _SPACES = rf"(?:[\s\x1c-\x1f]++|&(?:{_SPACE_REFERENCES});)*+"
-QUOTED = r"\"[^\"]*\"|'[^']*'|[^\s\"'>]+"
 
 
 def any_of(*patterns: str) -> str:
@@ -29,23 +43,29 @@ def any_of(*patterns: str) -> str:
     return f"<(?:{'|'.join(pattern[1:] for pattern in patterns)})"
 
 
-TAG_OR_COMMENT = any_of(COMMENT, r"<[^>]*>")
+OPENING_TAG = rf"<[A-Za-z][^\s/>]*+{_ATTRIBUTES}>"
+TAG_OR_COMMENT = any_of(COMMENT, OPENING_TAG, r"</[A-Za-z][^>]*>", r"<[!?][^>]*>")
+
+
+def _before(name: str) -> str:
+    """Pattern of what stands between a tag's name and its first attribute of this name."""
+    named = rf"(?i:{re.escape(name)})\s*+="
+    return rf"(?:[\s/]++|(?!{named}){_NAME}(?:{_VALUE})?+)*+{named}\s*+"
 
 
 def has_class(name: str) -> str:
     """Look-ahead, valid just after a tag name: the class list holds this name."""
     word = re.escape(name)
     return (
-        rf"(?=[^>]*?\s(?i:class)\s*=\s*(?:\"(?:[^\">]*\s)?{word}(?:\s[^\"]*)?\""
-        rf"|'(?:[^'>]*\s)?{word}(?:\s[^']*)?'|{word}(?=[\s>])))"
+        rf"(?={_before('class')}(?:\"(?:[^\"]*\s)?{word}[\s\"]|'(?:[^']*\s)?{word}[\s']|{word}[\s>]))"
     )
 
 
 def opening(tag: str, *classes: str, without: str | None = None) -> str:
     """Pattern of an opening tag carrying all the classes (and not the excluded one)."""
-    name = r"<\w+" if tag == "*" else rf"<(?i:{tag})"
+    name = r"<\w++" if tag == "*" else rf"<(?i:{tag})"
     unwanted = "" if without is None else "(?!" + has_class(without)[3:]
-    return rf"{name}(?=[\s/>]){''.join(map(has_class, classes))}{unwanted}[^>]*>"
+    return rf"{name}(?=[\s/>]){''.join(map(has_class, classes))}{unwanted}{_ATTRIBUTES}>"
 
 
 def content(tag: str) -> str:
@@ -90,7 +110,7 @@ def comment_texts(found: Column) -> Column:
 
 def element_content(element: Column) -> Column:
     """What stands between an element's opening tag and its closing tag."""
-    return F.regexp_replace(element, r"^<[^>]*>|</[^>]*>\z", "")
+    return F.regexp_replace(element, rf"^{OPENING_TAG}|</[^>]*>\z", "")
 
 
 def without_hidden(html: Column) -> Column:
@@ -99,8 +119,10 @@ def without_hidden(html: Column) -> Column:
 
 
 def raw_attribute(tag: Column, name: str) -> Column:
-    """The attribute as written, quotes included; '' when absent."""
-    return F.regexp_extract(tag, rf"\s(?i:{re.escape(name)})\s*=\s*({QUOTED})", 1)
+    """The attribute as written, quotes included; '' when absent.  Of several, the last counts."""
+    value = r"\"[^\"]*+\"|'[^']*+'|[^\s>]++"
+    mine = rf"(?i:{re.escape(name)})\s*+=\s*+({value})"
+    return F.regexp_extract(tag, rf"^<[^\s/>]++(?:[\s/]++|{mine}|{_NAME}(?:{_VALUE})?+)*+", 1)
 
 
 def unquote(raw: Column) -> Column:
@@ -113,6 +135,38 @@ def unquote(raw: Column) -> Column:
     )
 
 
+def boxes(html: Column) -> Column:
+    """The page cut in front of every opening and closing tag of a box (``BOX_TAGS``)."""
+    return F.split(html, rf"(?=</?(?i:{BOX_TAGS})(?=[\s/>]))")
+
+
+def box_step(piece: Column) -> Column:
+    """How a piece of ``boxes`` changes the depth of open boxes."""
+    closed = piece.rlike(rf"^<(?i:{BOX_TAGS})(?=[\s/>]){_ATTRIBUTES}(?<=/)>")
+    opened = piece.rlike(rf"^<(?i:{BOX_TAGS})(?=[\s/>])") & ~closed
+    return F.when(opened, 1).when(piece.rlike(rf"^</(?i:{BOX_TAGS})(?=[\s/>])"), -1).otherwise(0)
+
+
+def first_box(html: Column) -> Column:
+    """A fragment that starts with a box, up to where that box closes, or whole if it never does.
+
+    Running depth over the pieces; the closing tag and what follows it go."""
+    pieces = boxes(html)
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(False).alias("closed"))
+
+    def step(state: Column, piece: Column) -> Column:
+        depth = state["depth"] + box_step(piece)
+        closed = state["closed"] | (depth <= 0)
+        return F.struct(
+            depth.alias("depth"),
+            F.when(closed, state["n"]).otherwise(state["n"] + 1).alias("n"),
+            closed.alias("closed"),
+        )
+
+    kept = F.aggregate(pieces, start, step, lambda state: state["n"])
+    return F.array_join(F.slice(pieces, F.lit(1), F.greatest(kept, F.lit(1))), "")
+
+
 def attribute(tag: Column, name: str) -> Column:
     """Attribute value, not decoded yet; null when absent."""
     return unquote(raw_attribute(tag, name))

@@ -19,19 +19,11 @@ PRICE_CLASS, USD_CLASS, EUR_CLASS = "card-price", "usd", "eur"
 RARITY_MARK = "·"
 LINK_ROOT, LINK_FIELDS = "cards", ("lang", "set_code", "card_code")
 
-_BOX = H.opening("*", PRINT_BOX)
-# The first untitled span of the details box, and its content once that match is cut out.
-_RARITY = (
-    _BOX
-    + r"(?s:.*?)"
-    + H.opening("*", PRINT_DETAILS)
-    + H.within("div")
-    + H.opening("span", without=PRINT_TITLE)
-    + r"(?s:.*?)</(?i:span)\s*>"
-)
-_RARITY_END = _RARITY.removesuffix(r"(?s:.*?)</(?i:span)\s*>") + r"((?s:.*?))</(?i:span)\s*>\z"
-_LINK_TAG = r"<(?i:a)\s[^>]*>"
-_LINK_START = r"<(?i:a)\s"
+_BOX = rf"^{H.opening('*', PRINT_BOX)}"
+_DETAILS = rf"^{H.opening('*', PRINT_DETAILS)}"
+_PLAIN_SPAN = H.opening("span", without=PRINT_TITLE) + r"((?s:.*?)(?:</|\z))(?:(?<!</)|(?i:span)\s*>)"
+_LINK_TAG = H.any_tag("a")
+_LINK_START = r"<(?i:a)[\s/]"
 
 
 def _price_tag(currency: str) -> str:
@@ -96,6 +88,34 @@ def rarity_of(detail_text: Column) -> Column:
     return F.when(detail_text.contains(RARITY_MARK), T.strip(rest))
 
 
+def print_detail(html: Column) -> Column:
+    """Content of the first untitled span in a details box inside a print box, '' without one.
+
+    One sweep over the page's boxes: the depth at which a print box and a details box inside it were
+    opened says where each ends, so every piece is looked at once, however many boxes there are."""
+    none = F.lit(None).cast("int")
+    start = F.struct(
+        F.lit(0).alias("depth"), none.alias("box"), none.alias("details"), F.lit("").alias("found")
+    )
+
+    def step(state: Column, piece: Column) -> Column:
+        change = H.box_step(piece)
+        depth = state["depth"] + change
+        box = F.when(state["box"] <= depth, state["box"])
+        details = F.when(state["details"] <= depth, state["details"])
+        opens = change == 1
+        # a details box lies inside the print box, not at it
+        details = F.coalesce(details, F.when(opens & box.isNotNull() & piece.rlike(_DETAILS), depth))
+        box = F.coalesce(box, F.when(opens & piece.rlike(_BOX), depth))
+        found = F.when(
+            (state["found"] == "") & details.isNotNull(), F.regexp_extract(piece, _PLAIN_SPAN, 1)
+        ).otherwise(state["found"])
+        return F.struct(depth.alias("depth"), box.alias("box"), details.alias("details"), found.alias("found"))
+
+    swept = F.aggregate(H.boxes(H.without_hidden(html)), start, step, lambda state: state["found"])
+    return F.when(html.contains(PRINT_BOX), F.regexp_replace(swept, r"</\z", "")).otherwise("")
+
+
 def card_fields(pages: DataFrame, keep: Sequence[str], html: str = "html") -> DataFrame:
     """Add ``card_id, data_id, rarity, usd_price, eur_price``; HTML is dropped.
 
@@ -105,7 +125,7 @@ def card_fields(pages: DataFrame, keep: Sequence[str], html: str = "html") -> Da
     found = pages.select(
         *keep,
         H.pieces(page, _price_span(USD_CLASS), _price_span(EUR_CLASS)).alias("_found"),
-        H.pieces(page, _RARITY).alias("_boxes"),
+        print_detail(page).alias("_detail"),
     )
 
     def first_of(column: str, start: str) -> Column:
@@ -114,7 +134,7 @@ def card_fields(pages: DataFrame, keep: Sequence[str], html: str = "html") -> Da
     matched = found.select(
         *keep,
         H.comment_texts(F.col("_found")).alias("_comments"),
-        F.regexp_extract(first_of("_boxes", _BOX), _RARITY_END, 1).alias("_detail"),
+        "_detail",
         H.element_content(first_of("_found", _price_tag(USD_CLASS))).alias("_usd"),
         H.element_content(first_of("_found", _price_tag(EUR_CLASS))).alias("_eur"),
     )

@@ -8,7 +8,8 @@ come back, in Arrow batches bounded by ``spark.sql.execution.arrow.maxBytesPerBa
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections import Counter
+from collections.abc import Callable, Iterator, Sequence
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -52,6 +53,8 @@ class _Flattener(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.nodes: list[dict] = []
         self.open: list[dict] = []
+        # how many elements of each name are open
+        self.count: Counter[str] = Counter()
         self.joinable = False
 
     def _add(self, tag: str, text: str | None = None, attrs: dict | None = None) -> dict:
@@ -74,15 +77,17 @@ class _Flattener(HTMLParser):
         node = self._add(tag, attrs={name: value or "" for name, value in attrs})
         if tag not in VOID:
             self.open.append(node)
+            self.count[tag] += 1
 
     def handle_endtag(self, tag):
         self.joinable = False
-        if any(node["tag"] == tag for node in self.open):
+        if self.count[tag]:
             closed = None
             while closed != tag:
                 node = self.open.pop()
                 node["end"] = len(self.nodes)
                 closed = node["tag"]
+                self.count[closed] -= 1
 
     def handle_data(self, data):
         if self.joinable:
@@ -130,13 +135,31 @@ def select_nodes(nodes: Column, tag: str | None, *classes: str) -> Column:
     return F.filter(nodes, lambda n: n["attrs"].isNotNull() & _is(n, tag, *classes))
 
 
-def _inside(nodes: Column, node: Column) -> Column:
-    return F.exists(nodes, lambda box: (box["pos"] < node["pos"]) & (node["pos"] < box["end"]))
+def first_within(nodes: Column, *levels: Callable[[Column], Column]) -> Column:
+    """The first element of the last level that lies inside one of the level before, and so on.
 
+    One sweep in document order: as elements nest, a node lies inside one of a level if it stands
+    before the furthest end that elements of that level have had so far."""
+    start = F.struct(
+        *(F.lit(0).alias(f"end{i}") for i in range(len(levels) - 1)), F.lit(None).cast("int").alias("found")
+    )
+
+    def step(state: Column, node: Column) -> Column:
+        is_element = node["attrs"].isNotNull()
+        fields = []
+        for i, test in enumerate(levels):
+            hit = is_element & test(node)
+            if i:
+                hit = hit & (node["pos"] < state[f"end{i - 1}"])
+            if i < len(levels) - 1:
+                end = state[f"end{i}"]
+                fields.append(F.when(hit, F.greatest(end, node["end"])).otherwise(end).alias(f"end{i}"))
+            else:
+                fields.append(F.coalesce(state["found"], F.when(hit, node["pos"])).alias("found"))
+        return F.struct(*fields)
 
-def select_within(boxes: Column, nodes: Column) -> Column:
-    """The nodes that lie inside any of the boxes."""
-    return F.filter(nodes, lambda n: _inside(boxes, n))
+    found = F.aggregate(nodes, start, step, lambda state: state["found"])
+    return F.get(nodes, found - nodes[0]["pos"])
 
 
 def subtree(nodes: Column, top: Column) -> Column:
@@ -201,7 +224,7 @@ def read_fields(blocks: DataFrame, base_url: str) -> DataFrame:
     others = [c for c in blocks.columns if c != "_block"]
 
     def in_box(box: str, span: str) -> Column:
-        return first(select_within(select_nodes(block, "p", box), select_nodes(block, "span", span)))
+        return first_within(block, lambda n: _is(n, "p", box), lambda n: _is(n, "span", span))
 
     found = blocks.select(
         *others,
@@ -251,11 +274,11 @@ def extract_links(
 def card_fields(pages: DataFrame, keep: Sequence[str], html: str = "html") -> DataFrame:
     """As ``cards.card_fields``."""
     nodes = F.col("_nodes")
-    details = select_within(
-        select_nodes(nodes, None, cards.PRINT_BOX), select_nodes(nodes, None, cards.PRINT_DETAILS)
-    )
-    plain_spans = F.filter(
-        select_nodes(nodes, "span"), lambda n: ~F.array_contains(n["classes"], cards.PRINT_TITLE)
+    detail = first_within(
+        nodes,
+        lambda n: _is(n, None, cards.PRINT_BOX),
+        lambda n: _is(n, None, cards.PRINT_DETAILS),
+        lambda n: _is(n, "span") & ~F.array_contains(n["classes"], cards.PRINT_TITLE),
     )
     comment_nodes = F.filter(nodes, lambda n: n["tag"] == COMMENT)
 
@@ -266,7 +289,7 @@ def card_fields(pages: DataFrame, keep: Sequence[str], html: str = "html") -> Da
         *keep,
         "_nodes",
         F.transform(comment_nodes, lambda n: T.strip(n["text"])).alias("_comments"),
-        first(select_within(details, plain_spans)).alias("_detail"),
+        detail.alias("_detail"),
         price(cards.USD_CLASS).alias("_usd"),
         price(cards.EUR_CLASS).alias("_eur"),
     )

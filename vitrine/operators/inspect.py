@@ -11,15 +11,16 @@ from vitrine.functions import html as H
 from vitrine.functions import text as T
 
 _TITLE = H.opening("title") + r"(?s:.*?)</(?i:title)\s*>"
-_META = r"<(?i:meta)\b[^>]*>"
+_META = H.any_tag("meta")
 
 
 def page_titles(pages: DataFrame, keep: Sequence[str], html: str = "html") -> DataFrame:
-    """X11: the page title, null when the page has none."""
+    """X11: the page title; null when the page has none, or an empty one, or one with markup."""
     titles = H.of_kind(H.pieces(F.col(html), _TITLE), H.opening("title"))
     found = pages.select(*keep, F.try_element_at(titles, F.lit(1)).alias("_title"))
-    content = H.element_content(F.col("_title"))
-    return found.select(*keep, T.decode_entities(content).alias("title"))
+    content = T.blank_to_null(H.element_content(F.col("_title")))
+    plain = F.when(~content.rlike(H.TAG_OR_COMMENT), content)
+    return found.select(*keep, T.decode_entities(plain).alias("title"))
 
 
 def meta_tags(pages: DataFrame, keep: Sequence[str], html: str = "html") -> DataFrame:

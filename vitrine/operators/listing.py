@@ -24,7 +24,7 @@ LINK_CLASS = "item_data_link"
 NAME_BOX, NAME_CLASS, MODEL_CLASS = "item_name", "goods_name", "model_number_value"
 PRICE_BOX, PRICE_CLASS = "selling_price", "figure"
 
-OPENING_TAG = r"^<[^>]*>"
+OPENING_TAG = f"^{H.OPENING_TAG}"
 BLOCK = H.opening("div", BLOCK_CLASS)
 LINK = H.opening("a", LINK_CLASS)
 
@@ -46,9 +46,11 @@ def _in_box(box: str, span: str) -> str:
 
 
 def split_blocks(html: Column) -> Column:
-    """Array of product blocks in page order; a block ends where the next one opens."""
+    """Array of product blocks in page order; a block ends where its element closes, or where the
+    next one opens."""
     pieces = F.split(H.without_hidden(html), f"(?={BLOCK})")
-    return F.filter(pieces, lambda piece: piece.rlike(f"^{BLOCK}"))
+    opened = F.filter(pieces, lambda piece: piece.rlike(f"^{BLOCK}"))
+    return F.transform(opened, H.first_box)
 
 
 def explode_blocks(

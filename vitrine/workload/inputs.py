@@ -60,11 +60,12 @@ def _items_html(price_text: str) -> Column:
     name = f"replace({NAME_FULL}, '&', '&amp;')"
     return F.expr(
         f"""array_join(transform(array(0, 1, 2, 3), i -> concat(
-            '<div class="list item_data" data-product-id="', {KEY}, '"><a', {href},
-            ' class="item_data_link">\n<p class="item_name"><span class="goods_name"> ', {name},
+            '<div title="a > b data-product-id=0" class="list item_data" data-product-id="', {KEY},
+            '"><a title="see href=/wrong class=x >"', {href}, ' class="item_data_link">\n<p class="item_name"><span class="goods_name"> ', {name},
             '　</span>\n<span class="model_number_value">[', p_brand, '] ', p_type,
-            '</span></p>\n<p class="selling_price"><span class="figure">', {price_text},
-            '</span></p></a></div>\n')), '')"""
+            '</span></p>\n<div class="tags"><div>new</div></div>', if({price_text} = '', '', concat(
+            '<p class="selling_price"><span class="figure">', {price_text}, '</span></p>')),
+            '</a></div>\n')), '')"""
     )
 
 
@@ -73,7 +74,8 @@ def _page(items: Column) -> Column:
         '<!DOCTYPE html><html><head><title>list</title></head><body>'
         '<!-- <div class="item_data" data-product-id="none"></div> -->\n'
     )
-    return F.concat(F.lit(top), items, F.lit("</body></html>"))
+    ranking = '<div class="ranking"><p class="selling_price"><span class="figure">9,999円</span></p></div>'
+    return F.concat(F.lit(top), items, F.lit(f"{ranking}</body></html>"))
 
 
 def listing_pages(spark: SparkSession, sf_dir: str, price_text: str = PRICE_TEXT) -> DataFrame:
@@ -178,13 +180,14 @@ def card_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.replace(F.col("p_brand"), F.lit("#"), F.lit("")),
             F.lit("/"),
             F.col("p_size").cast("string"),
-            F.lit("?translate=en\">x</a><a class='t' href=' /cards/en/T;p#top '>y</a>"),
-            F.lit('<div class="card-prints-current"><img src="i.png">'),
-            F.lit('<div class="prints-current-details"><span class="text-lg">Set · 1</span>\n'),
+            F.lit("?translate=en\">x</a><a class='t' title='href=\"/cards/jp/A/1\"' href=' /cards/en/T;p#top '>y</a>"),
+            F.lit('<div class="prints-current-details"><span>#0 · None</span></div>'),
+            F.lit('<div class="card-prints-current"><img src="i.png"><span title="a > b">No · No</span>'),
+            F.lit('<div class="prints-current-details"><div><i>x</i></div><span class="text-lg">Set · 1</span>\n'),
             F.lit("<span>#"),
             F.col("p_partkey").cast("string"),
             shown(rarity, " · <b>", "</b>"),
-            F.lit("</span></div></div>"),
+            F.lit("</span></div></div><span title=\"class='card-price usd eur'\">$77</span>"),
             shown(F.expr(USD), '<span class="card-price usd">$', "</span>"),
             shown(eur, '<span class="eur card-price">', " €</span>"),
             F.lit("</body></html>"),
