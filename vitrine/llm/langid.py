@@ -103,6 +103,9 @@ class LanguageModel:
     #: Log probabilities, buckets x languages, with a last row of zeros for void grams.
     weights: np.ndarray
     prior: np.ndarray
+    #: Mean and deviation of the log probability of one gram of a language's own texts.
+    usual: np.ndarray
+    spread: np.ndarray
 
 
 def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", smoothing: float = 0.5) -> LanguageModel:
@@ -123,38 +126,53 @@ def train(df: DataFrame, text_col: str = "text", lang_col: str = "lang", smoothi
     total = counts.sum(axis=0) + smoothing * BUCKETS
     weights[:BUCKETS] = np.log((counts + smoothing) / total)
     prior = np.log(np.array([sizes[name] for name in languages], dtype=float) / max(1, sum(sizes.values())))
-    return LanguageModel(languages, weights, prior)
+    shares = counts / np.maximum(counts.sum(axis=0), 1)
+    usual = (shares * weights[:BUCKETS]).sum(axis=0)
+    spread = np.sqrt(np.maximum((shares * weights[:BUCKETS] ** 2).sum(axis=0) - usual**2, 1e-12))
+    return LanguageModel(languages, weights, prior, usual, spread)
 
 
-def score(texts: list[str | None], model: LanguageModel) -> tuple[list[str], np.ndarray]:
-    """Likeliest language of each text and its posterior; ties go to the first name."""
+def score(texts: list[str | None], model: LanguageModel) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Likeliest language of each text, its posterior, and how its grams fit that language; ties go to
+    the first name.
+
+    The posterior only weighs the known languages against each other.  The fit does not: it is the mean
+    log probability of the text's grams, in deviations of one gram from the language's own mean, so it
+    does not depend on length and is low for what is in none of the languages."""
     grams, edges, letters = hashed(texts)
     if not model.languages:
-        return [UNKNOWN] * len(texts), np.zeros(len(texts))
-    logs = np.tile(model.prior, (len(texts), 1))
+        return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts))
+    logs = np.zeros((len(texts), len(model.languages)))
+    held = np.zeros(len(texts), np.int64)
     for row in grams:
         logs += np.add.reduceat(model.weights[row], edges[:-1], axis=0, dtype=np.float64)
-    best = logs.argmax(axis=1)
-    share = 1.0 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
+        held += np.add.reduceat(row < BUCKETS, edges[:-1], dtype=np.int64)
     known = letters > 0
+    best = (logs + model.prior).argmax(axis=1)
+    mean = logs[np.arange(len(texts)), best] / np.maximum(held, 1)
+    logs += model.prior
+    share = 1.0 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
+    fit = (mean - model.usual[best]) / model.spread[best]
     names = [model.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
-    return names, np.where(known, share, 0.0)
+    return names, np.where(known, share, 0.0), np.where(known, fit, 0.0)
 
 
 def predict(df: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """``df`` with ``lang_pred`` and ``lang_score`` (0 to 1); columns of these names are replaced.
+    """``df`` with ``lang_pred``, ``lang_score`` (0 to 1) and ``lang_fit`` (0: as the language's own
+    texts, below: less so); columns of these names are replaced, others stay.
 
-    A text that is null or has no letter is ``und`` with score 0."""
+    A text that is null or has no letter is ``und`` with score and fit 0; a very long text is scored
+    whole; rows that repeat are scored alike; an empty table gives an empty one."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    names = [c for c in df.columns if c not in ("lang_pred", "lang_score")]
+    found = {"lang_pred": "string", "lang_score": "double", "lang_fit": "double"}
+    names = [c for c in df.columns if c not in found]
     rows = df.select(*(F.col(f"`{c}`") for c in names))
     place = names.index(text_col)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found, share = score(batch.column(place).to_pylist(), shared.value)
-        return pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(found, pa.string()), pa.array(share)], names=[*names, "lang_pred", "lang_score"]
-        )
+        lang, share, fit = score(batch.column(place).to_pylist(), shared.value)
+        made = [pa.array(lang, pa.string()), pa.array(share), pa.array(fit)]
+        return pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*names, *found])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return map_rows(rows, run, f"{schema}, lang_pred string, lang_score double", text_col)
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema] + [f"{c} {k}" for c, k in found.items()])
+    return map_rows(rows, run, schema, text_col)
