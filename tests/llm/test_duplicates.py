@@ -97,16 +97,6 @@ def test_near_duplicates_on_edge_rows(spark, edge_documents, no_documents):
     assert simhash.near_duplicates(no_documents).count() == 0
 
 
-def test_similar_groups_catch_edits_and_leave_others(spark):
-    words = numbered(5, 300).split()
-    edited = words.copy()
-    edited[100], edited[200] = "changed", "changed"
-    texts = [" ".join(words), " ".join(edited), numbered(6, 300), numbered(7, 300), " ".join(words)]
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    found = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(frame).collect()}
-    assert found == {0: 0, 1: 0, 2: 2, 3: 3, 4: 0}
-
-
 def _brute_places(text, depth):
     data, count = text.tobytes(), Counter()
     windows = [data[i : i + depth] for i in range(len(data))]
@@ -168,23 +158,6 @@ def test_repeats_on_edge_rows(spark, edge_documents, no_documents):
     assert suffix_dedup.remove_repeats(no_documents).count() == 0
 
 
-def test_sketches_of_alike_texts_share_a_band():
-    """Isolated pairs at a Jaccard index of 0.80-0.85 with a replaced block, against the chance stated."""
-    rng, met, pairs = random.Random(11), 0, 0
-    word = lambda: f"{rng.getrandbits(40):x}"
-    while pairs < 400:
-        words = [word() for _ in range(rng.randint(100, 400))]
-        cut = round(len(words) * rng.uniform(0.06, 0.11))
-        one, two = (simhash.shingles(" ".join(w), 5) for w in (words, [word() for _ in range(cut)] + words[cut:]))
-        common = len(np.intersect1d(one, two))
-        if not 0.8 <= common / (len(one) + len(two) - common) <= 0.85:
-            continue
-        (a, p), (b, q) = simhash.sketch(one), simhash.sketch(two)
-        met += bool((a == b).any()) and int(simhash._unlike(p, q)) <= simhash.DIFFER
-        pairs += 1
-    assert met == pairs
-
-
 def _jaccard(a, b):
     def shingles(t):
         w = t.split()
@@ -221,55 +194,6 @@ def test_comparison_with_next_document(spark, edge_documents, no_documents):
     assert minhash.compared(no_documents).count() == 0
 
 
-def _jaccard(a, b):
-    one, two = (set(zip(*(t.lower().split()[i:] for i in range(5)))) for t in (a, b))
-    return len(one & two) / len(one | two)
-
-
-def test_similar_groups_meet_all_pairs_with_block_edits_and_no_pair_below(spark):
-    """Pairs apart from all others, one block of each replaced: 0.80-0.85 link, 0.70-0.79 do not."""
-    rng, texts, want = random.Random(9), [], {}
-    word = lambda: f"{rng.getrandbits(40):x}"
-    for _ in range(400):
-        size = rng.randint(100, 400)
-        words = [word() for _ in range(size)]
-        cut, at = round(size * rng.uniform(0.04, 0.16)), rng.randrange(size // 2)
-        other = words[:at] + [word() for _ in range(cut)] + words[at + cut :]
-        pair = " ".join(words), " ".join(other)
-        if not 0.7 <= _jaccard(*pair) < 0.85:
-            continue
-        want[len(texts)] = want[len(texts) + 1] = len(texts)
-        if _jaccard(*pair) < 0.8:
-            want[len(texts) + 1] = len(texts) + 1
-        texts += pair
-    assert len(texts) > 300 and 60 < sum(k != v for k, v in want.items()) < len(want) - 60
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    assert {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(frame).collect()} == want
-
-
-def test_similar_groups_of_a_shared_passage_equal_all_pairs(spark):
-    """Many texts around one passage and many copies of one: large bands, links to one component only."""
-    rng, texts = random.Random(10), []
-    word = lambda: f"{rng.getrandbits(40):x}"
-    passage = [word() for _ in range(200)]
-    for i in range(160):
-        texts.append(" ".join(passage + [word() for _ in range(rng.choice([10, 20, 30, 60]))]))
-    for i in range(60):
-        words = passage[::-1]
-        words[rng.randrange(200)] = word()
-        words[rng.randrange(200)] = word()
-        texts.append(" ".join(words))
-    root = list(range(len(texts)))
-    for j in range(len(texts)):
-        for i in range(j):
-            if _jaccard(texts[i], texts[j]) >= 0.8:
-                low, high = sorted((root[i], root[j]))
-                root = [low if r == high else r for r in root]
-    assert 3 < len(set(root)) < 160
-    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    assert {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(frame).collect()} == dict(enumerate(root))
-
-
 def test_a_phrase_with_many_surroundings_is_dealt_to_several_shards(spark, monkeypatch, tmp_path):
     """One gram that is the least of all windows around it, between texts of which some repeat."""
     rng = random.Random(12)

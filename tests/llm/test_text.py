@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -12,6 +13,7 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from tests.llm.conftest import DOCUMENT, PROSE, numbered
 from vitrine.llm import bpe_trie, chat, common, packing
 
 BYTES, WORDS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
@@ -176,3 +178,46 @@ def test_pipeline_stages_on_edge_rows(spark, edge_documents, no_documents):
             docs = corpus_pipeline.stored(stage(spark, docs, sf_dir), "test")
             assert docs.columns == edge_documents.columns
         assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).count() >= 0
+
+
+def test_near_duplicate_stage_decides_by_row(spark):
+    unique, other = "a text that nobody else has written down " * 3, numbered(5, 60)
+    rows = [(1, PROSE, "en", "s", 1), (1, PROSE, "en", "s", 1), (1, unique, "en", "s", 1), (0, PROSE, None, "s", 1),
+            (None, PROSE, "en", "s", 1), (7, other * 2, "en", "s", 2), (7, other * 2, "en", "s", 2), (None, "only here " * 9, None, None, None)]
+    docs = spark.createDataFrame(rows, DOCUMENT)
+    stage = dict(corpus_pipeline.STAGES)["near duplicates"]
+    for part in (docs, docs.repartition(5).orderBy("text")):
+        kept = sorted((r["doc_id"] is None, r["doc_id"], r["text"]) for r in stage(spark, part, "").collect())
+        assert kept == [(False, 0, PROSE), (False, 1, unique), (False, 7, other * 2), (True, None, "only here " * 9)]
+    clashing = docs.withColumnRenamed("source", "component_id").withColumnRenamed("lang", "fingerprint")
+    assert stage(spark, clashing, "").count() == 4 and stage(spark, clashing, "").columns == clashing.columns
+
+
+def test_language_stage_rejects_what_is_in_no_language(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    strange = ["xkq zzvw qqp jjx vvk wqz zxq kkj " * 4, "Привет, как дела? Это русский текст о погоде.", "これは日本語の文章です。", "12 34 !!", "", None]
+    rows = [(10**9 + i, t, None, None, None) for i, t in enumerate(strange)]
+    both = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["language"](spark, both, sf_dir).collect()}
+    assert not any(i >= 10**9 for i in kept)
+    lettered = {r["doc_id"] for r in docs.collect() if any(c.isalpha() for c in r["text"] or "")}
+    assert len(kept & lettered) >= 0.99 * len(lettered)
+
+
+def test_whole_pipeline_packs_what_the_stages_keep(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    pieces = corpus_pipeline.run(spark, sf_dir).toPandas().sort_values(["sequence_id", "offset"])
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = common.stored(stage(spark, docs, sf_dir), "test")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    library = Tokenizer.from_file(WORDS)
+    assert set(pieces["doc_id"]) == set(texts)
+    for doc_id, part in pieces.groupby("doc_id"):
+        ids = library.encode(texts[doc_id], add_special_tokens=False).ids + [2]
+        assert part["length"].sum() == len(ids) and set(part["doc_tokens"]) == {len(ids)}
+        for start, length, crc in zip(part["start"], part["length"], part["ids_crc32"]):
+            assert crc == zlib.crc32(np.array(ids[start : start + length], "<u4").tobytes())
+    sizes = pieces.groupby("sequence_id")["length"].sum()
+    assert (sizes.iloc[:-1] == 4096).all() and sizes.iloc[-1] <= 4096

@@ -38,21 +38,6 @@ PAIRS = 2_000_000
 #: Rows of a key from which on they are reached one from another instead of all compared.
 LARGE = 100
 
-#: Jaccard index of shingle sets from which on texts are near copies.
-ALIKE = 0.8
-#: Bands, and least hashes of a band.
-BANDS, BAND = 30, 5
-#: Of the 128 two-bit pieces of a sketch at most so many differ at ``ALIKE`` (mean 19.2, deviation 4.0), and are
-#: expected to.
-DIFFER, SURE = 39, 19
-#: Words of a sketch.
-PLANES = ("p0", "p1", "p2", "p3")
-#: Texts of a band up to which all are compared, pairs compared at once, pairs for each copy of a set.
-SMALL, MEETS, SHARE = 8, 500_000, 200
-_random = np.random.default_rng(SEED)
-_TURN = _random.integers(0, 1 << 64, BANDS * BAND, dtype=np.uint64)
-_ODD = _random.integers(0, 1 << 64, BANDS * BAND, dtype=np.uint64) | np.uint64(1)
-
 
 def _syndrome(word: int) -> int:
     for bit in range(22, 10, -1):
@@ -309,201 +294,3 @@ def near_duplicates(
     tops = named.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = named.join(tops, "root").select("fingerprint", "component_id")
     return printed.join(classes, "fingerprint").select(id_col, "fingerprint", "component_id")
-
-
-def shingles(text: str | None, words: int) -> np.ndarray:
-    """The distinct hashes of the word shingles of a text, ascending; words as in ``simhash``."""
-    tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not tokens:
-        return np.empty(0, dtype=np.uint64)
-    total = max(1, len(tokens) - words + 1)
-    parts = zip(*(tokens[i:] for i in range(words))) if len(tokens) >= words else [tokens]
-    digest = partial(xxhash.xxh64_intdigest, seed=SEED)
-    return np.unique(np.fromiter(map(digest, map(b" ".join, parts)), dtype=np.uint64, count=total))
-
-
-def sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(keys of the bands, two planes of 128 bits in four words) of a set of shingle hashes."""
-    least = np.full(BANDS * BAND, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for start in range(0, len(hashes), 2048):
-        part = hashes[start : start + 2048]
-        np.minimum(least, ((part ^ _TURN[:, None]) * _ODD[:, None]).min(axis=1), out=least)
-    keys = (least.reshape(BANDS, BAND) * _ODD[:BAND] ^ _TURN[:BAND]).sum(axis=1, dtype=np.uint64)
-    keys = (keys ^ keys >> np.uint64(29)) * _ODD[:BANDS]
-    planes = [np.packbits(least[:128] >> np.uint64(bit) & np.uint64(1) > 0).view("<u8") for bit in (20, 21)]
-    return keys, np.concatenate(planes)
-
-
-def _unlike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """How many of the 128 two-bit pieces of sketches differ."""
-    other = a ^ b
-    return np.bitwise_count(other[..., :2] | other[..., 2:]).sum(axis=-1, dtype=np.int64)
-
-
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """Columns of whole groups of rows with one key (the first column, ascending), many at once."""
-    rest: list[np.ndarray] | None = None
-    for batch in batches:
-        fresh = [c.to_numpy() for c in batch.columns]
-        rest = fresh if rest is None else [np.concatenate(c) for c in zip(rest, fresh)]
-        last = int(np.searchsorted(rest[0], rest[0][-1])) if len(rest[0]) else 0
-        if last:
-            yield [c[:last] for c in rest]
-            rest = [c[last:] for c in rest]
-    if rest is not None and len(rest[0]):
-        yield rest
-
-
-def _later(after: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of each place with those from ``after`` up to ``ends`` of it, in blocks."""
-    live = np.flatnonzero(ends > after)
-    sizes = (ends - after)[live]
-    done = 0
-    while done < len(live):
-        upto = max(done + 1, int(np.searchsorted(np.cumsum(sizes[done:]), MEETS)) + done)
-        part, size = live[done:upto], sizes[done:upto]
-        a = np.repeat(part, size)
-        yield a, np.arange(len(a)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(after[part], size)
-        done = upto
-
-
-def _may_be_alike(sizes: np.ndarray, prints: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    fits = np.minimum(sizes[a], sizes[b]) >= ALIKE * np.maximum(sizes[a], sizes[b])
-    return fits & (_unlike(prints[a], prints[b]) <= DIFFER)
-
-
-def _edges(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    edge = np.flatnonzero(np.diff(keys)) + 1
-    return np.concatenate([[0], edge]), np.concatenate([edge, [len(keys)]])
-
-
-def _first_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs of small groups that may be alike; of a large one, links that most likely are,
-    and its key."""
-    for keys, node, sizes, *words in _groups(batches):
-        prints = np.stack([w.view(np.uint64) for w in words], axis=1)
-        starts, ends = _edges(keys)
-        small = ends - starts <= SMALL
-        end = np.repeat(np.where(small, ends, 0), ends - starts)
-        for a, b in _later(np.arange(len(keys)) + 1, end):
-            near = _may_be_alike(sizes, prints, a, b)
-            yield _pairs(node[a[near]], node[b[near]])
-        for start, stop in zip(starts[~small], ends[~small]):
-            a, b = _spread(prints[start:stop], SURE, _unlike)
-            yield _pairs(node[a + start], node[b + start])
-        yield _pairs(keys[starts[~small]], None)
-
-
-def _pairs(a: np.ndarray, b: np.ndarray | None) -> pa.RecordBatch:
-    other = pa.nulls(len(a), pa.int64()) if b is None else pa.array(np.maximum(a, b))
-    return pa.RecordBatch.from_arrays([pa.array(a if b is None else np.minimum(a, b)), other], names=["a", "b"])
-
-
-def _other_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All pairs of a group that may be alike and are not in one component yet."""
-    for keys, root, node, sizes, *words in _groups(batches):
-        prints = np.stack([w.view(np.uint64) for w in words], axis=1)
-        starts, ends = _edges(keys)
-        end = np.repeat(ends, ends - starts)
-        new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (root[1:] != root[:-1])])
-        runs = np.append(np.flatnonzero(new), len(keys))
-        after = np.repeat(runs[1:], np.diff(runs))
-        for a, b in _later(after, end):
-            near = _may_be_alike(sizes, prints, a, b)
-            yield _pairs(node[a[near]], node[b[near]])
-
-
-def alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the distinct pairs ``(a, b)`` whose sets in ``sets`` (node, hashes) have a Jaccard
-    index of ``ALIKE`` or more.  The set of a node of many pairs is dealt out several times."""
-    now = pairs
-    for side in ("a", "b"):
-        shares = pairs.groupBy(F.col(side).alias("node")).agg(F.ceil(F.count(F.lit(1)) / SHARE).alias("shares"))
-        held = sets.join(shares, "node").select(
-            F.col("node").alias(side),
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("shares") - 1)).alias("share"),
-            "shares",
-            F.col("hashes").alias(f"hashes_{side}"),
-        )
-        most = shares.select(F.col("node").alias(side), "shares")
-        now = now.join(most.where("shares > 1"), side, "left").withColumn(
-            "share", F.coalesce(F.pmod(F.xxhash64("a", "b"), "shares"), F.lit(0)).cast("bigint")
-        )
-        now = now.drop("shares").join(held.drop("shares"), [side, "share"]).drop("share")
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        keep = []
-        for x, y in zip(batch.column("hashes_a"), batch.column("hashes_b")):
-            one, two = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (x, y))
-            both = np.concatenate([one, two])
-            both.sort(kind="stable")
-            common = int((both[1:] == both[:-1]).sum())
-            # in whole numbers, so that exactly 0.8 counts
-            keep.append(5 * common >= 4 * (len(both) - common))
-        return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return map_rows(now.select("a", "b", "hashes_a", "hashes_b"), run, "a bigint, b bigint", "hashes_a")
-
-
-def similar_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:
-    """``(id_col, component_id)``: groups of texts which chains of pairs connect whose sets of word
-    shingles have a Jaccard index of ``ALIKE`` or more, each link checked on the sets themselves.
-
-    Candidates share one of ``BANDS`` bands of ``BAND`` least hashes: a pair of index 0.8 does so
-    with a chance of 1 - (1 - 0.8 ** 5) ** 30 > 0.99999, whatever its other texts are, and keeps to
-    ``DIFFER`` differing pieces of its sketches with about the same chance.  Small groups of one
-    band compare all pairs.  In larger ones likely links are checked first, and after that all
-    pairs between what those did not connect.
-
-    Texts without words are one group, equal texts always are; ids as in ``near_duplicates``."""
-    texts = df.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    texts = texts.withColumn("node", F.xxhash64("text"))
-    distinct = stored(texts.groupBy("node").agg(F.min("id").alias("least"), F.first("text").alias("text")), "texts")
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        sets = [shingles(t, words) for t in batch.column("text").to_pylist()]
-        made = [sketch(s) for s in sets]
-        prints = np.array([p for _, p in made], dtype=np.uint64).reshape(-1, 4).view(np.int64)
-        keys = np.array([k for k, _ in made], dtype=np.uint64).reshape(-1, BANDS).view(np.int64)
-        offsets = np.arange(len(sets) + 1, dtype=np.int32) * BANDS
-        return pa.RecordBatch.from_arrays(
-            [
-                batch.column("node"),
-                pa.array([len(s) for s in sets], pa.int64()),
-                *(pa.array(np.ascontiguousarray(c)) for c in prints.T),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel())),
-            ],
-            names=["node", "size", *PLANES, "bands"],
-        )
-
-    listed = ", ".join(f"{c} bigint" for c in PLANES)
-    columns = ["node", "size", *PLANES]
-    printed = map_rows(distinct.select("node", "text"), run, f"node bigint, size bigint, {listed}, bands array<bigint>", "text")
-    printed = stored(printed, "sketches")
-    filed = printed.select(F.explode("bands").alias("key"), *columns)
-
-    def checked(met: DataFrame) -> DataFrame:
-        pairs = stored(met.distinct(), "pairs")
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-
-        def hashed(batch: pa.RecordBatch) -> pa.RecordBatch:
-            sets = [shingles(t, words).tobytes() for t in batch.column("text").to_pylist()]
-            return pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "hashes"])
-
-        needed = distinct.select("node", "text").join(nodes, "node", "left_semi")
-        sets = stored(map_rows(needed, hashed, "node bigint, hashes binary", "text"), "sets")
-        return stored(alike(pairs, sets), "links")
-
-    first = filed.repartition("key").sortWithinPartitions("key", "node")
-    met = stored(first.mapInArrow(_first_pairs, "a bigint, b bigint"), "met")
-    links = checked(met.where("b is not null"))
-    roots = connected_components(links, "a", "b")
-    large = filed.join(met.where("b is null").select(F.col("a").alias("key")), "key", "left_semi")
-    rooted = large.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("root"), *columns)
-    second = rooted.repartition("key").sortWithinPartitions("key", "root")
-    more = checked(second.mapInArrow(_other_pairs, "a bigint, b bigint"))
-    roots = connected_components(links.union(more), "a", "b")
-    named = distinct.select("node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    tops = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = named.join(tops, "root").select("node", "component_id")
-    return texts.select("id", "node").join(classes, "node").select(F.col("id").alias(id_col), "component_id")
