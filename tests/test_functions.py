@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import html as stdlib_html
+import random
+from html.entities import html5
 import re
 from urllib.parse import urljoin, urlparse
 
@@ -105,11 +107,15 @@ def test_entities_match_standard_library(spark):
         "plain",
         "",
     ]
-    with_semicolons = [s for s in samples if s != "&amp"]
-    assert apply(spark, text.decode_entities, with_semicolons) == [
-        stdlib_html.unescape(s) for s in with_semicolons
-    ]
-    assert apply(spark, text.decode_entities, ["&amp", None]) == ["&amp", None]
+    rng = random.Random(3)
+    names = list(html5)
+    scraps = ["&", ";", "#", "x", "1", "amp", "not", "it", "&#", "&#x", "0", "9", "F", " ", "=", "é", "<", "&amp", "&copy=2"]
+    samples += [f"&{name}" for name in names] + [f"&{name.rstrip(';')}q" for name in names]
+    samples += [f"&#{n}{end}" for n in (*range(0, 300), 338, 8364, 55295, 55296, 57344, 64975, 64976, 65007, 65008, 65533, 65534, 65535, 65536, 131070, 1114109, 1114111, 1114112, 10**20) for end in (";", "", "z")]
+    samples += [f"&#x{n:x};" for n in (0, 1, 127, 128, 159, 160, 233, 0x1F600, 0xD800, 0x110000, 16**30)]
+    samples += ["".join(rng.choice([*scraps, rng.choice(names)]) for _ in range(rng.randint(1, 12))) for _ in range(3000)]
+    assert apply(spark, text.decode_entities, samples) == [stdlib_html.unescape(s) for s in samples]
+    assert apply(spark, text.decode_entities, [None]) == [None]
 
 
 def test_visible_text(spark):

@@ -218,16 +218,36 @@ def test_card_run(spark, tmp_path):
     assert quality.duplicate_keys(index, ["lang", "set_code", "card_code"]).count() == 0
 
 
-def test_archive_keeps_every_run_and_shows_the_latest(spark, tmp_path):
-    archive = str(tmp_path / "raw")
-    for run, html in ((1, "old"), (2, "new"), (2, "new")):
-        rows = landed(spark, [(1, html, run)]).withColumn(
+def test_archive_keeps_every_run_and_shows_the_latest(spark):
+    spark.sql("create database if not exists attic")
+    for run, html in ((1, "old"), (2, "newer"), (2, "new")):
+        rows = landed(spark, [(1, html, run), (2, f"x{html}", 9 - run)]).withColumn(
             "path", pages.archive_path(F.lit(None), F.lit("raw"), F.col("name"), F.col("fetched_at"))
         )
-        pages.append_archive(rows, archive, str(run))
-    stored = spark.read.parquet(archive)
-    assert stored.count() == 2
-    assert [(r.path, r.html) for r in pages.latest_per_name(stored).collect()] == [("raw/S1_1.html", "new")]
+        pages.ensure_archive(spark, "attic.raw", rows.schema, buckets=4)
+        pages.append_archive(rows, "attic.raw", f"run '{run}'")
+    stored = spark.table("attic.raw")
+    assert stored.count() == 4 and {r.run_id for r in stored.collect()} == {"run '1'", "run '2'"}
+    latest = {r.path: r.html for r in pages.latest_per_name(stored).collect()}
+    assert latest == {"raw/S1_1.html": "new", "raw/S1_2.html": "xold"}
+
+
+def test_an_archive_table_shows_the_latest_without_moving_html(spark):
+    spark.sql("create database if not exists attic")
+    rows = landed(spark, [(i, "p" * i, i) for i in range(1, 30)]).withColumn("path", F.col("name"))
+    pages.ensure_archive(spark, "attic.still", rows.schema, buckets=4)
+    for run in ("a", "b"):
+        pages.append_archive(rows, "attic.still", run)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        latest = pages.latest_per_name(spark.table("attic.still"))
+        assert "Exchange" not in latest._jdf.queryExecution().executedPlan().toString()
+        assert latest.count() == 29
+        unsorted = pages.latest_per_name(rows.repartition(3))
+        plan = unsorted._jdf.queryExecution().executedPlan().toString()
+        assert "WindowGroupLimit" in plan[plan.index("Exchange") :]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_listing_stream_equals_batch(spark, tmp_path):

@@ -7,7 +7,7 @@ Scraped Japanese text mixes ASCII with full-width forms, so every class below is
 from __future__ import annotations
 
 from functools import lru_cache
-from html.entities import name2codepoint
+from html.entities import html5
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column
@@ -112,47 +112,67 @@ def _sql_map(pairs: dict[str, str]) -> str:
     return f"str_to_map({_sql_text(entries)}, '\x1e', '\x1f')"
 
 
-def _windows_characters() -> dict[str, str]:
-    """Numbers 128-159 mean Windows-1252 characters in web pages."""
-    codes = {str(code): bytes([code]).decode("cp1252", "ignore") for code in range(0x80, 0xA0)}
-    return {code: character for code, character in codes.items() if character}
+def _number_characters() -> dict[str, str]:
+    """Numbers that stand for another character than their own, or for none."""
+    found = {str(code): bytes([code]).decode("cp1252", "ignore") or chr(code) for code in range(0x80, 0xA0)}
+    for code in (*range(0x01, 0x09), 0x0B, *range(0x0E, 0x20), 0x7F):
+        found[str(code)] = ""
+    return found
+
+
+def _character(code: str) -> str:
+    """SQL for the character of a number; numbers of no character give U+FFFD or ''."""
+    return f"""
+        case when {code} is null or {code} = 0 or {code} between 55296 and 57343 or {code} > 1114111 then '�'
+             when {code} < 160 then coalesce(try_element_at({_sql_map(_number_characters())}, cast({code} as string)), chr({code}))
+             when {code} between 64976 and 65007 or {code} & 65534 = 65534 then ''
+             when {code} < 256 then chr({code})
+             else decode(unhex(lpad(hex({code}), 8, '0')), 'UTF-32') end"""
+
+
+# The references that pages use most, decoded without a lookup.
+_FREQUENT = {"&amp;": "&", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&nbsp;": "\xa0", "&apos;": "'"}
 
 
 @lru_cache(maxsize=1)
 def _decoder() -> str:
     """SQL lambda that decodes one text.
 
-    A text is cut in front of each ``&``; a piece that starts with a known reference gets its
-    character, any other piece stays.  So a decoded character never starts a second decoding.
-    """
-    names = {name: chr(code) for name, code in dict(name2codepoint, apos=39).items()}
-    code = r"""coalesce(try_cast(
-        if(p rlike '^&#[0-9]', regexp_extract(p, '^&#([0-9]+);', 1),
-           conv(regexp_extract(p, '^&#[xX]([0-9a-fA-F]+);', 1), 16, 10)) as bigint), 0)"""
-    character = f"""
-        if({code} between 1 and 55295 or {code} between 57344 and 1114111,
-           coalesce(try_element_at({_sql_map(_windows_characters())}, cast({code} as string)),
-                    decode(unhex(lpad(hex({code}), 8, '0')), 'UTF-32')),
-           '�')"""
-    named = f"""
-        coalesce(try_element_at({_sql_map(names)}, regexp_extract(p, '^&([A-Za-z][A-Za-z0-9]*);', 1)),
-                 regexp_extract(p, '^&[^;]*;', 0))"""
+    A text is cut in front of each ``&``, and what a piece starts with is decoded, so a decoded
+    character never starts a second decoding.  A name that ends with ``;`` is looked up among those
+    of its first letter; without, the longest of the old names counts that it starts with."""
+    closed: dict[str, dict[str, str]] = {}
+    for name, value in html5.items():
+        if name.endswith(";"):
+            closed.setdefault(name[0], {})[f"&{name}"] = value
+    named = " ".join(f"when '{letter}' then try_element_at({_sql_map(names)}, x.r)" for letter, names in sorted(closed.items()))
+    old = {name: value for name, value in html5.items() if not name.endswith(";")}
+    prefix = "|".join(sorted(old, key=lambda name: (-len(name), name)))
+    start = f"regexp_extract(x.r, '^&({prefix})', 1)"
+    frequent = " ".join(
+        f"when x.r = '{r}' then concat({_sql_text(c)}, substring(x.p, {len(r) + 1}))" for r, c in _FREQUENT.items()
+    )
+    hexadecimal = "try_cast(conv(regexp_extract(x.r, '^&#[xX]0*([0-9a-fA-F]{1,12});?$', 1), 16, 10) as bigint)"
+    decimal = "try_cast(regexp_extract(x.r, '^&#0*([0-9]{1,15});?$', 1) as bigint)"
+    rest = "substring(x.p, length(x.r) + 1)"
     piece = f"""
-        case when p rlike '^&#([0-9]+|[xX][0-9a-fA-F]+);'
-                  then concat({character}, regexp_replace(p, '^&[^;]*;', ''))
-             when p rlike '^&[A-Za-z][A-Za-z0-9]*;'
-                  then concat({named}, regexp_replace(p, '^&[^;]*;', ''))
-             else p end"""
-    return f"""
-        t -> if(contains(t, '&'),
-                array_join(transform(split(t, '(?=&)'), p -> {piece}), ''), t)"""
+        case when x.r = '' then x.p {frequent}
+             when x.r rlike '^&#[xX]' then concat({_character(hexadecimal)}, {rest})
+             when startswith(x.r, '&#') then concat({_character(decimal)}, {rest})
+             else coalesce(
+                 concat(case substring(x.r, 2, 1) {named} end, {rest}),
+                 concat(try_element_at({_sql_map(old)}, {start}), substring(x.p, length({start}) + 2)),
+                 x.p) end"""
+    reference = "'^&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[A-Za-z][A-Za-z0-9]{0,31};?)'"
+    cut = f"transform(split(t, '(?=&)'), p -> named_struct('p', p, 'r', regexp_extract(p, {reference}, 0)))"
+    return f"t -> if(contains(t, '&'), array_join(transform({cut}, x -> {piece}), ''), t)"
 
 
 def decode_each(*texts: Column) -> Column:
-    """Array of the texts with ``&name;``, ``&#n;`` and ``&#xh;`` decoded; nulls stay null.
+    """Array of the texts with all character references decoded, as the standard library decodes
+    them: every name, numbers, and old names and numbers without a semicolon.  Nulls stay null.
 
-    Decoding several texts together keeps the plan small.  Names are those of HTML 4 plus
-    ``&apos;``; the tolerant route knows the full list and references without a semicolon.
+    Decoding several texts together keeps the plan small.
     """
     return F.call_function("transform", F.array(*texts), F.expr(_decoder()))
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitrine.functions.times import compact_stamp
 from vitrine.operators.quality import fetched
@@ -64,21 +65,32 @@ def latest_per_name(
 ) -> DataFrame:
     """Current page per archive name, one row, as if each later write had replaced the file.
 
-    Winners come from names, times and a hash of the content, reduced map-side; among captures
-    of one time the largest hash wins, and a time that is null comes before all others.  Pages
-    are then matched on all three, so the copies of one name spread over all partitions and only
-    equal captures meet again.
-    """
-    marked = archive.withColumn("_mark", F.xxhash64(content))
-    columns = [*newest, "_mark"]
-    best = marked.groupBy(name).agg(F.max(F.struct(*columns)).alias("_newest"))
-    winners = best.select(F.col(name).alias("_name"), *(F.col(f"_newest.{c}").alias(f"_best_{c}") for c in columns))
-    same = F.col(name).eqNullSafe(F.col("_name"))
-    for c in columns:
-        same &= F.col(c).eqNullSafe(F.col(f"_best_{c}"))
-    return marked.join(winners, same, "left_semi").dropDuplicates([name]).drop("_mark")
-
-
-def append_archive(pages: DataFrame, path: str, run_id: str) -> None:
-    """Write one run's raw pages under its own folder; a retried run replaces itself."""
-    pages.write.mode("overwrite").parquet(f"{path}/run_id={run_id}")
+    Among captures of one time the largest hash of the content wins, and a time that is null comes
+    before all others.  The rank is also cut before any shuffle, so a task sends one page per name
+    however many captures it holds; an archive table (``ensure_archive``) is stored by name and sends
+    none."""
+    order = [*(F.col(c).desc_nulls_last() for c in newest), F.xxhash64(content).desc()]
+    captures = Window.partitionBy(name).orderBy(*order)
+    return archive.withColumn("_capture", F.row_number().over(captures)).where("_capture <= 1").drop("_capture")
+
+
+def ensure_archive(spark: SparkSession, table: str, pages: T.StructType, name: str = "path", buckets: int = 64) -> None:
+    """Create an archive table unless it exists: Parquet, a partition per run, dealt and sorted by
+    name into buckets, so that the captures of a name lie together.  A bucket should hold what one
+    task can sort."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pages if f.name != "run_id")
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table} ({columns}, run_id string) USING parquet PARTITIONED BY (run_id) "
+        f"CLUSTERED BY (`{name}`) SORTED BY (`{name}`) INTO {buckets} BUCKETS"
+    )
+
+
+def append_archive(pages: DataFrame, table: str, run_id: str, name: str = "path") -> None:
+    """Write one run's raw pages as the run's partition; a retried run replaces itself."""
+    spark = pages.sparkSession
+    columns = [c for c in spark.table(table).columns if c != "run_id"]
+    buckets = next(r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect() if r.col_name == "Num Buckets")
+    dealt = pages.select(*columns).repartition(int(buckets), name)
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {table} PARTITION (run_id = :run) SELECT * FROM {{dealt}}", args={"run": run_id}, dealt=dealt
+    )
