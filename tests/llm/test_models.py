@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import html
 import itertools
 import random
+import re
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -97,7 +99,7 @@ PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style></head><b
 
 
 def test_page_text():
-    weights = np.zeros(11)
+    weights = html_text.BEFORE
     assert html_text.main_text(PAGE, weights).split("\n\n") == [
         "A title & more", "First boldness of a paragraph, with two lines.",
         "Second paragraph with a link inside <it>.", "item one", "item two",
@@ -111,7 +113,7 @@ def test_pages_on_edge_rows(spark):
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("text", F.lit(1))
     found = html_text.extract(pages, html_text.train(pages, "page_id")).collect()
     assert len(found) == 5
-    assert html_text.extract(pages.limit(0), np.zeros(11)).count() == 0
+    assert html_text.extract(pages.limit(0), html_text.BEFORE).count() == 0
 
 
 def test_neighbours_match_brute_force(spark):
@@ -147,3 +149,52 @@ def test_an_open_head_ends_where_the_body_starts():
                   "<head><title>t</title></head><body><p>seen</p>"):
         assert [b.text for b in html_text.blocks_of("<html>" + start)[0]] == ["seen"]
     assert html_text.blocks_of("<head><title>t</title><noscript><img src=x>no</noscript></head>")[0] == []
+
+
+def _trained(spark):
+    return html_text.train(spark.read.parquet(f"{SF_DIR}/pages.parquet"), "page_id")
+
+
+def test_the_cut_outvotes_a_block_between_others(spark):
+    """A line of a link alone looks like a menu; between paragraphs it is text, in a list of links it is not."""
+    weights = _trained(spark)
+    prose = "<p>Here stands a paragraph of many words, with marks, that ends with a full stop.</p>"
+    link = "<div><a href=x>Appendix</a></div>"
+    inside, menu = prose + link + prose, link * 5
+    for page, kept in ((f"<body><div>{inside}</div>", [True] * 3), (f"<body><div>{menu}</div>", [False] * 5)):
+        blocks, parent, depth = html_text.blocks_of(page)
+        odds = html_text.odds_of(blocks, weights)
+        assert html_text.minimum_cut(odds, html_text._edges(blocks, parent, depth)).tolist() == kept
+    blocks, parent, depth = html_text.blocks_of(f"<body><div>{inside}</div>")
+    assert html_text.minimum_cut(html_text.odds_of(blocks, weights), []).tolist() == [True, False, True]
+
+
+def test_hints_are_features_that_the_classifier_weighs(spark):
+    weights = _trained(spark)
+    page = ("<html><body><nav><ul><li><a href=/x/>Home</a></li></ul></nav><article><h1>Title</h1>"
+            "<p>A long first paragraph, with many words in it.</p>%s<p>And a last one, also with words.</p></article><footer>f</footer>")
+    kept = {
+        "<section class='related-work'><p>Related work in this field is broad, and many have written about it.</p></section>": True,
+        "<p title=it's>Hello world, it's fine to be here today.</p>": True,
+        "<!--><p>After the comment stands this text.</p>": True,
+        "<div title='<nav class=ad>'><p>A title may hold a tag, which is none.</p></div>": True,
+        "<div class='ad'><p>Buy this thing now, it is good for you.</p></div>": False,
+        "<div role=navigation><p>Go on to the next page, please.</p></div>": False,
+        "<section class=comments><article class=comment><p>I liked it, thank you.</p></article></section>": False,
+    }
+    for part, stays in kept.items():
+        found = html_text.main_text(page % part, weights).split("\n\n")
+        text = " ".join(re.sub("<[^>]*>", "", part.split("<p", 1)[1].split(">", 1)[1]).split())
+        assert found == ["Title", "A long first paragraph, with many words in it.", *([text] if stays else []), "And a last one, also with words."], part
+
+
+def test_page_text_is_that_of_the_articles(spark):
+    """Brute force on the given pages: a plain reading of their one article."""
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet")
+    wanted = {}
+    for row in pages.collect():
+        article = row["html"].split("<article>")[1].split("</article>")[0]
+        parts = re.split("</?(?:p|h1|li|ul)>", re.sub("<br>", " ", article))
+        wanted[row["page_id"]] = "\n\n".join(t for t in (" ".join(html.unescape(re.sub("<[^>]*>", "", p)).split()) for p in parts) if t)
+    found = html_text.extract(pages, _trained(spark)).collect()
+    assert {r["page_id"]: r["text"] for r in found} == wanted
