@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -221,3 +222,25 @@ def test_a_phrase_with_many_surroundings_is_dealt_to_several_shards(spark, monke
     assert [got[i] for i in range(len(texts))] == _brute_cut(texts, 100)
     # the phrase's segments alone are some 20,000 bytes
     assert max(map(int, open(taken).read().split())) < 12_000
+
+
+def test_long_runs_of_one_character_take_blocks_not_steps():
+    rng = random.Random(5)
+    for _ in range(40):
+        parts = [rng.choice("ab") * rng.choice([1, 2, 5, 9, 10, 11, 12, 30, 31]) + rng.choice(["", "x", "\0", "b\0"]) for _ in range(rng.randint(1, 8))]
+        text = np.frombuffer(("".join(parts) + "\0").encode(), np.uint8)
+        assert induced.repeated(text, 4).tolist() == _brute_places(text, 4)
+    start = time.perf_counter()
+    text = np.frombuffer(b"q" + b"a" * (4 << 20) + b"z\0" + b"a" * 250 + b"\0", np.uint8)
+    mark = induced.repeated(text, 200)
+    assert time.perf_counter() - start < 10
+    assert mark.sum() == (4 << 20) - 199 + 51 and not mark[0]
+
+
+def test_rows_that_repeat_whole_send_their_bytes_once(spark):
+    rows = [(1, PROSE * 2, "x")] * 30 + [(2, "a" * 5000, "x"), (3, "b" + "a" * 700, "x"), (3, "b" + "a" * 700, "x"), (4, None, None)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, row_key string").repartition(4)
+    found = suffix_dedup.remove_repeats(frame, length=64).collect()
+    assert sorted((r["doc_id"], r["n_bytes"], r["n_removed"]) for r in found) == sorted(
+        [(1, 2 * len(PROSE), 2 * len(PROSE))] * 30 + [(2, 5000, 5000), (3, 701, 701), (3, 701, 701), (4, 0, 0)]
+    )

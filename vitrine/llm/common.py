@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -21,9 +22,12 @@ MEMORY_BYTES = 16 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; only where that is unset (tests), a temporary one."""
+    """The folder of ``spark.checkpoint.dir``.  Where that is unset, a session in one machine (as in
+    tests) gets a temporary one; a cluster is refused, as its executors would not see each other's."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="vitrine-llm-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

@@ -351,11 +351,39 @@ def ordered_leftmost(text, small, left, depth: int, limit: int, base: int) -> np
     return left[whole[whole < len(left)]]
 
 
+def _runs_of_one(text: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the runs of one character (not the end mark) of at least ``least``."""
+    edges = np.concatenate([[0], np.flatnonzero(np.diff(text)) + 1, [len(text)]])
+    long = (np.diff(edges) >= least) & (text[edges[:-1]] > 0)
+    return edges[:-1][long], edges[1:][long]
+
+
 def repeated(text: np.ndarray, depth: int, limit: int = 256 << 20, base: int = 1 << 24) -> np.ndarray:
     """True at each place whose next ``depth`` characters also start at another place.
 
     ``text`` holds bytes and ends with 0; 0 ends a string.  ``limit`` bounds the bytes that a queue
-    keeps in memory, ``base`` the number of names that are ordered in memory."""
+    keeps in memory, ``base`` the number of names that are ordered in memory.
+
+    All places inside a long run of one character are alike, and inducing would walk it suffix by
+    suffix: only ``depth`` characters at both its ends are sorted, with an end mark between."""
+    begins, ends = _runs_of_one(text, 2 * depth + 2)
+    if not len(begins):
+        return _repeated(text, depth, limit, base)
+    inside = np.zeros(len(text) + 1, np.int64)
+    inside[begins + depth] += 1
+    inside[ends - depth - 1] -= 1
+    kept = np.flatnonzero(np.cumsum(inside)[:-1] == 0)
+    shorter = text.copy()
+    shorter[ends - depth - 1] = 0
+    mark = np.zeros(len(text), dtype=bool)
+    mark[kept] = _repeated(shorter[kept], depth, limit, base)
+    alike = np.zeros(len(text) + 1, np.int64)
+    alike[begins] += 1
+    alike[ends - depth + 1] -= 1
+    return mark | (np.cumsum(alike)[:-1] > 0)
+
+
+def _repeated(text: np.ndarray, depth: int, limit: int, base: int) -> np.ndarray:
     mark = np.zeros(len(text), dtype=bool)
     small = types(text)
     left = leftmost(small)

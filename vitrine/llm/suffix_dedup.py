@@ -187,7 +187,7 @@ def _runs(sent: DataFrame, sizes: DataFrame, length: int, level: int) -> DataFra
             "old_name bigint, old_digest bigint, copies bigint, name bigint, digest bigint, start bigint, "
             "windows bigint, twice bigint, bytes binary"
         )
-        part = sent.join(F.broadcast(large), "name", "left_semi")
+        part = sent.join(large, "name", "left_semi")
         cut = stored(map_rows(part, _cut_again(length, level), schema, "bytes"), "cut")
         names = cut.groupBy("name").agg(F.sum("copies").alias("n"), F.max("twice").alias("twice"))
         cut = cut.join(names.where("n > 1 or twice > 0").select("name"), "name", "left_semi")
@@ -200,7 +200,7 @@ def _runs(sent: DataFrame, sizes: DataFrame, length: int, level: int) -> DataFra
             (F.col("start") + F.col("a")).cast("int").alias("a"),
             (F.col("start") + F.col("b")).cast("int").alias("b"),
         )
-        sent = sent.join(F.broadcast(large), "name", "left_anti")
+        sent = sent.join(large, "name", "left_anti")
     dealt = sent.withColumn("shard", F.pmod(F.xxhash64("name"), F.lit(shards)))
     runs = stored(
         dealt.groupBy("shard").applyInArrow(_sort_shard(length), "name bigint, digest bigint, a int, b int"),
@@ -226,7 +226,12 @@ def repeated_ranges(keyed: DataFrame, length: int) -> DataFrame:
     )
     kinds = stored(kinds.select("name", "digest", "copies", "at.*"), "segments")
     data = F.col("text").cast("binary")
-    sent = kinds.join(keyed, "row_key").select(
+    # rows that repeat whole share a key: one of them gives the bytes
+    twins = keyed.groupBy("row_key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("row_key")
+    twins = stored(twins, "twins")
+    paired = keyed.join(twins, "row_key", "left_semi").dropDuplicates(["row_key"])
+    once = keyed.join(twins, "row_key", "left_anti").unionByName(paired)
+    sent = kinds.join(once, "row_key").select(
         "name",
         "digest",
         "copies",
