@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 from test_extraction import BASE, CARD, block
@@ -12,6 +14,7 @@ from vitrine.operators import upsert as U
 from vitrine.plans import cards, listings
 from vitrine.sources import pages, series, tables
 from vitrine.streaming import pages as streaming
+from vitrine.streaming import paging as ordered
 
 
 def landed(spark, rows, source="shop", crawl=None):
@@ -318,3 +321,40 @@ def test_stream_keeps_pages_without_a_number(spark, tmp_path):
     streaming.fold_listings(spark, landed(spark, [(1, page(1), 1), (None, page(2), 2), (0, page(3), 3)]), 0, root, BASE)
     found = spark.read.parquet(f"{root}/unpaged").collect()
     assert {(r.page_index, r.reject_reason) for r in found} == {(None, "page_index"), (0, "page_index")}
+
+
+def test_series_state_keeps_what_the_batch_keeps():
+    rng = random.Random(6)
+    for _ in range(300):
+        pages_ = [(i, rng.choice([3, 3, 3, 3, 0, -1]), rng.choice("abcdefg")) for i in range(1, 9) if rng.random() < 0.9]
+        wanted, first = [], {1: f for i, n, f in pages_ if i == 1 and n > 0}.get(1)
+        for i, n, f in pages_:
+            if n == 0 or (n > 0 and i > 1 and f == first and first is not None):
+                break
+            wanted += [i] if n > 0 else []
+        state, kept = ordered.SeriesState(), []
+        rng.shuffle(pages_)
+        for i, n, f in pages_:
+            for _ in range(rng.choice([1, 1, 2])):
+                kept += [p for p, _, _ in state.land(i, 100 + i, n, f, i, "l")]
+                state = ordered.SeriesState(state.text())
+        kept += [p for p, _, _ in state.release(gaps=True)]
+        assert sorted(kept) == wanted
+
+
+def test_pages_of_a_stream_may_land_in_any_order(spark, tmp_path):
+    incoming, root = str(tmp_path / "in"), str(tmp_path / "out")
+    first = [(1, page(1, 2), 1), (2, page(3), 2), (3, page(99), 3, 500), (4, page(4), 4), (5, page(1), 5), (6, page(98), 6)]
+    second = [(1, page(1, 5, price="7円"), 11), (2, page(6), 12), (3, "<p></p>", 13), (4, page(97), 14)]
+    batches = [(first[3:5], "a"), (second[2:], "b"), (first[5:] + first[1:2], "a"), (second[:1], "b"), (first[:1] + first[2:3], "a"), (second[1:2], "b")]
+    for rows, crawl in batches:
+        landed(spark, rows, crawl=crawl).coalesce(1).write.mode("append").parquet(incoming)
+        stream = streaming.landed_stream(spark, incoming, files_per_batch=1)
+        ordered.run_ordered_listings(spark, stream, root, BASE, "shop", timeout=120)
+    whole = landed(spark, first, crawl="a").unionByName(landed(spark, second, crawl="b"))
+    expected = listings.products(listings.listing_records(pages.fetched(whole), BASE, run=["crawl_id"]))
+    names = sorted(expected.columns)
+    assert sorted(map(str, table(spark, root, "products").select(names).collect())) == sorted(map(str, expected.select(names).collect()))
+    assert {r.product_id for r in expected.collect()} == {"1", "2", "3", "4", "5", "6"}
+    assert listings.read_prices(spark, root).count() == 7
+    assert [r.page_index for r in spark.read.parquet(f"{root}/failed").collect()] == [3]
