@@ -150,6 +150,25 @@ def test_layouts_are_picked_by_fingerprint(spark):
     assert all(turns[i] == [(None, None)] for i in (4, 5, 90, 91))
 
 
+def test_layouts_take_records_with_more_fields(spark):
+    records = [
+        ({"id": 1, "prompt": "p", "response": "r", "source": {"name": "s"}}, [("user", "p"), ("assistant", "r")]),
+        ({"system": "s", "prompt": "p", "response": "r", "score": 0.5}, [("system", "s"), ("user", "p"), ("assistant", "r")]),
+        ({"messages": [{"role": "bot", "content": "u", "name": "n"}, {"role": "x", "content": "v"}]}, [("bot", "u"), ("x", "v")]),
+        ({"conversations": [{"from": "Human", "value": "h", "id": 3}], "tags": []}, [("user", "h")]),
+        ({"messages": []}, [(None, None)]), ({"prompt": {"text": "p"}, "response": "r"}, [(None, None)]), ({}, [(None, None)]),
+    ]
+    frame = spark.createDataFrame([(i, json.dumps(r), "x") for i, (r, _) in enumerate(records)], "id bigint, record string, layout string")
+    found = {}
+    for r in chat.canonical_turns(frame, "id", "record").orderBy("turn").collect():
+        found.setdefault(r["id"], []).append((r["role"], r["text"]))
+        assert r["layout"] is not None or r["id"] in (5, 6)
+    assert found == {i: turns for i, (_, turns) in enumerate(records)}
+    for seed in range(chat.REMEMBERED + 10):
+        assert chat.layout_of([f"x{seed}", "prompt", "response"]).name == "prompt and response"
+    assert len(chat.BY_FINGERPRINT) == chat.REMEMBERED
+
+
 def test_chat_digests_on_edge_rows(spark):
     rows = [(1, 1, "assistant", None), (1, 0, "user", HOSTILE[0]), (1, 1, "assistant", "x"), (None, None, None, "n"), (2, 0, "a\nb", "t")]
     frame = spark.createDataFrame(rows, "c bigint, t bigint, role string, text string")

@@ -2,8 +2,10 @@
 
 Training records come in many layouts: a prompt and a response, an instruction with an input and an
 output, a list of messages under several names, or one row per turn.  The sorted paths of a record's
-nested fields are hashed, and the hash selects a declarative mapping that says where the turns are;
-a record whose fields match no mapping is kept apart, never guessed at.
+nested fields are hashed, and the hash selects a declarative mapping that says where the turns are.  A
+mapping names the paths that it needs; a record may have more, ids and sources for instance, and of
+several mappings that fit the one with the most paths counts.  What a fingerprint selects is worked out
+once.  A record whose fields fit no mapping is kept apart, never guessed at.
 
 The template writes each turn as ``<|turn|>role``, a line break, the text and ``<|end|>`` with a line break.  Control
 strings of this and other templates inside a role or text are broken by an escape after their first
@@ -15,7 +17,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from typing import Any
 
@@ -25,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitrine.llm.common import slices
+
 TURN, END = "<|turn|>", "<|end|>\n"
 ESCAPE = "␛"
 # Strings that templates in use treat as control.
@@ -41,13 +45,15 @@ _TEXT_OF = {"=": ESCAPE, "-": "", "n": "\n"}
 class Layout:
     """Where a record holds its turns.
 
-    ``paths`` are the nested field paths that select it.  ``fixed`` gives (role, path) turns in
-    order, and ``listed`` a list with the paths of role and text inside its items."""
+    ``paths`` are the nested field paths that it needs.  ``fixed`` gives (role, path) turns in order,
+    and ``listed`` a list with the paths of role and text inside its items; ``renamed`` says that
+    roles have the names of ``ROLES``."""
 
     name: str
     paths: tuple[str, ...]
     fixed: tuple[tuple[str, str], ...] = ()
     listed: tuple[str, str, str] | None = None
+    renamed: bool = False
 
 
 LAYOUTS = (
@@ -65,7 +71,8 @@ LAYOUTS = (
         (("system", "system"), ("user", "prompt"), ("assistant", "response")),
     ),
     Layout("messages", ("messages[].role", "messages[].content"), listed=("messages", "role", "content")),
-    Layout("conversation", ("conversations[].from", "conversations[].value"), listed=("conversations", "from", "value")),
+    Layout("conversation", ("conversations[].from", "conversations[].value"), listed=("conversations", "from", "value"),
+           renamed=True),
     Layout("dialogue", ("turns[].role", "turns[].text"), listed=("turns", "role", "text")),
 )
 # Names that other layouts give to the roles.
@@ -77,7 +84,27 @@ def fingerprint(paths) -> int:
     return xxhash.xxh64_intdigest("\n".join(sorted(set(paths))).encode("utf-8", "surrogatepass"))
 
 
-BY_FINGERPRINT = {fingerprint(layout.paths): layout for layout in LAYOUTS}
+#: Layouts by the fingerprint of a record's paths: at first of those they need, then of all that came.
+BY_FINGERPRINT: dict[int, Layout | None] = {fingerprint(layout.paths): layout for layout in LAYOUTS}
+#: Fingerprints that a worker remembers; beyond them layouts are worked out anew.
+REMEMBERED = 10_000
+
+
+def layout_of(paths: Iterable[str]) -> Layout | None:
+    """The layout that needs the most of a record's paths; of those that tie, the first."""
+    held = set(paths)
+    mark = fingerprint(held)
+    if mark in BY_FINGERPRINT:
+        return BY_FINGERPRINT[mark]
+
+    def fits(layout: Layout) -> bool:
+        empty = layout.listed is not None and f"{layout.listed[0]}[]" in held
+        return empty or held.issuperset(layout.paths)
+
+    found = max((x for x in LAYOUTS if fits(x)), key=lambda x: len(x.paths), default=None)
+    if len(BY_FINGERPRINT) < REMEMBERED:
+        BY_FINGERPRINT[mark] = found
+    return found
 
 
 def record_paths(value: Any, prefix: str = "") -> Iterator[str]:
@@ -86,6 +113,8 @@ def record_paths(value: Any, prefix: str = "") -> Iterator[str]:
         for key, inner in value.items():
             yield from record_paths(inner, f"{prefix}.{key}" if prefix else key)
     elif isinstance(value, list):
+        if not value:
+            yield f"{prefix}[]"
         for inner in value:
             yield from record_paths(inner, f"{prefix}[]")
     else:
@@ -109,7 +138,8 @@ def record_turns(record: dict, layout: Layout) -> list[tuple[str, str]]:
         field, role, text = layout.listed
         items = record.get(field) if field else [record]
         pairs = [(str(i.get(role) or ""), i.get(text)) for i in items or [] if isinstance(i, dict)]
-        return [(ROLES.get(r.lower(), r), "" if t is None else str(t)) for r, t in pairs]
+        names = ROLES if layout.renamed else {}
+        return [(names.get(r.lower(), r), "" if t is None else str(t)) for r, t in pairs]
     turns = []
     for role, path in layout.fixed:
         text = record.get(path)
@@ -122,24 +152,26 @@ def record_turns(record: dict, layout: Layout) -> list[tuple[str, str]]:
 def canonical_turns(df: DataFrame, id_col: str, record_col: str) -> DataFrame:
     """``(id_col, layout, turn, role, text)`` of JSON records in any of the layouts.
 
-    A record that is null, no JSON object or of unknown fields gives one row with null layout,
-    turn, role and text, so nothing is lost unseen."""
+    A record that is null, no JSON object or of fields that fit no layout gives one row with null
+    layout, turn, role and text, and one of no turns a row with its layout, so nothing is lost unseen.
+    Null and missing texts are empty; a record of any length is read whole; records that repeat and
+    ids that are null stay as they are; an empty table gives no rows; other columns are ignored."""
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, record_col):
             rows, names, numbers, roles, texts = [], [], [], [], []
             for row, raw in enumerate(batch.column(1).to_pylist()):
                 try:
                     record = json.loads(raw) if raw is not None else None
                 except ValueError:
                     record = None
-                layout = BY_FINGERPRINT.get(fingerprint(record_paths(record))) if isinstance(record, dict) else None
-                turns = record_turns(record, layout) if layout else [(None, None)]
+                layout = layout_of(record_paths(record)) if isinstance(record, dict) else None
+                turns = layout and record_turns(record, layout) or [(None, None)]
                 for number, (role, text) in enumerate(turns):
                     rows.append(row)
                     names.append(layout.name if layout else None)
-                    numbers.append(number if layout else None)
+                    numbers.append(None if role is None else number)
                     roles.append(role)
                     texts.append(text)
             yield pa.RecordBatch.from_arrays(
@@ -157,7 +189,7 @@ def canonical_turns(df: DataFrame, id_col: str, record_col: str) -> DataFrame:
 def turn_rows(df: DataFrame, id_col: str, turn_col: str, record: str = "record") -> DataFrame:
     """``(id_col, turn_col, role, text)`` of a table with one row per turn, whose other fields, as a
     struct column ``record``, must have the fingerprint of a layout with one turn a row."""
-    layout = BY_FINGERPRINT.get(fingerprint(type_paths(df.schema[record].dataType)))
+    layout = layout_of(type_paths(df.schema[record].dataType))
     if layout is None or not layout.listed or layout.listed[0]:
         raise ValueError("the record's fields are not those of a layout with one turn a row")
     _, role, text = layout.listed

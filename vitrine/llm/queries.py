@@ -111,6 +111,20 @@ def op8_bpe_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _mixed_records(rows: DataFrame) -> DataFrame:
+    """Every turn as a JSON record in one of three layouts, with fields that no layout needs."""
+    role, text = F.col("role"), F.col("text")
+    plain = F.to_json(F.struct("role", "text", F.col("conv_id").alias("id")), {"ignoreNullFields": "false"})
+    message = F.struct("role", text.alias("content"), F.lit(None).cast("string").alias("name"))
+    messages = F.to_json(F.struct(F.array(message).alias("messages"), F.lit("m").alias("source")), {"ignoreNullFields": "false"})
+    named = F.when(role == "user", "human").when(role == "assistant", "gpt")
+    said = F.struct(named.alias("from"), text.alias("value"))
+    talk = F.to_json(F.struct("turn", F.array(said).alias("conversations")), {"ignoreNullFields": "false"})
+    kind = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(3))
+    record = F.when((kind == 1) & role.isNotNull(), messages).when((kind == 2) & named.isNotNull(), talk).otherwise(plain)
+    return rows.select(F.struct("conv_id", "turn").alias("key"), record.alias("record"))
+
+
 @query
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     from vitrine.llm import chat
@@ -120,7 +134,8 @@ def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(-7, 0, "user", hostile), (-7, 1, "assistant", hostile)], "conv_id bigint, turn bigint, role string, text string"
     )
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
-    turns = chat.turn_rows(rows.select("conv_id", "turn", F.struct("role", "text").alias("record")), "conv_id", "turn")
+    found = chat.canonical_turns(_mixed_records(rows), "key", "record")
+    turns = found.select("key.conv_id", "key.turn", "role", "text")
     return chat.digests(chat.formatted(turns, "conv_id", "turn"), "conv_id")
 
 
