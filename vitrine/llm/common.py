@@ -12,6 +12,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows of an Arrow batch that hold at most this much text are turned into Python objects at once.
 SLICE_BYTES = 2 << 20
@@ -63,7 +64,7 @@ def slices(
 def map_rows(
     df: DataFrame,
     function: Callable[[pa.RecordBatch], pa.RecordBatch],
-    schema: str,
+    schema: str | T.StructType,
     text: str,
     most: int = SLICE_BYTES,
 ) -> DataFrame:

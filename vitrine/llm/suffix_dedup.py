@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitrine.llm.common import map_rows, partitions, stored
 from vitrine.llm.induced import repeated
@@ -288,10 +289,10 @@ def remove_repeats(
     rows = df.select(row.alias("row"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     rows = rows.withColumn("row_key", F.xxhash64("row", "text"))
     ranges = repeated_ranges(rows.select("row_key", "text"), length)
-    row_type = rows.schema["row"].dataType.simpleString()
-    schema = (
-        f"row {row_type}, kept binary, n_bytes bigint, n_removed bigint, spans array<struct<a:int,b:int>>"
-    )
+    # a type in words would not hold every column name
+    span = T.StructType().add("a", T.IntegerType()).add("b", T.IntegerType())
+    schema = T.StructType().add("row", rows.schema["row"].dataType).add("kept", T.BinaryType())
+    schema = schema.add("n_bytes", T.LongType()).add("n_removed", T.LongType()).add("spans", T.ArrayType(span))
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         kept, sizes, removed, spans = [], [], [], []
