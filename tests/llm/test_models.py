@@ -198,3 +198,96 @@ def test_page_text_is_that_of_the_articles(spark):
         wanted[row["page_id"]] = "\n\n".join(t for t in (" ".join(html.unescape(re.sub("<[^>]*>", "", p)).split()) for p in parts) if t)
     found = html_text.extract(pages, _trained(spark)).collect()
     assert {r["page_id"]: r["text"] for r in found} == wanted
+
+
+def test_language_model_matches_plain_counts(spark):
+    rng = random.Random(4)
+    texts = [("".join(rng.choice("abcde éß1.\n") for _ in range(rng.randint(0, 80))), rng.choice(["x", "y", "z"])) for _ in range(150)]
+    frame = spark.createDataFrame([*texts, (None, "x"), ("abc", None)], "text string, lang string").repartition(5)
+    model = langid.train(frame)
+    names = sorted({lang for _, lang in texts})
+    assert model.languages == names
+    counts = np.zeros((langid.BUCKETS, len(names)))
+    for text, lang in texts:
+        for gram in langid.hashed([text])[0].ravel().tolist():
+            if gram < langid.BUCKETS:
+                counts[gram, names.index(lang)] += 1
+    wanted = np.log((counts + 0.5) / (counts.sum(axis=0) + 0.5 * langid.BUCKETS))
+    assert np.allclose(model.weights[:-1], wanted, atol=1e-5) and not model.weights[-1].any()
+    sizes = np.array([sum(lang == n for _, lang in texts) for n in names])
+    assert np.allclose(model.prior, np.log(sizes / sizes.sum()))
+    found, share, fit = langid.score([t for t, _ in texts], model)
+    for i, (text, _) in enumerate(texts):
+        grams = [g for g in langid.hashed([text])[0].ravel().tolist() if g < langid.BUCKETS]
+        logs = model.prior + sum((model.weights[g].astype(float) for g in grams), np.zeros(len(names)))
+        if any(c.isalpha() for c in text):
+            assert found[i] == names[int(logs.argmax())]
+            assert np.isclose(share[i], np.exp(logs - np.logaddexp.reduce(logs)).max())
+            best = int(logs.argmax())
+            mean = sum(float(model.weights[g, best]) for g in grams) / len(grams)
+            assert np.isclose(fit[i], (mean - model.usual[best]) / model.spread[best])
+        else:
+            assert (found[i], share[i]) == ("und", 0)
+
+
+def test_line_features_match_a_plain_reading():
+    texts = ["The cat, the CAT sat.\n\n1234 !!\nThe cat, the CAT sat.", "", None, "x x x\ny"]
+    found, size, edges = quality.line_features(texts)
+    assert edges.tolist() == [0, 4, 5, 6, 8]
+    width = (found.shape[1] - 2) // 3
+    at = 0
+    for text in texts:
+        lines = (text or "").split("\n")
+        words = [line.split() for line in lines]
+        everything = [w for part in words for w in part]
+        own = []
+        for line, part in zip(lines, words):
+            shares = [sum(f(c) for c in line) / max(1, len(line)) for f in (
+                lambda c: c.isalpha() and not c.isupper(), lambda c: c.isalpha() and c.isupper(), str.isdigit, str.isspace,
+                lambda c: c in ".,;:'\"-()?’“”", lambda c: not c.isalnum() and not c.isspace() and c not in ".,;:'\"-()?’“”")]
+            some = max(1, len(part))
+            fresh = (len(lines) - len(set(lines))) / len(lines)
+            again = (len(everything) - len(set(everything))) / max(1, len(everything))
+            loud = sum(sum(c.isupper() for c in w) >= max(2, 0.6 * len(w)) for w in part)
+            odd = sum(not w[-1].isalnum() and w[-1] not in ".,;:'\"-()?’“”" for w in part)
+            own.append([
+                np.log1p(len(line)), np.log1p(len(part)), *shares, np.log1p(len(line) / some), (len(part) - len(set(part))) / some,
+                sum(a == b for a, b in zip(part, part[1:])) / some, loud / some, odd / some,
+                bool(line) and line[-1] in ".,;:'\"-()?’“”", bool(line) and line[0].isupper(), not line, fresh, again,
+                np.log1p(len(everything)), again * np.log1p(len(everything)),
+            ])
+        own = np.array(own, float)
+        for i in range(len(lines)):
+            row = found[at + i]
+            assert np.allclose(row[:width], own[i])
+            assert np.allclose(row[width : 2 * width], own[max(0, i - 1)])
+            assert np.allclose(row[2 * width : 3 * width], own[min(len(lines) - 1, i + 1)])
+            assert (row[-2], row[-1]) == (i == 0, i == len(lines) - 1)
+            assert size[at + i] == len(lines[i])
+        at += len(lines)
+
+
+def test_clashing_columns_change_nothing(spark, edge_rows):
+    """Extra columns with the names that the operators use inside."""
+    from vitrine.llm import bpe_trie, minhash, packing, runs, simhash, suffix_dedup
+    import public_tokenizers
+
+    words, letters = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
+    plain = spark.createDataFrame([r[:3] for r in edge_rows], "doc_id bigint, text string, lang string")
+    extra = ["key", "row", "ids", "fingerprint", "name", "range", "place", "kept", "row_key", "n_tokens", "decoded", "next_text", "runs",
+             "lang_pred", "quality_score", "component_id", "root", "bucket", "a b", "n_chars", "edited"]
+    wide = plain.select("*", *(F.lit("clash").alias(c) for c in extra))
+    model = langid.train(plain)
+    field = quality.train(plain, spark.createDataFrame([(1, 1), (6, 0)], "doc_id bigint, quality int"))
+    cases = [
+        lambda d: minhash.compared(d).select("doc_id", "near_next", "edited"),
+        lambda d: suffix_dedup.remove_repeats(d, length=64).select("doc_id", "n_bytes", "n_removed"),
+        lambda d: quality.predict(d, field).select("doc_id", "quality_score"),
+        lambda d: langid.predict(d, model).select("doc_id", "lang_pred", "lang_score"),
+        lambda d: bpe_trie.round_trip(d, letters).select("doc_id", "ids", "decoded"),
+        lambda d: packing.pack(d, words, length=64).groupBy("doc_id").agg(F.sum("length")),
+        lambda d: simhash.near_duplicates(d).select("doc_id", "fingerprint", "component_id"),
+        lambda d: runs.periodic_runs(d).select("doc_id", "n_words", "runs", "collapsed"),
+    ]
+    for case in cases:
+        assert sorted(map(str, case(wide).collect())) == sorted(map(str, case(plain).collect()))

@@ -166,7 +166,8 @@ def nearest(
 
     Vectors that are null, zero or hold a null or non-finite component take no part, nor do those
     whose length is not the most common one (ties: the greater).  Fewer than ``k`` candidates give
-    as many rows.  Rows that repeat are candidates as often.  An empty table gives no rows."""
+    as many rows.  Rows that repeat are candidates as often.  An empty table gives no rows.  Other
+    columns, whatever their names, are ignored."""
     spark = df.sparkSession
     vector = F.col(f"`{vector_col}`").cast("array<double>")
 

@@ -169,8 +169,9 @@ def compared(
     """``id_col``, ``n_chars``, ``edited`` (the edited text), ``fingerprint`` and
     ``edited_fingerprint`` (packed bytes), ``near_edited``, ``near_next``.
 
-    Null and empty texts have the empty fingerprint; a table of one row is its own successor; rows
-    that repeat stay repeated; an empty table gives no rows."""
+    Null and empty texts have the empty fingerprint; a very long one is fingerprinted whole; a table of
+    one row is its own successor; rows that repeat stay repeated; an empty table gives no rows; other
+    columns, whatever their names, are ignored."""
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     base = df.select(F.col(f"`{id_col}`"), text.alias("text"))
     printed = base.withColumn("fingerprint", fingerprint_udf(words, bins, bits)("text"))

@@ -19,8 +19,9 @@ from pyspark.sql import functions as F
 
 from vitrine.llm.common import map_rows
 
-#: Labelled documents per class that are fitted at most, and steps of the fit.
+#: Labelled documents per class that are fitted at most, lines of each (one stretch), and steps of the fit.
 SAMPLE = 1500
+SAMPLE_LINES = 1000
 STEPS = 200
 _LOWER, _UPPER, _DIGIT, _SPACE, _STOP, _MARK = range(6)
 
@@ -78,8 +79,10 @@ def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.n
     place = np.arange(len(data), dtype=np.uint64)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed, dtype=np.uint64)])
     turned = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed * place, dtype=np.uint64)])
-    word = turned[stop] - turned[start] - (sums[stop] - sums[start]) * start.astype(np.uint64)
-    whole = turned[ends] - turned[begins] - (sums[ends] - sums[begins]) * begins.astype(np.uint64)
+    # the first character counts once, the second twice, and so on
+    one = np.uint64(1)
+    word = turned[stop] - turned[start] - (sums[stop] - sums[start]) * (start.astype(np.uint64) - one)
+    whole = turned[ends] - turned[begins] - (sums[ends] - sums[begins]) * (begins.astype(np.uint64) - one)
     next_same = np.zeros(len(word), dtype=bool)
     next_same[1:] = (word[1:] == word[:-1]) & (line[1:] == line[:-1])
     loud = _sums(kind == _UPPER, start, stop) >= np.maximum(2, 0.6 * (stop - start))
@@ -212,10 +215,11 @@ def score(texts: list[str | None], field: LineField) -> np.ndarray:
 
 def train(
     documents: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    label_col: str = "quality", sample: int = SAMPLE,
+    label_col: str = "quality", sample: int = SAMPLE, sample_lines: int = SAMPLE_LINES,
 ) -> LineField:
     """A field fitted to at most ``sample`` documents of each class, those with the least hash of
-    their id; class shares are counted over all labels.  Null labels and ids are passed over.
+    their id, and of a longer one to ``sample_lines`` lines from a place that its size picks; class
+    shares are counted over all labels.  Null labels and ids are passed over.
 
     Without labels every score is one half before the shift."""
     known = labels.select(id_col, label_col).dropna().groupBy(id_col).agg(F.min(label_col).alias("label"))
@@ -230,7 +234,10 @@ def train(
 
     def features(batch: pa.RecordBatch) -> pa.RecordBatch:
         raw, _, edges = line_features(batch.column("text").to_pylist())
-        parts = [raw[a:b].astype(np.float32).tobytes() for a, b in zip(edges[:-1], edges[1:])]
+        parts = []
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            begin = a + (b - a) * 7919 % max(1, b - a - sample_lines + 1) if b - a > sample_lines else a
+            parts.append(raw[begin : min(b, begin + sample_lines)].astype(np.float32).tobytes())
         return pa.RecordBatch.from_arrays(
             [batch.column("id").cast(pa.string()), batch.column("label").cast(pa.int32()), pa.array(parts, pa.binary())],
             names=["id", "label", "lines"],
@@ -248,9 +255,11 @@ def train(
 
 
 def predict(df: DataFrame, field: LineField, text_col: str = "text") -> DataFrame:
-    """``df`` with ``quality_score`` (0 to 1, higher is better); such a column in ``df`` is replaced.
+    """``df`` with ``quality_score`` (0 to 1, higher is better); such a column in ``df`` is replaced, and
+    the others stay, whatever their names.
 
-    Null and empty texts are one empty line and score like it."""
+    Null and empty texts are one empty line and score like it; a very long text is scored whole; rows
+    that repeat score alike; an empty table gives an empty one."""
     shared = df.sparkSession.sparkContext.broadcast(field)
     names = [c for c in df.columns if c != "quality_score"]
     rows = df.select(*(F.col(f"`{c}`") for c in names))
