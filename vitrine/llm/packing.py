@@ -14,7 +14,6 @@ import unicodedata
 from array import array
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
@@ -121,9 +120,8 @@ class WordEncoder:
         some = size > 0
         if some.any():
             vectors[some] = np.add.reduceat(self.plane[flat], begin[some], axis=0)
-        sums = np.zeros((len(places) + 1, DIMENSIONS))
-        np.cumsum(vectors[places], axis=0, out=sums[1:])
-        sums = sums[edges[1:]] - sums[edges[:-1]]
+        # an empty text is one empty word, so no text is without
+        sums = np.add.reduceat(vectors[places], edges[:-1], axis=0, dtype=np.float64) if len(places) else np.zeros((0, DIMENSIONS))
         size = size[places]
         tokens = np.concatenate([[0], np.cumsum(size)])[edges]
         return np.split(flat[spread_out(begin[places], size)], tokens[1:-1]), sums
@@ -221,18 +219,15 @@ def pack(
     totals = np.array([sums.get(i, 0) for i in range(len(bounds) + 1)], dtype=np.int64)
     begins = np.cumsum(totals) - totals
 
-    @F.pandas_udf("bigint")
-    def begin(range_: pd.Series) -> pd.Series:
-        return pd.Series(begins[range_.to_numpy()])
-
     order = Window.partitionBy("range").orderBy("key", id_col, "ids")
     before = F.coalesce(F.sum("n_tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = ranged.withColumn("before", before).withColumn("place", F.col("before") + begin("range"))
+    placed = ranged.withColumn("before", before)
     kind = df.schema[id_col].dataType.simpleString()
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows, start, size, ids, total, place = [], [], [], [], [], []
-        places, tokens = batch.column("place").to_numpy(), batch.column("n_tokens").to_numpy()
+        places = begins[batch.column("range").to_numpy()] + batch.column("before").to_numpy()
+        tokens = batch.column("n_tokens").to_numpy()
         for row, (packed, at, n) in enumerate(zip(batch.column("ids").to_pylist(), places.tolist(), tokens.tolist())):
             whole = np.frombuffer(packed, dtype=f"<u{len(packed) // n}").astype("<u4")
             done = 0
@@ -263,4 +258,4 @@ def pack(
         f"`{id_col}` {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, "
         "sequence_id bigint, offset bigint"
     )
-    return map_rows(placed.select(id_col, "n_tokens", "ids", "place"), cut, schema, "ids")
+    return map_rows(placed.select(id_col, "n_tokens", "ids", "range", "before"), cut, schema, "ids")
