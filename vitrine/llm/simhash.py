@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.common import map_rows, stored
+from vitrine.llm.common import map_rows, partitions, stored
 from vitrine.llm.components import connected_components
 
 SEED = 42
@@ -262,7 +262,9 @@ def _links(prints: DataFrame, columns: list[str], bits: int) -> DataFrame:
         yield emit()
 
     listed = ", ".join(f"{c} bigint" for c in columns)
-    filed = prints.select(*columns).mapInArrow(file, f"key bigint, {listed}")
+    # a fingerprint becomes some eighty rows: few tasks of small rows would file them all
+    dealt = prints.select(*columns).repartition(partitions(prints.sparkSession))
+    filed = dealt.mapInArrow(file, f"key bigint, {listed}")
     met = filed.repartition(F.shiftright("key", 1)).sortWithinPartitions("key")
     return met.mapInArrow(meet, ", ".join(f"{n} bigint" for n in names))
 
