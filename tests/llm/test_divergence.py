@@ -77,7 +77,7 @@ def test_divergences_match_brute_force(spark):
 
 def test_slices_and_blocks_do_not_show(spark, monkeypatch):
     monkeypatch.setattr(divergence, "SLICE_BYTES", 300)
-    monkeypatch.setattr(divergence, "BLOCK_WORDS", 3)
+    monkeypatch.setattr(divergence, "BLOCK_RATES", 9)
     rows = _rows(3, 120)
     frame = spark.createDataFrame(rows, "text string, lang string, source string")
     found = divergence.divergences(frame, least_docs=2, top=4).collect()

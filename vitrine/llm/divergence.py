@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from vitrine.llm.common import slices, spread_out, stored
 
-#: Bytes of text whose word starts are sorted together, and words of one block of rates.
-SLICE_BYTES, BLOCK_WORDS = 6 << 20, 4096
+#: Bytes of text whose word starts are sorted together; words of one block of rates, and rates of it
+#: (words by sources) at most.
+SLICE_BYTES, BLOCK_WORDS, BLOCK_RATES = 6 << 20, 4096, 1 << 22
 #: What is added to every count, and the whole that rates are parts of.
 PRIOR, WHOLE = 5, 1_000_000_000
 # Bytes that belong to words, with A-Z in lower case.
@@ -190,9 +191,9 @@ def divergences(
     inside = stored(words.drop("n_docs").join(kept, ["lang", "term"]), "kept-counts")
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kept"), F.sum("all").alias("lang_total"))
     totals = inside.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = counts.where(F.col("term") == "").select("lang", "source").join(langs, "lang", "left").join(
-        totals, ["lang", "source"], "left"
-    )
+    every = counts.where(F.col("term") == "").select("lang", "source")
+    width = every.groupBy("lang").agg(F.count(F.lit(1)).alias("n_sources"))
+    groups = every.join(width, "lang").join(langs, "lang", "left").join(totals, ["lang", "source"], "left")
     groups = stored(groups.fillna(0, ["kept", "lang_total", "total"]), "word-groups")
     rated = inside.join(groups, ["lang", "source"]).withColumn("rate", _rate("n", "total", "kept"))
 
@@ -202,7 +203,9 @@ def divergences(
         "rank", F.row_number().over(ranks)
     ).where(F.col("rank") <= top)
 
-    blocks = F.greatest(F.ceil(F.col("kept") / BLOCK_WORDS), F.lit(1)).cast("int")
+    # a block holds fewer words where a language has many sources
+    words_of = F.greatest(F.least(F.lit(BLOCK_WORDS), F.floor(F.lit(BLOCK_RATES) / F.col("n_sources"))), F.lit(1))
+    blocks = F.greatest(F.ceil(F.col("kept") / words_of), F.lit(1)).cast("int")
     dealt = rated.withColumn("block", F.pmod(F.hash("term"), blocks)).select("lang", "block", "source", "term", "rate")
     asked = groups.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
         F.col("lang").alias("lang"), F.col("block").alias("block"), F.col("source").alias("source"),
