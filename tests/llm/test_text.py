@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -240,3 +241,10 @@ def test_whole_pipeline_packs_what_the_stages_keep(spark):
             assert crc == zlib.crc32(np.array(ids[start : start + length], "<u4").tobytes())
     sizes = pieces.groupby("sequence_id")["length"].sum()
     assert (sizes.iloc[:-1] == 4096).all() and sizes.iloc[-1] <= 4096
+
+
+@pytest.mark.parametrize("master", ["spark://host:7077", "yarn", "local-cluster[3,2,1024]", "k8s://x"])
+def test_a_cluster_needs_a_shared_folder(master):
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: default), sparkContext=SimpleNamespace(master=master))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_dir(session)
