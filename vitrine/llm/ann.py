@@ -27,6 +27,8 @@ from vitrine.llm.common import partitions, stored
 DIMENSIONS, MISS, SAMPLE = 8, 0.02, 20_000
 #: Vectors of a block that a task indexes, queries that visit it at once, and vectors of a leaf.
 BLOCK, QUERIES, LEAF = 20_000, 2_000, 128
+#: Distances from queries to cells that a task works out at once.
+GAPS = 1 << 20
 
 
 @lru_cache(maxsize=8)
@@ -64,27 +66,34 @@ class Cells:
     """Upper part of a kd-tree over projected points: splits at medians, level by level."""
 
     def __init__(self, points: np.ndarray, count: int):
-        self.low = [np.full(DIMENSIONS, -np.inf)]
-        self.high = [np.full(DIMENSIONS, np.inf)]
-        groups = [points]
-        while len(groups) < count and max(map(len, groups)) > 1:
-            fresh, low, high = [], [], []
-            for part, a, b in zip(groups, self.low, self.high):
+        #: Of each node of the tree: axis (-1: a cell), cut, and children or the cell's number.
+        self.axis, self.cut, self.child = [-1], [0.0], [(0, 0)]
+        everywhere = np.full(DIMENSIONS, np.inf)
+        groups = [(0, points, -everywhere, everywhere)]
+        while len(groups) < count:
+            fresh = []
+            for node, part, low, high in groups:
                 axis = int(np.argmax(np.ptp(part, axis=0))) if len(part) else 0
                 cut = float(np.median(part[:, axis])) if len(part) else 0.0
-                left, right = b.copy(), a.copy()
-                left[axis] = right[axis] = cut
                 inside = part[:, axis] < cut
                 if not inside.any() or inside.all():
-                    fresh.append(part), low.append(a), high.append(b)
+                    fresh.append((node, part, low, high))
                     continue
-                fresh += [part[inside], part[~inside]]
-                low += [a, right]
-                high += [left, b]
+                first = len(self.axis)
+                self.axis[node], self.cut[node], self.child[node] = axis, cut, (first, first + 1)
+                self.axis += [-1, -1]
+                self.cut += [0.0, 0.0]
+                self.child += [(0, 0), (0, 0)]
+                left, right = high.copy(), low.copy()
+                left[axis] = right[axis] = cut
+                fresh += [(first, part[inside], low, left), (first + 1, part[~inside], right, high)]
             if len(fresh) == len(groups):
                 break
-            groups, self.low, self.high = fresh, low, high
-        self.low, self.high = np.array(self.low), np.array(self.high)
+            groups = fresh
+        for cell, (node, _, _, _) in enumerate(groups):
+            self.child[node] = (cell, cell)
+        self.axis, self.cut, self.child = np.array(self.axis), np.array(self.cut), np.array(self.child)
+        self.low, self.high = np.array([g[2] for g in groups]), np.array([g[3] for g in groups])
 
     def distances(self, points: np.ndarray) -> np.ndarray:
         """Squared distance from each point to each cell's box."""
@@ -95,11 +104,15 @@ class Cells:
         return out
 
     def of(self, points: np.ndarray) -> np.ndarray:
-        """The cell of each point: boxes are closed below and open above."""
-        found = np.zeros(len(points), dtype=np.int64)
-        for cell, (a, b) in enumerate(zip(self.low, self.high)):
-            found[((points >= a) & (points < b)).all(axis=1)] = cell
-        return found
+        """The cell of each point, by descent: boxes are closed below and open above."""
+        node = np.zeros(len(points), dtype=np.int64)
+        open_ = np.flatnonzero(self.axis[node] >= 0)
+        while len(open_):
+            at = node[open_]
+            side = points[open_, self.axis[at]] >= self.cut[at]
+            node[open_] = self.child[at, side.astype(np.int64)]
+            open_ = open_[self.axis[node[open_]] >= 0]
+        return self.child[node, 0]
 
 
 def _leaves(points: np.ndarray) -> list[np.ndarray]:
@@ -214,16 +227,18 @@ def nearest(
         @F.pandas_udf("array<int>")
         def run(vectors: pd.Series, limit: pd.Series) -> pd.Series:
             points = _lift(np.stack(vectors.to_numpy()).astype(float), None) @ matrix
-            gaps = cells.distances(points)
-            filled = np.flatnonzero(blocks > 0)
-            nearest_cell = filled[np.argmin(gaps[:, filled], axis=1)]
-            out = []
-            for row, worst in enumerate(limit.to_numpy()):
-                if own:
-                    chosen = nearest_cell[row : row + 1]
-                else:
-                    chosen = filled[(gaps[row, filled] <= quantile * worst) & (filled != nearest_cell[row])]
-                out.append(np.concatenate([np.arange(first_block[c], first_block[c + 1]) for c in chosen] or [np.empty(0, int)]).astype(np.int32))
+            filled, worst = np.flatnonzero(blocks > 0), limit.to_numpy()
+            out, step = [], max(1, GAPS // max(1, len(cells.low)))
+            for start in range(0, len(points), step):
+                gaps = cells.distances(points[start : start + step])[:, filled]
+                nearest_cell = filled[np.argmin(gaps, axis=1)]
+                for row, home in enumerate(nearest_cell.tolist()):
+                    if own:
+                        chosen = [home]
+                    else:
+                        chosen = filled[(gaps[row] <= quantile * worst[start + row]) & (filled != home)]
+                    parts = [np.arange(first_block[c], first_block[c + 1]) for c in chosen]
+                    out.append(np.concatenate(parts or [np.empty(0, int)]).astype(np.int32))
             return pd.Series(out)
 
         return run
@@ -232,21 +247,13 @@ def nearest(
         """``(query_id, id, score)``: the best of each block for each query that visits it."""
         sent = asking.withColumn("block", F.explode(visits(own)("v", "worst")))
         # the queries of a block come in groups of bounded size, each with its own copy of the block
-        loads = {r["block"]: r["count"] for r in sent.groupBy("block").count().collect()}
-        groups = np.ones(int(first_block[-1]) + 1, dtype=np.int64)
-        for block, load in loads.items():
-            groups[block] = -(-load // QUERIES)
-
-        @F.pandas_udf("int")
-        def group_of(block: pd.Series, spread: pd.Series) -> pd.Series:
-            return pd.Series((spread.to_numpy() % groups[block.to_numpy()]).astype(np.int32))
-
-        @F.pandas_udf("array<int>")
-        def all_groups(block: pd.Series) -> pd.Series:
-            return pd.Series([np.arange(groups[b], dtype=np.int32) for b in block.to_numpy()])
-
-        left = dealt.where(F.col("block").isin(sorted(loads))).withColumn("part", F.explode(all_groups("block")))
-        right = sent.withColumn("part", group_of("block", F.pmod(F.xxhash64("query_id"), F.lit(1 << 30)).cast("int")))
+        groups = F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("groups")
+        loads = stored(sent.groupBy("block").agg(groups), "loads")
+        copies = F.explode(F.sequence(F.lit(0), F.col("groups") - 1))
+        left = dealt.join(loads, "block").withColumn("part", copies).drop("groups")
+        # both sides read the loads: new names keep them apart
+        left = left.select(F.col("block").alias("block"), F.col("part").alias("part"), "id", "v")
+        right = sent.join(loads, "block").withColumn("part", F.pmod(F.xxhash64("query_id"), "groups").cast("int")).drop("groups")
 
         def run(index: pa.Table, asked: pa.Table) -> pa.Table:
             kinds = [("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.float64())]
