@@ -140,17 +140,33 @@ def boxes(html: Column) -> Column:
     return F.split(html, rf"(?=</?(?i:{BOX_TAGS})(?=[\s/>]))")
 
 
+_BOX_NAME = rf"(?i:{BOX_TAGS})(?=[\s/>])"
+_BOX_OPEN = rf"<{_BOX_NAME}{_ATTRIBUTES}(?<!/)>"
+_BOX_CLOSE = rf"</{_BOX_NAME}"
+
+
+def _closing_box(levels: int) -> str:
+    """Pattern of a box whose inner boxes are nested up to ``levels`` deep, without its end tag."""
+    plain = rf"(?:[^<]++|<(?!/?{_BOX_NAME})|<{_BOX_NAME}{_ATTRIBUTES}(?<=/)>)*+"
+    inside = plain
+    for _ in range(levels):
+        inside = rf"{plain}(?:{_BOX_OPEN}{inside}{_BOX_CLOSE}[^>]*+>{plain})*+"
+    return rf"^{_BOX_OPEN}{inside}(?={_BOX_CLOSE})"
+
+
 def box_step(piece: Column) -> Column:
     """How a piece of ``boxes`` changes the depth of open boxes."""
-    closed = piece.rlike(rf"^<(?i:{BOX_TAGS})(?=[\s/>]){_ATTRIBUTES}(?<=/)>")
-    opened = piece.rlike(rf"^<(?i:{BOX_TAGS})(?=[\s/>])") & ~closed
-    return F.when(opened, 1).when(piece.rlike(rf"^</(?i:{BOX_TAGS})(?=[\s/>])"), -1).otherwise(0)
+    return F.when(piece.startswith("</"), F.when(piece.rlike(f"^{_BOX_CLOSE}"), -1).otherwise(0)).otherwise(
+        F.when(piece.rlike(f"^{_BOX_OPEN}"), 1).otherwise(0)
+    )
 
 
 def first_box(html: Column) -> Column:
     """A fragment that starts with a box, up to where that box closes, or whole if it never does.
 
-    Running depth over the pieces; the closing tag and what follows it go."""
+    The closing tag and what follows it go.  Boxes of some levels are one match; deeper or unclosed
+    ones take a running depth over the pieces."""
+    flat = F.try_element_at(F.regexp_extract_all(html, F.lit(_closing_box(2)), F.lit(0)), F.lit(1))
     pieces = boxes(html)
     start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(False).alias("closed"))
 
@@ -164,7 +180,8 @@ def first_box(html: Column) -> Column:
         )
 
     kept = F.aggregate(pieces, start, step, lambda state: state["n"])
-    return F.array_join(F.slice(pieces, F.lit(1), F.greatest(kept, F.lit(1))), "")
+    deep = F.array_join(F.slice(pieces, F.lit(1), F.greatest(kept, F.lit(1))), "")
+    return F.coalesce(flat, deep)
 
 
 def attribute(tag: Column, name: str) -> Column:

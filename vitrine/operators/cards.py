@@ -112,7 +112,9 @@ def print_detail(html: Column) -> Column:
         ).otherwise(state["found"])
         return F.struct(depth.alias("depth"), box.alias("box"), details.alias("details"), found.alias("found"))
 
-    swept = F.aggregate(H.boxes(H.without_hidden(html)), start, step, lambda state: state["found"])
+    # what stands before the first mention of the print box holds none
+    rest = F.regexp_extract(H.without_hidden(html), rf"(?s)<[^<]*{PRINT_BOX}.*", 0)
+    swept = F.aggregate(H.boxes(rest), start, step, lambda state: state["found"])
     return F.when(html.contains(PRINT_BOX), F.regexp_replace(swept, r"</\z", "")).otherwise("")
 
 
