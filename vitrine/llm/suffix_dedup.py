@@ -32,7 +32,7 @@ from vitrine.llm.induced import repeated
 GRAM = 32
 #: Aimed bytes of a shard, and bytes that each queue of its sort keeps in memory.
 SHARD_BYTES = 2 << 20
-QUEUE_BYTES = 1 << 20
+QUEUE_BYTES = 8 << 20
 #: Bytes of distinct segments of one name from which on they are cut by another hash; a sort takes
 #: some tens of bytes of memory for each.
 NAME_BYTES = 4 << 20
