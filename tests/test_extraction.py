@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import time
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -273,3 +275,33 @@ def test_flattening_is_linear_in_unclosed_tags(spark):
     page = "<div><p>" * 25_000 + CARD + block(1, "/1", "n{1/2}", "m", "1円")
     assert dom.card_fields(pages(spark, page), ["page"]).first().rarity == "Uncommon"
     assert dom.parse_products(pages(spark, page), BASE, ["page"]).first().price == "1円"
+
+
+def test_a_worker_holds_the_nodes_of_few_pages():
+    page = "<ul>" + "<li class='a b' title='t'>x</li>" * 50 + "</ul>"
+    pages_in = pa.array([page, None, ""] * 4000)
+
+    def peak(count):
+        tracemalloc.start()
+        lengths = [len(nodes) for nodes in dom.page_nodes.func(iter([pages_in[:count]]))]
+        found = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert sum(lengths) == count
+        return found
+
+    assert peak(12_000) < 1.5 * peak(3_000)
+
+
+@pytest.mark.parametrize("n", [1, 700])
+def test_nodes_stay_with_their_page(spark, n):
+    """Pages of one task leave Python in several batches, among them pages without nodes."""
+    rows = [
+        (i, None if i % 7 == 3 else f"<!--{'x' * 2000}--><a href='/cards/en/S/{i}'>&amp;</a><script>s{i}</script>")
+        for i in range(n)
+    ]
+    frame = spark.createDataFrame(rows, "page int, html string").coalesce(1)
+    shown = [i for i, html in rows if html is not None]
+    links = dom.extract_links(frame, ["page"]).collect()
+    assert sorted((r.page, r.card_code) for r in links) == [(i, str(i)) for i in shown]
+    scripts = dom.inline_scripts(frame, ["page"]).collect()
+    assert sorted((r.page, r.script_text) for r in scripts) == [(i, f"s{i}") for i in shown]

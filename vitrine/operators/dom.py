@@ -2,8 +2,9 @@
 
 A small Python helper flattens each page into an array of nodes; each node knows where its
 subtree ends.  Everything after that (selection, text, links, fields) is Spark: filters and
-slices over the node array.  Only the page's HTML goes to the Python worker and only nodes
-come back, in Arrow batches bounded by ``spark.sql.execution.arrow.maxBytesPerBatch``.
+slices over the node array.  Only the page's HTML goes to the Python worker, in Arrow batches
+bounded by ``spark.sql.execution.arrow.maxBytesPerBatch``, and only nodes come back, in batches of
+some hundred pages.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as S
@@ -46,37 +47,76 @@ NODES = S.ArrayType(
 )
 
 
+# A written batch of nodes holds the pages of about so many characters, however many rows Spark sends.
+_BATCH_CHARACTERS = 1 << 18
+
+_TEXTS = pa.list_(pa.string())
+_ATTRS = pa.map_(pa.string(), pa.string())
+_NODE = pa.struct(
+    [
+        pa.field("pos", pa.int32()),
+        pa.field("end", pa.int32()),
+        pa.field("tag", pa.string()),
+        pa.field("parent", pa.string()),
+        pa.field("text", pa.string()),
+        pa.field("classes", _TEXTS),
+        pa.field("attrs", _ATTRS),
+    ]
+)
+
+
+def _offsets(ends: list[int]) -> pa.Array:
+    return pa.array([0, *ends], pa.int32())
+
+
 class _Flattener(HTMLParser):
-    """Collects nodes in document order; a close tag ends every element inside its own."""
+    """Collects the nodes of pages in document order, by column; a close tag ends every element inside
+    its own."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.nodes: list[dict] = []
-        self.open: list[dict] = []
+        # where the nodes of each page, and the classes and attributes of each node, end
+        self.page_ends: list[int] = []
+        self.class_ends: list[int] = []
+        self.attr_ends: list[int] = []
+        self.ends: list[int] = []
+        self.tags: list[str] = []
+        self.parents: list[str | None] = []
+        self.texts: list[str | None] = []
+        self.classes: list[str] = []
+        self.names: list[str] = []
+        self.values: list[str] = []
+
+    def read(self, page: str | None) -> None:
+        self.reset()
+        self.start = len(self.tags)
+        self.open: list[int] = []
         # how many elements of each name are open
         self.count: Counter[str] = Counter()
         self.joinable = False
-
-    def _add(self, tag: str, text: str | None = None, attrs: dict | None = None) -> dict:
-        pos = len(self.nodes)
-        attrs = attrs or {}
-        node = {
-            "pos": pos,
-            "end": pos + 1,
-            "tag": tag,
-            "parent": self.open[-1]["tag"] if self.open else None,
-            "text": text,
-            "classes": attrs.get("class", "").split(),
-            "attrs": attrs,
-        }
-        self.nodes.append(node)
+        self.feed(page or "")
+        self.close()
+        for node in self.open:
+            self.ends[node] = len(self.tags) - self.start
+        self.page_ends.append(len(self.tags))
+
+    def _add(self, tag: str, text: str | None = None) -> None:
+        self.parents.append(self.tags[self.open[-1]] if self.open else None)
+        self.tags.append(tag)
+        self.ends.append(len(self.tags) - self.start)
+        self.texts.append(text)
+        self.class_ends.append(len(self.classes))
+        self.attr_ends.append(len(self.names))
         self.joinable = tag == TEXT
-        return node
 
     def handle_starttag(self, tag, attrs):
-        node = self._add(tag, attrs={name: value or "" for name, value in attrs})
+        read = {name: value or "" for name, value in attrs}
+        self.classes += read.get("class", "").split()
+        self.names += read.keys()
+        self.values += read.values()
+        self._add(tag)
         if tag not in VOID:
-            self.open.append(node)
+            self.open.append(len(self.tags) - 1)
             self.count[tag] += 1
 
     def handle_endtag(self, tag):
@@ -85,13 +125,13 @@ class _Flattener(HTMLParser):
             closed = None
             while closed != tag:
                 node = self.open.pop()
-                node["end"] = len(self.nodes)
-                closed = node["tag"]
+                self.ends[node] = len(self.tags) - self.start
+                closed = self.tags[node]
                 self.count[closed] -= 1
 
     def handle_data(self, data):
         if self.joinable:
-            self.nodes[-1]["text"] += data
+            self.texts[-1] += data
         else:
             self._add(TEXT, text=data)
 
@@ -103,24 +143,51 @@ class _Flattener(HTMLParser):
 
     handle_pi = handle_decl
 
-    def finish(self) -> list[dict]:
-        self.close()
-        while self.open:
-            self.open.pop()["end"] = len(self.nodes)
-        return self.nodes
+    def nodes(self) -> pa.Array:
+        """One list of nodes per page that was read."""
+        starts = (0, *self.page_ends)
+        positions = [i for start, end in zip(starts, self.page_ends) for i in range(end - start)]
+        classes = pa.ListArray.from_arrays(_offsets(self.class_ends), pa.array(self.classes, pa.string()))
+        attrs = pa.MapArray.from_arrays(
+            _offsets(self.attr_ends), pa.array(self.names, pa.string()), pa.array(self.values, pa.string())
+        )
+        columns = [
+            pa.array(positions, pa.int32()),
+            pa.array(self.ends, pa.int32()),
+            *(pa.array(texts, pa.string()) for texts in (self.tags, self.parents, self.texts)),
+            classes.cast(_TEXTS),
+            attrs.cast(_ATTRS),
+        ]
+        nodes = pa.StructArray.from_arrays(columns, fields=list(_NODE))
+        return pa.ListArray.from_arrays(_offsets(self.page_ends), nodes)
 
 
-def _flatten(page: str | None) -> list[dict]:
+def _flatten(page: str | None) -> pa.Array:
+    """The nodes of one page."""
     flattener = _Flattener()
-    flattener.feed(page or "")
-    return flattener.finish()
+    flattener.read(page)
+    return flattener.nodes()[0].values
 
 
-@F.pandas_udf(NODES)
-def page_nodes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """HTML to its node array."""
+def _node_batches(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Pages to node arrays in short batches, so that a worker holds the nodes of few pages at a time."""
     for pages in batches:
-        yield pages.map(_flatten)
+        flattener, size = _Flattener(), 0
+        for page in pages:
+            html = page.as_py()
+            flattener.read(html)
+            size += len(html or "")
+            if size >= _BATCH_CHARACTERS:
+                yield flattener.nodes()
+                flattener, size = _Flattener(), 0
+        if flattener.page_ends:
+            yield flattener.nodes()
+
+
+@F.arrow_udf(NODES)
+def page_nodes(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """HTML to its node array."""
+    yield from _node_batches(batches)
 
 
 def _is(node: Column, tag: str | None, *classes: str) -> Column:
