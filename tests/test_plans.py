@@ -7,6 +7,7 @@ import re
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
+from vitrine.functions import urls
 from vitrine.operators import listing, paging
 from vitrine.operators import upsert as U
 from vitrine.plans import listings
@@ -97,3 +98,17 @@ def test_work_lists_are_not_sorted_first(spark):
     for name, shuffles in (("page_frontier", 0), ("card_frontier", 1)):
         frame = entry_points.queries()[name](spark, SF_DIR)
         assert len(exchanges(frame)) == shuffles and "rangepartitioning" not in plan(frame)
+
+
+def test_steps_of_resolving_are_not_repeated(spark):
+    frame = spark.range(1).select(urls.resolve_url("https://s.example/a", F.col("id").cast("string")))
+    assert len(re.findall("regexp_", plan(frame))) < 40
+
+
+def test_patterns_of_first_items_are_not_repeated(spark, tmp_path):
+    pages = stored_pages(spark, tmp_path)
+    keep = ("series_code", "page_index")
+    without = plan(listing.explode_blocks(pages, keep))
+    text = plan(listing.explode_blocks(pages, keep, "https://s.example"))
+    tags = [piece for piece in (listing.LINK, "data\\-product\\-id", "(?i:href)") if piece in text]
+    assert len(tags) == 3 and all(text.count(piece) - without.count(piece) <= 1 for piece in tags)

@@ -74,7 +74,7 @@ def content(tag: str) -> str:
     The group also takes the ``</`` behind the content, so that '' means "no match" and an
     empty element is told apart; ``inner`` removes it again.
     """
-    return rf"((?s:.*?)</)(?i:{tag})\s*>"
+    return rf"((?:[^<]++|<(?!/(?i:{tag})\s*>))*+</)(?i:{tag})\s*>"
 
 
 def inner(found: Column) -> Column:
@@ -82,9 +82,9 @@ def inner(found: Column) -> Column:
     return F.when(found != "", F.substring(found, F.lit(1), F.length(found) - 2))
 
 
-def within(tag: str) -> str:
-    """Pattern of anything short of a closing tag, shortest first."""
-    return rf"(?s:(?!</(?i:{tag})\b).)*?"
+def within(tag: str, wanted: str) -> str:
+    """Pattern of anything short of a closing tag and of the first match of what is wanted next."""
+    return rf"(?:[^<]++|<(?!/(?i:{tag})\b|{wanted[1:]}))*+"
 
 
 def pieces(html: Column, *patterns: str) -> Column:
@@ -166,7 +166,7 @@ def first_box(html: Column) -> Column:
 
     The closing tag and what follows it go.  Boxes of some levels are one match; deeper or unclosed
     ones take a running depth over the pieces."""
-    flat = F.try_element_at(F.regexp_extract_all(html, F.lit(_closing_box(2)), F.lit(0)), F.lit(1))
+    flat = F.nullif(F.regexp_extract(html, _closing_box(2), 0), F.lit(""))
     pieces = boxes(html)
     start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(False).alias("closed"))
 

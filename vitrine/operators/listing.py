@@ -24,8 +24,9 @@ LINK_CLASS = "item_data_link"
 NAME_BOX, NAME_CLASS, MODEL_CLASS = "item_name", "goods_name", "model_number_value"
 PRICE_BOX, PRICE_CLASS = "selling_price", "figure"
 
-OPENING_TAG = f"^{H.OPENING_TAG}"
 BLOCK = H.opening("div", BLOCK_CLASS)
+# A block's opening tag and what follows up to the next one, as one match.
+_TO_NEXT_BLOCK = rf"<(?={BLOCK[1:]})(?:[^<]++|<(?!{BLOCK[1:]}))*+"
 LINK = H.opening("a", LINK_CLASS)
 
 RECORD_FIELDS = (
@@ -42,14 +43,14 @@ RECORD_FIELDS = (
 
 
 def _in_box(box: str, span: str) -> str:
-    return H.opening("p", box) + H.within("p") + H.opening("span", span) + H.content("span")
+    wanted = H.opening("span", span)
+    return H.opening("p", box) + H.within("p", wanted) + wanted + H.content("span")
 
 
 def split_blocks(html: Column) -> Column:
     """Array of product blocks in page order; a block ends where its element closes, or where the
     next one opens."""
-    pieces = F.split(H.without_hidden(html), f"(?={BLOCK})")
-    opened = F.filter(pieces, lambda piece: piece.rlike(f"^{BLOCK}"))
+    opened = F.regexp_extract_all(H.without_hidden(html), F.lit(_TO_NEXT_BLOCK), F.lit(0))
     return F.transform(opened, H.first_box)
 
 
@@ -65,16 +66,20 @@ def explode_blocks(
     page_columns = list(keep)
     if base_url is not None:
         first, texts = F.try_element_at("_blocks", F.lit(1)), F.col("_texts")
-        found = T.decode_each(
-            H.attribute(F.regexp_extract(first, OPENING_TAG, 0), ID_ATTRIBUTE),
-            H.attribute(F.regexp_extract(first, LINK, 0), "href"),
-        )
+        found = T.decode_each(H.unquote(F.col("_id")), H.unquote(F.col("_href")))
         identity = F.struct(
             T.blank_to_null(texts[0]).alias("product_id"),
             resolve_url(base_url, texts[1]).alias("product_url"),
         )
         n_items = F.size("_blocks")
-        out = out.withColumn("_texts", found).select(
+        linked = out.select(
+            *keep,
+            "_blocks",
+            H.raw_attribute(first, ID_ATTRIBUTE).alias("_id"),
+            F.regexp_extract(first, LINK, 0).alias("_link"),
+        )
+        written = linked.withColumn("_href", H.raw_attribute(F.col("_link"), "href"))
+        out = written.withColumn("_texts", found).select(
             *keep,
             "_blocks",
             n_items.alias("n_items"),
@@ -90,7 +95,8 @@ def read_fields(blocks: DataFrame, base_url: str) -> DataFrame:
     block = F.col("_block")
     matched = blocks.select(
         *others,
-        F.regexp_extract(block, OPENING_TAG, 0).alias("_open"),
+        # a block starts with its whole opening tag
+        H.raw_attribute(block, ID_ATTRIBUTE).alias("_id"),
         F.regexp_extract(block, LINK, 0).alias("_link"),
         F.regexp_extract(block, _in_box(NAME_BOX, NAME_CLASS), 1).alias("_name"),
         F.regexp_extract(block, _in_box(NAME_BOX, MODEL_CLASS), 1).alias("_model"),
@@ -98,7 +104,7 @@ def read_fields(blocks: DataFrame, base_url: str) -> DataFrame:
     )
     fragments = matched.select(
         *others,
-        H.raw_attribute(F.col("_open"), ID_ATTRIBUTE).alias("_id"),
+        "_id",
         H.raw_attribute(F.col("_link"), "href").alias("_href"),
         *(H.inner(F.col(c)).alias(c) for c in ("_name", "_model", "_price")),
     )
