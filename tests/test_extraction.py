@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import time
 import tracemalloc
 
@@ -9,6 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from vitrine.functions import html as H
 from vitrine.operators import cards, dom, inspect, listing
 from vitrine.plans import cards as card_plan
 from vitrine.plans import listings
@@ -305,3 +307,21 @@ def test_nodes_stay_with_their_page(spark, n):
     assert sorted((r.page, r.card_code) for r in links) == [(i, str(i)) for i in shown]
     scripts = dom.inline_scripts(frame, ["page"]).collect()
     assert sorted((r.page, r.script_text) for r in scripts) == [(i, f"s{i}") for i in shown]
+
+
+def test_blocks_of_one_pass_are_the_blocks_of_a_sweep(spark):
+    parts = [
+        "<div class='item_data'>", "<div class=item_data id=a>", "</div>", "</DIV >", "<div>", "</section>", "text",
+        "<section x='a>b'>", "<div/>", "<div class='item_data'/>", "<p title='</div>'>", "</div <b>", "</div", "<",
+        "<div title='<div class=item_data>'>", "<div title='<' class='item_data'>", "<b x=<div>", "<!--</div>-->",
+    ]
+    make = random.Random(5)
+    odd = ["".join(make.choices(parts, k=make.randint(0, 14))) for _ in range(3000)]
+    even = ["<div class='item_data'><p>a</p><div>b<div>c</div></div></div>x" * n for n in range(4)]
+    frame = pages(spark, *odd, *even, None)
+    shown = H.without_hidden(F.col("html"))
+    plain = frame.select("page", shown.alias("shown"), listing.split_blocks(F.col("html")).alias("blocks"))
+    swept = plain.select("page", "blocks", listing.any_blocks(F.col("shown")).alias("expected")).cache()
+    assert swept.where("not (blocks <=> expected)").collect() == []
+    once = frame.select(H.closed_boxes(shown, listing.BLOCK).alias("found")).where("size(found) > 0")
+    assert once.where("not array_contains(found, '<')").count() > 100

@@ -154,6 +154,20 @@ def _closing_box(levels: int) -> str:
     return rf"^{_BOX_OPEN}{inside}(?={_BOX_CLOSE})"
 
 
+def closed_boxes(html: Column, opening_tag: str) -> Column:
+    """The boxes that start with this tag, as ``first_box`` cuts them, in one pass; a lone ``<`` stands for a
+    box that needs more: unclosed, deep or around another one, or with ``<`` in an attribute of a box."""
+    start = opening_tag[1:]
+    value = r"\s*+=\s*+(?:\"[^\"<]*+\"|'[^'<]*+'|[^\s<>]++)"
+    attributes = rf"(?:[\s/]++|[^\s/<>][^\s/<>=]*+(?:{value})?+)*+(?<!/)>"
+    plain = rf"(?:[^<]++|<(?!/?{_BOX_NAME}))*+"
+    inside = plain
+    for _ in range(2):
+        inside = rf"{plain}(?:<(?!{start}){_BOX_NAME}{attributes}{inside}{_BOX_CLOSE}[^<>]*+>{plain})*+"
+    whole = rf"<(?={start}){_BOX_NAME}{attributes}{inside}(?={_BOX_CLOSE})"
+    return F.regexp_extract_all(html, F.lit(rf"{whole}|<(?={start})"), F.lit(0))
+
+
 def box_step(piece: Column) -> Column:
     """How a piece of ``boxes`` changes the depth of open boxes."""
     return F.when(piece.startswith("</"), F.when(piece.rlike(f"^{_BOX_CLOSE}"), -1).otherwise(0)).otherwise(

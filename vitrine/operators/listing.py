@@ -50,7 +50,21 @@ def _in_box(box: str, span: str) -> str:
 def split_blocks(html: Column) -> Column:
     """Array of product blocks in page order; a block ends where its element closes, or where the
     next one opens."""
-    opened = F.regexp_extract_all(H.without_hidden(html), F.lit(_TO_NEXT_BLOCK), F.lit(0))
+
+    def cut(shown: Column) -> Column:
+        closed = F.array(H.closed_boxes(shown, BLOCK))
+        return F.transform(closed, lambda found: F.when(~F.array_contains(found, "<"), found))[0]
+
+    # each step is bound once; a page with blocks of another form is read again
+    read = F.transform(
+        F.array(H.without_hidden(html)), lambda shown: F.coalesce(cut(shown), any_blocks(shown))
+    )
+    return read[0]
+
+
+def any_blocks(shown: Column) -> Column:
+    """Blocks of any form in a page without comments and scripts."""
+    opened = F.regexp_extract_all(shown, F.lit(_TO_NEXT_BLOCK), F.lit(0))
     return F.transform(opened, H.first_box)
 
 
